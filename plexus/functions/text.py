@@ -10,8 +10,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A token is a run of word characters or one other visible character.
-TOKEN_PATTERN = r"(?U)\w+|[^\w\s]"
+# A token is a run of letters, digits and marks, or one other visible character.
+# Classes are spelled out so that the JVM, Python and SQL engines agree on every character.
+TOKEN_PATTERN = r"[\p{L}\p{N}\p{M}_]+|[^\p{L}\p{N}\p{M}_\p{Z}\p{Cc}]"
 
 # Limits of the text filter.
 MIN_CHARS = 20
@@ -60,8 +61,7 @@ def bleu(candidate: list[str], reference: list[str], max_n: int = 4, k: int = 5)
             zeros += 1
             precision = math.log(len(candidate)) / (2 ** zeros * k) / total
         elif hits == 0:
-            # one token only: nothing to smooth by, the score vanishes
-            return 0.0
+            continue  # one token only: nothing to smooth by, the order is left out
         else:
             precision = hits / total
         logs += math.log(precision) / max_n

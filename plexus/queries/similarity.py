@@ -95,3 +95,193 @@ def h05(spark, sf):
     total = F.aggregate("back", F.lit(0.0), lambda a, x: a + x.cast("double"))
     return v.select("vec_id", F.octet_length("packed").cast("bigint").alias("n_bytes"), F.round(total, 4).alias("total"),
                     (F.col("back") == F.col("embedding")).alias("same"))
+
+
+TOKENS = r"[\p{L}\p{N}\p{M}_]+|[^\p{L}\p{N}\p{M}_\p{Z}\p{Cc}]"
+
+
+def embedding_sql(source: str, key: str, text: str) -> str:
+    """Hashed-word vectors in SQL: (key, dim, value), only the non-zero places."""
+    return f"""(SELECT k, dim, v / sqrt(sum(v * v) OVER (PARTITION BY k)) AS value FROM (
+      SELECT k, h % 64 AS dim, sum(CASE WHEN (h // 64) % 2 = 0 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END) AS v FROM (
+        SELECT k, ('0x' || substr(md5(token), 1, 8))::BIGINT AS h FROM (
+          SELECT {key} AS k, unnest(regexp_extract_all(lower({text}), '{TOKENS}')) AS token FROM {source}))
+      GROUP BY k, h % 64))"""
+
+
+@query("h06_embed_texts", f"""
+  SELECT k AS doc_id, dim, round(value, 5) AS value FROM {embedding_sql('documents', 'doc_id', 'text')} WHERE abs(value) > 1e-9""")
+def h06(spark, sf):
+    from plexus.operators.models import embed_texts, hashed_words
+    out = embed_texts(table(spark, sf, "documents").select("doc_id", "text"), "text", hashed_words(64))
+    return out.select("doc_id", F.posexplode("_vector").alias("dim", "v")).where("abs(v) > 1e-9").select(
+        "doc_id", F.col("dim").cast("bigint").alias("dim"), F.round(F.col("v").cast("double"), 5).alias("value"))
+
+
+def pictures(spark, sf):
+    """The text of every document as a grey picture, 16 pixels wide, one byte each, padded with blanks."""
+    raw = F.encode(F.concat(F.col("text"), F.repeat(F.lit(" "), 16)), "UTF-8")
+    height = F.floor(F.octet_length(raw) / 16).cast("int")
+    return table(spark, sf, "documents").select("doc_id", F.struct(
+        height.alias("height"), F.lit(16).alias("width"), F.lit(1).alias("nChannels"), F.lit(0).alias("mode"),
+        F.substring(raw, F.lit(1), height * 16).alias("data")).alias("image"))
+
+
+@query("h07_embed_images")
+def h07(spark, sf):
+    from plexus.operators.images import embed_images
+    from plexus.operators.models import colour_histogram
+    out = embed_images(pictures(spark, sf), colour_histogram(4), side=32)
+    return out.select("doc_id", F.size("_vector").alias("dimensions"),
+                      F.round(V.length("_vector"), 3).alias("length"))
+
+
+@query("h08_image_operations", """
+  SELECT doc_id, h // 2 AS height, 8 AS width, sha256(unhex(substr(x, 1, 0) || string_agg(line, '' ORDER BY r))) AS digest FROM (
+    SELECT doc_id, h, x, r, list_aggregate(list_transform(range(0, 8), lambda c:
+      CASE WHEN substr(x, 1 + 2 * (r * 16 + 11 - c), 2) > '60' THEN substr(x, 1 + 2 * (r * 16 + 11 - c), 2) ELSE '00' END), 'string_agg', '') AS line
+    FROM (SELECT *, unnest(range(0, h // 2)) AS r FROM (
+      SELECT doc_id, hex(encode(text || repeat(' ', 16))) AS x, strlen(text || repeat(' ', 16)) // 16 AS h FROM documents)))
+  GROUP BY doc_id, h, x""")
+def h08(spark, sf):
+    from plexus.operators.images import image_operations
+    p = pictures(spark, sf)
+    # a mirrored 8 pixel column of the upper half, dark pixels blacked out
+    wide = p.withColumn("half", F.floor(F.col("image.height") / 2).cast("int"))
+    upper = wide.select("doc_id", F.struct(
+        F.col("half").alias("height"), F.lit(16).alias("width"), F.lit(1).alias("nChannels"), F.lit(0).alias("mode"),
+        F.substring("image.data", F.lit(1), F.col("half") * 16).alias("data")).alias("image")).where("image.height > 0")
+    out = image_operations(upper, [{"type": "crop", "x": 4, "y": 0, "width": 8, "height": 1_000_000},
+                                   {"type": "flip", "code": 1}, {"type": "threshold", "value": 0x60}])
+    return out.select("doc_id", F.col("image.height").cast("bigint").alias("height"), F.col("image.width").alias("width"),
+                      F.sha2("image.data", 256).alias("digest"))
+
+
+@query("h09_register_model", """
+  SELECT 'set_' || label AS name, 64 AS dimensions, 'CS' AS metric, 'builtin' AS provider, 'hashed_words' AS model,
+    CASE WHEN label = 3 THEN 'v1' END AS pretrained, label = 3 AS has_fingerprint FROM embeddings GROUP BY label
+  UNION ALL SELECT 'new_set', 64, 'CS', 'builtin', 'hashed_words', 'v1', true""")
+def h09(spark, sf):
+    from plexus.operators.models import hashed_words, register_model
+    null = F.lit(None).cast("string")
+    registry = table(spark, sf, "embeddings").select("label").distinct().select(
+        F.concat(F.lit("set_"), "label").alias("name"), F.lit(64).alias("dimensions"), F.lit("CS").alias("metric"),
+        F.lit("builtin").alias("provider"), F.lit("hashed_words").alias("model"), null.alias("pretrained"),
+        null.alias("fingerprint"))
+    for name in ("set_3", "new_set"):
+        registry = register_model(registry, name, 64, "builtin", "hashed_words", "v1", hashed_words(64))
+    return registry.withColumn("has_fingerprint", F.col("fingerprint").isNotNull()).drop("fingerprint")
+
+
+@query("h11_batch_infer", """
+  SELECT doc_id, strlen(text) AS n_bytes, CASE WHEN length(text) > 1000 THEN 'long' ELSE 'short' END AS label FROM documents""")
+def h11(spark, sf):
+    from pyspark.sql import types as T
+    from plexus.operators.models import batch_infer
+
+    def load():
+        return lambda texts: [(len(t.encode()), "long" if len(t) > 1000 else "short") for t in texts]
+
+    return batch_infer(table(spark, sf, "documents").select("doc_id", "text"), "text", load,
+                       {"n_bytes": T.LongType(), "label": T.StringType()}).drop("text")
+
+
+_BOX = "SELECT p_partkey AS image, unnest([{'i': 0, 's': p_retailprice / 2500, 'l': p_size % 5, 'a': p_size * 1.5, 'b': -1.0 * p_size}," \
+    " {'i': 1, 's': p_size / 50.0, 'l': p_size % 3, 'a': 3.7, 'b': 2.2}]) AS d FROM part"
+
+
+@query("h12_detections_to_boxes", f"""
+  SELECT image, d.i AS box_index, 'class_' || d.l AS label, trunc(d.a / 0.5)::INT AS x, trunc(d.b / 0.5)::INT AS y,
+    trunc(((d.a + 10.4) - d.a) / 0.5)::INT AS width, trunc(((d.b + 7.9) - d.b) / 0.5)::INT AS height,
+    round(d.s, 6) AS score, 'detector' AS model FROM ({_BOX}) WHERE d.s >= 0.7""")
+def h12(spark, sf):
+    from plexus.operators.models import detections_to_boxes
+    size, d = F.col("p_size"), lambda c: c.cast("double")
+    a, b = d(size * F.lit(1.5)), d(size * F.lit(-1.0))
+    box = lambda x, y: F.array(x, y, x + F.lit(10.4), y + F.lit(7.9))
+    detections = table(spark, sf, "part").select(
+        F.col("p_partkey").alias("image"), F.array(F.col("p_retailprice") / 2500, size / F.lit(50.0)).alias("scores"),
+        F.array(box(a, b), box(F.lit(3.7), F.lit(2.2))).alias("boxes"), F.array(size % 5, size % 3).alias("labels"))
+    classes = table(spark, sf, "part").select((size % 5).alias("label")).distinct().withColumn(
+        "name", F.concat(F.lit("class_"), "label"))
+    return detections_to_boxes(detections, "image", classes, "detector").drop("_uniqueid").withColumn(
+        "score", F.round("score", 6))
+
+
+@query("h13_video_frames_to_vectors", """
+  WITH v AS (SELECT doc_id AS video, ceil(len(text) / 256.0)::BIGINT AS n_frames, text FROM documents),
+  c AS (SELECT video, n_frames, unnest(range(0, n_frames, 3)) AS s, text FROM v)
+  SELECT video, s // 3 AS clip, s AS start, least(s + 3, n_frames) AS stop, strlen(substr(text, s * 256 + 1, 256)) AS brightness_bytes FROM c""")
+def h13(spark, sf):
+    """Every document as a video whose frames are its runs of 256 characters, sampled every third frame."""
+    from plexus.operators.models import video_frames_to_vectors
+    from plexus.operators.ordering import clip_windows
+    d = table(spark, sf, "documents").select(
+        F.col("doc_id").alias("video"), "text", F.ceil(F.char_length("text") / 256).cast("bigint").alias("n_frames"), F.lit(3.0).alias("fps"))
+    clips = clip_windows(d.select("video", "n_frames", "fps"), rate=1.0)
+    frames = d.select("video", F.posexplode(F.transform(
+        F.sequence(F.lit(0).cast("bigint"), F.col("n_frames") - 1),
+        lambda i: F.encode(F.substring("text", (i * 256 + 1).cast("int"), F.lit(256)), "UTF-8"))).alias("f", "image")).select(
+        "video", F.col("f").cast("bigint").alias("frame"), "image")
+
+    def load():
+        return lambda images: [[float(len(i))] for i in images]
+
+    out = video_frames_to_vectors(clips, frames, load)
+    return out.select("video", "clip", "start", "stop", F.get("_vector", F.lit(0)).cast("bigint").alias("brightness_bytes"))
+
+
+@query("h14_needs_ocr", """
+  SELECT doc_id FROM documents WHERE NOT EXISTS (SELECT 1 FROM (SELECT unnest(string_split(text, chr(10))) AS page) WHERE length(trim(page)) > 0 AND source <> 'src3')""")
+def h14(spark, sf):
+    from plexus.operators.models import needs_ocr
+    d = table(spark, sf, "documents")
+    blank = F.when(F.col("source") == "src3", F.lit("  ")).otherwise(F.col("text"))
+    pages = d.select("doc_id", F.explode(F.split(blank, "\n")).alias("text"))
+    return needs_ocr(d.select("doc_id"), pages, "doc_id")
+
+
+@query("h15_assemble_context", """
+  WITH t AS (SELECT conv_id AS query_id, turn, text FROM conversations WHERE role = 'assistant'),
+  h AS (SELECT conv_id AS query_id, max(text) FILTER (role = 'system') AS history FROM conversations GROUP BY conv_id),
+  u AS (SELECT conv_id AS query_id, text AS query FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i
+        FROM conversations WHERE role = 'user') WHERE i = 1)
+  SELECT u.query_id, '# Instructions' || chr(10) || 'Answer.' || chr(10) || chr(10) || '# Retrieved knowledge' || chr(10) ||
+    coalesce((SELECT string_agg(text, chr(10) || chr(10) ORDER BY turn) FROM t WHERE t.query_id = u.query_id), '') || chr(10) || chr(10) ||
+    '# Conversation so far' || chr(10) || coalesce(history, '') || chr(10) || chr(10) || '# Question' || chr(10) || query ||
+    chr(10) || chr(10) || '# Answer' AS prompt FROM u LEFT JOIN h USING (query_id)""")
+def h15(spark, sf):
+    from plexus.operators.retrieval import assemble_context
+    from plexus.operators.upsert import first_per_key
+    c = table(spark, sf, "conversations").withColumnRenamed("conv_id", "query_id")
+    retrieved = c.where("role = 'assistant'").select("query_id", F.col("turn").alias("rank"), "text")
+    history = c.where("role = 'system'").groupBy("query_id").agg(F.max("text").alias("history"))
+    asked = first_per_key(c.where("role = 'user'"), ["query_id"], ["turn"]).select("query_id", F.col("text").alias("query"))
+    return assemble_context(retrieved, asked.join(history, "query_id", "left"), "Answer.")
+
+
+@query("h16_split_answer", """
+  WITH r AS (SELECT conv_id, turn, text, role, CASE WHEN role = 'assistant' THEN text || chr(10) || '===SUMMARY===' || chr(10) || ' new ' || text || '===SUMMARY===' ELSE text END AS response FROM conversations)
+  SELECT conv_id, turn, CASE WHEN role = 'assistant' THEN regexp_replace(text, '^\\s+|\\s+$', '', 'g') ELSE regexp_replace(text, '^\\s+|\\s+$', '', 'g') END AS answer,
+    CASE WHEN role = 'assistant' THEN regexp_replace('new ' || text || '===SUMMARY===', '^\\s+|\\s+$', '', 'g') ELSE 'old ' || role END AS history FROM r""")
+def h16(spark, sf):
+    from plexus.operators.retrieval import SEPARATOR, split_answer
+    text = F.col("text")
+    r = table(spark, sf, "conversations").withColumn("response", F.when(F.col("role") == "assistant", F.concat(
+        text, F.lit(f"\n{SEPARATOR}\n new "), text, F.lit(SEPARATOR))).otherwise(text)).withColumn(
+        "old", F.concat(F.lit("old "), "role"))
+    answer, history = split_answer("response", "old")
+    return r.select("conv_id", "turn", answer.alias("answer"), history.alias("history"))
+
+
+@query("h17_retrieval_overlap", f"""
+  WITH hits AS ({_search_sql(_CS, 'DESC', k=20)})
+  SELECT 'label ' || e.label AS question, count(*) AS n_expected, count(h.vec_id) AS n_found, round(count(h.vec_id) / count(*), 6) AS overlap
+  FROM embeddings e LEFT JOIN hits h ON h.vec_id = e.vec_id AND h.query_id = e.label GROUP BY e.label""")
+def h17(spark, sf):
+    from plexus.operators.retrieval import retrieval_overlap
+    v = table(spark, sf, "embeddings")
+    name = lambda c: F.concat(F.lit("label "), c).alias("question")
+    url = F.concat(F.lit("doc/"), "vec_id").alias("url")
+    hits = _search(spark, sf, k=20).select(name("query_id"), url)
+    return retrieval_overlap(v.select(name("label"), url), hits).withColumn("overlap", F.round("overlap", 6))
