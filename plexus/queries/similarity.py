@@ -110,7 +110,7 @@ def embedding_sql(source: str, key: str, text: str) -> str:
 
 
 @query("h06_embed_texts", f"""
-  SELECT k AS doc_id, dim, round(value, 5) AS value FROM {embedding_sql('documents', 'doc_id', 'text')} WHERE abs(value) > 1e-9""")
+  SELECT k AS doc_id, dim, round(value::FLOAT::DOUBLE, 5) AS value FROM {embedding_sql('documents', 'doc_id', 'text')} WHERE abs(value) > 1e-9""")
 def h06(spark, sf):
     from plexus.operators.models import embed_texts, hashed_words
     out = embed_texts(table(spark, sf, "documents").select("doc_id", "text"), "text", hashed_words(64))
