@@ -94,10 +94,13 @@ def a07(spark, sf):
     return profile.describe_connections(edges)
 
 
-@query("a09_scan_objects")
+@query("a09_scan_objects", " UNION ALL ".join(
+    f"SELECT '{t}.parquet' AS name, NULL::VARCHAR AS mime_type, true AS has_bytes FROM (SELECT count(*) FROM {t})" for t in (
+        "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations").split()))
 def a09(spark, sf):
     """The folder of the tables as an object store; the parquet files carry no known media type."""
-    return objects.scan_objects(spark, sf, mime_types=None).select("name", "mime_type", "length")
+    return objects.scan_objects(spark, sf, mime_types=None, glob="*.parquet").select(
+        "name", "mime_type", (F.col("length") > 0).alias("has_bytes"))
 
 
 _FILES_SQL = """SELECT *, CASE ext WHEN 'png' THEN 'image/png' WHEN 'jpg' THEN 'image/jpeg' WHEN 'pdf' THEN 'application/pdf'

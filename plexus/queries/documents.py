@@ -31,7 +31,10 @@ def i02(spark, sf):
     return D.error_urls(responses(spark, sf))
 
 
-@query("i03_link_frontier")
+@query("i03_link_frontier", f"""
+  WITH l AS (SELECT url AS base, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS link FROM pages),
+  a AS (SELECT DISTINCT regexp_replace(CASE WHEN link LIKE 'http%' THEN link ELSE regexp_extract(base, '^[a-z]+://[^/?#]*') || link END, '#.*$', '') AS url FROM l)
+  SELECT url FROM a WHERE url NOT IN (SELECT url FROM pages) AND {DOMAIN_SQL} IN (SELECT {DOMAIN_SQL} FROM pages)""")
 def i03(spark, sf):
     p = table(spark, sf, "pages")
     return D.link_frontier(p, p.select("url"), p.select("url"))
@@ -129,30 +132,40 @@ def _paragraphs(spark, sf):
 
 
 # Greedy packing without cut blocks, as a recursive walk: s starts a segment, e ends it.
-_SEGMENT_SQL = f"""WITH RECURSIVE raw AS (
-    SELECT doc_id, unnest(string_split(text, chr(10))) AS page, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS page_number FROM documents),
+_WALK = f"""RECURSIVE raw AS (
+    SELECT doc_id, s // 20 + 1 AS page_number, array_to_string(w[s + 1:s + 20], ' ') AS page FROM (
+      SELECT *, unnest(range(0, len(w), 20)) AS s FROM (SELECT doc_id, string_split(text, ' ') AS w FROM documents))),
   b AS (SELECT doc_id, page_number, regexp_replace(page, '^\\s+|\\s+$', '', 'g') AS text FROM raw WHERE page <> ''),
   n AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY page_number) AS i, page_number, text,
           len(regexp_extract_all(text, '{TOKENS}')) AS k FROM b),
   c AS (SELECT *, sum(k) OVER (PARTITION BY doc_id ORDER BY i) AS upto, count(*) OVER (PARTITION BY doc_id) AS last FROM n),
   -- one row per possible (start, first new block): where that segment ends and where the next starts
   w AS (SELECT doc_id, 1::BIGINT AS seg, 1::BIGINT AS s, 1::BIGINT AS f,
-          (SELECT max(x.i) FROM c x WHERE x.doc_id = c.doc_id AND (x.i = 1 OR x.upto <= 3000)) AS e, last FROM c WHERE i = 1
+          (SELECT max(x.i) FROM c x WHERE x.doc_id = c.doc_id AND (x.i = 1 OR x.upto <= 300)) AS e, last FROM c WHERE i = 1
         UNION ALL
         SELECT w.doc_id, w.seg + 1, o.s, w.e + 1,
-          (SELECT max(x.i) FROM c x WHERE x.doc_id = w.doc_id AND (x.i = w.e + 1 OR (x.i > w.e + 1 AND x.upto - (SELECT coalesce(max(y.upto), 0) FROM c y WHERE y.doc_id = w.doc_id AND y.i = o.s - 1) <= 3000))),
+          (SELECT max(x.i) FROM c x WHERE x.doc_id = w.doc_id AND (x.i = w.e + 1 OR (x.i > w.e + 1 AND x.upto - (SELECT coalesce(max(y.upto), 0) FROM c y WHERE y.doc_id = w.doc_id AND y.i = o.s - 1) <= 300))),
           w.last
         FROM w, LATERAL (SELECT coalesce(min(z.i), w.e + 1) AS s FROM c z WHERE z.doc_id = w.doc_id AND z.i >= w.s AND z.i <= w.e
-          AND (SELECT upto FROM c y WHERE y.doc_id = w.doc_id AND y.i = w.e) - z.upto + z.k <= 500) o
-        WHERE w.e < w.last)
-  SELECT w.doc_id, w.seg - 1 AS segment_number, string_agg(c.text, chr(10) || chr(10) ORDER BY c.i) AS text, sum(c.k)::BIGINT AS n_tokens, min(c.page_number) AS page_number
-  FROM w JOIN c ON c.doc_id = w.doc_id AND c.i BETWEEN w.s AND w.e GROUP BY w.doc_id, w.seg"""
+          AND (SELECT upto FROM c y WHERE y.doc_id = w.doc_id AND y.i = w.e) - z.upto + z.k <= 50) o
+        WHERE w.e < w.last),
+  segments AS (SELECT w.doc_id, w.seg - 1 AS segment_number, string_agg(c.text, chr(10) || chr(10) ORDER BY c.i) AS text, sum(c.k)::BIGINT AS n_tokens,
+    min(c.page_number) AS page_number FROM w JOIN c ON c.doc_id = w.doc_id AND c.i BETWEEN w.s AND w.e GROUP BY w.doc_id, w.seg)"""
 
 
-@query("i13_segment")
+
+def _runs_of_words(spark, sf):
+    """The documents in pages of 20 words: no page is long enough to be cut, so SQL can follow the walk."""
+    w = F.split("text", " ")
+    pages = F.transform(F.sequence(F.lit(0), F.size(w) - 1, F.lit(20)), lambda i: F.array_join(F.slice(w, i + 1, 20), " "))
+    return D.page_blocks(table(spark, sf, "documents").select("doc_id", F.lit(None).cast("string").alias("title"), F.concat(
+        F.lit("http://docs.example/"), "doc_id").alias("url"), pages.alias("pages")))
+
+
+@query("i13_segment", f"WITH {_WALK} SELECT * FROM segments")
 def i13(spark, sf):
-    return S.segment(_paragraphs(spark, sf), "doc_id", clean_only=False, url="url").select(
-        "doc_id", "segment_number", "text", "n_tokens", "page_number", "segment_url")
+    return S.segment(_runs_of_words(spark, sf), "doc_id", clean_only=False).select(
+        "doc_id", "segment_number", "text", "n_tokens", "page_number")
 
 
 _CLEAN = """length(text) > 0 AND length(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) >= 20
@@ -170,15 +183,25 @@ def i14(spark, sf):
 
 
 def _records(spark, sf):
-    return S.segment_rows(S.segment(_paragraphs(spark, sf), "doc_id", url="url"), "doc_id", "run-1", "spec-1")
+    return S.segment_rows(S.segment(_runs_of_words(spark, sf), "doc_id", url="url"), "doc_id", "run-1", "spec-1")
+
+
+# clean segments, numbered again per document
+_RECORDS_CTE = f"""{_WALK}, clean AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY segment_number) - 1 AS number
+    FROM segments WHERE {_CLEAN}),
+  records AS (SELECT sha1('run-1/' || doc_id || '/' || number) AS _uniqueid, doc_id, text, 'body' AS kinds,
+    'http://docs.example/' || doc_id || '#page=' || page_number AS url, 'spec-1' AS spec_id, 'run-1' AS run_id, n_tokens,
+    length(text) AS n_characters, NULL::VARCHAR AS title FROM clean)"""
 
 
-@query("i15_segment_rows")
+@query("i15_segment_rows", f"WITH {_RECORDS_CTE} SELECT * FROM records")
 def i15(spark, sf):
     return _records(spark, sf)
 
 
-@query("i15_segment_edges")
+@query("i15_segment_edges", f"""WITH {_RECORDS_CTE}
+  SELECT doc_id::VARCHAR AS _src, _uniqueid AS _dst, 'documentHasSegment' AS class FROM records
+  UNION ALL SELECT 'spec-1', _uniqueid, 'specHasSegment' FROM records UNION ALL SELECT 'run-1', _uniqueid, 'runHasSegment' FROM records""")
 def i15_edges(spark, sf):
     return S.segment_edges(_records(spark, sf), "doc_id")
 
@@ -198,22 +221,27 @@ def i16_full(spark, sf):
     return S.full_text_rows(D.full_text(_one_block(spark, sf), "doc_id"), "doc_id", "run-1", "spec-1")
 
 
-@query("i17_embedding_rows")
+@query("i17_embedding_rows", f"""WITH {_RECORDS_CTE}
+  SELECT sha1('run-2/' || _uniqueid) AS _uniqueid, _uniqueid AS segment_id, text, url, url AS lc_url, 'segments' AS set, 'spec-1' AS spec_id,
+    'run-2' AS run_id, 64 AS dimensions, 1.0::DOUBLE AS length FROM records""")
 def i17(spark, sf):
+    from plexus.operators.vectors import length
     rows = M.embedding_rows(_records(spark, sf), M.hashed_words(64), "segments", "spec-1", "run-2")
     return rows.select("_uniqueid", "segment_id", "text", "url", "lc_url", "set", "spec_id", "run_id",
-                       F.size("_vector").alias("dimensions"))
+                       F.size("_vector").alias("dimensions"), F.round(length("_vector"), 4).alias("length"))
 
 
-@query("i18_ocr_rows")
+@query("i18_ocr_rows", f"""WITH {_WALK}, clean AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY segment_number) AS number
+    FROM segments WHERE {_CLEAN})
+  SELECT sha1('run-3/' || doc_id || '/' || number) AS _uniqueid, doc_id, number AS segment_number, page_number, text, 64 AS dimensions FROM clean""")
 def i18(spark, sf):
-    """Pages without text layer through a reader model, then segments from 1 and vectors."""
+    """Page images through a reader model, then segments numbered from 1, then vectors."""
     from plexus.plans.ocr import ocr_rows
-    d = table(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("p", "t")).select(
-        "doc_id", (F.col("p") + 1).cast("int").alias("page_number"), F.encode("t", "UTF-8").alias("image"))
+    pages = _runs_of_words(spark, sf).select("doc_id", F.explode("blocks").alias("b")).select(
+        "doc_id", F.col("b.page_number").alias("page_number"), F.encode("b.text", "UTF-8").alias("image"))
 
     def reader():
         return lambda images: [bytes(i).decode() for i in images]
 
-    out = ocr_rows(d, "doc_id", reader, M.hashed_words(64), run_id="run-3", spec_id="spec-3")
+    out = ocr_rows(pages, "doc_id", reader, M.hashed_words(64), run_id="run-3", spec_id="spec-3")
     return out.embeddings.select("_uniqueid", "doc_id", "segment_number", "page_number", "text", F.size("_vector").alias("dimensions"))

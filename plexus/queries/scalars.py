@@ -201,10 +201,15 @@ def g22(spark, sf):
     return pairs(spark, sf).select("conv_id", "turn", F.round(X.char_bleu("hypothesis", "reference"), 8).alias("score"))
 
 
+# the SQL side counts bytes, so both sides see letters beyond ASCII as "?"
+_ASCII = "regexp_replace({0}, '[^ -~\\n]', '?', 'g')"
+
+
 @query("g23_levenshtein", f"""
-  SELECT conv_id, turn, levenshtein(hypothesis, reference) AS distance FROM {_PAIRS_SQL}""")
+  SELECT conv_id, turn, levenshtein({_ASCII.format('hypothesis')}, {_ASCII.format('reference')}) AS distance FROM {_PAIRS_SQL}""")
 def g23(spark, sf):
-    return pairs(spark, sf).select("conv_id", "turn", F.levenshtein("hypothesis", "reference").cast("bigint").alias("distance"))
+    plain = lambda c: F.regexp_replace(c, "[^ -~\\n]", "?")
+    return pairs(spark, sf).select("conv_id", "turn", F.levenshtein(plain("hypothesis"), plain("reference")).cast("bigint").alias("distance"))
 
 
 @query("g24_jaccard_chars", f"""

@@ -75,7 +75,17 @@ def h02(spark, sf):
     return first.unionByName(last)
 
 
-@query("h03_find_similar_mmr")
+@query("h03_find_similar_mmr", f"""
+  WITH RECURSIVE hits AS ({_search_sql(_CS, 'DESC', k=20)}),
+  c AS (SELECT query_id, hits.vec_id, _distance AS rel, rank, embedding::DOUBLE[] AS e FROM hits JOIN embeddings ON embeddings.vec_id = hits.vec_id),
+  s AS (SELECT a.query_id, a.vec_id AS x, b.vec_id AS y, list_cosine_similarity(a.e, b.e) AS sim FROM c a JOIN c b ON a.query_id = b.query_id),
+  m AS (SELECT query_id, 1 AS step, [vec_id] AS chosen FROM c WHERE rank = 1
+    UNION ALL SELECT query_id, step + 1, list_append(chosen, arg_min(x, (-round(0.5 * rel - 0.5 * near, 12), rank))) FROM (
+      SELECT m.query_id, m.step, m.chosen, s.x, any_value(c.rel) AS rel, any_value(c.rank) AS rank, max(s.sim) AS near
+      FROM m JOIN s ON s.query_id = m.query_id JOIN c ON c.query_id = s.query_id AND c.vec_id = s.x
+      WHERE m.step < 5 AND list_contains(m.chosen, s.y) AND NOT list_contains(m.chosen, s.x) GROUP BY ALL) GROUP BY query_id, step, chosen),
+  p AS (SELECT query_id, unnest(chosen) AS vec_id, unnest(range(1, 6)) AS rank FROM m WHERE step = 5)
+  SELECT p.query_id, p.vec_id, c.rel AS _distance, p.rank FROM p JOIN c ON c.query_id = p.query_id AND c.vec_id = p.vec_id""")
 def h03(spark, sf):
     v = table(spark, sf, "embeddings")
     return V.find_similar_mmr(label_centres(v), v, k=5, id_column="vec_id", vector_column="embedding", digits=6)

@@ -150,13 +150,14 @@ def annotation_tables(files: DataFrame) -> AnnotationTables:
                             files.select(F.explode("categories").alias("r")).select("r.*").distinct())
 
 
-def annotations_json(spark: SparkSession, path: str) -> AnnotationTables:
+def annotations_json(spark: SparkSession, path: str, multi_line: bool = True) -> AnnotationTables:
     """A17. Read annotation files; the corpus is the last part of the file name before the year.
 
-    Segmentations of crowds are objects there, not point lists; those files are read per record
-    and such a field comes back NULL. The three tables read the same files, each its own fields.
+    Segmentations of crowds are objects, not point lists, and come back NULL; crowds are no
+    polygons anyway. A file is one JSON value and so one task; with ``multi_line=False`` a file
+    holds one document per line and splits. The three tables read the same files, each its own fields.
     """
-    files = (spark.read.schema(ANNOTATION_SCHEMA).option("multiLine", "true").json(path)
+    files = (spark.read.schema(ANNOTATION_SCHEMA).option("multiLine", multi_line).json(path)
              .withColumn("corpus", F.regexp_extract(F.col("_metadata.file_name"), r"_([A-Za-z]+)\d*\.json$", 1)))
     return annotation_tables(files)
 
