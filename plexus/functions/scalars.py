@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import fnmatch
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -29,6 +30,21 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Characters that count as white space around a text.
+WHITE_SPACE = (" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+               "\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+
+
+def strip(text: str | Column) -> Column:
+    """Text without white space at both ends."""
+    return F.btrim(_c(text), F.lit(WHITE_SPACE))
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it many times, also inside lambdas (which would repeat it per element)."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def content_type_main(content_type: str | Column) -> Column:
     """G01. Main type of a content type: the part before the first parameter."""
     return F.trim(F.substring_index(_c(content_type), ";", 1))
@@ -38,13 +54,13 @@ def content_type_params(content_type: str | Column) -> Column:
     """G01. Parameters of a content type as a map; names in lower case, quotes removed, last one wins."""
     c = _c(content_type)
     pattern = r';\s*([^=;\s]+)\s*=\s*("[^"]*"|[^;]*)'
-    names = F.transform(F.regexp_extract_all(c, F.lit(pattern), F.lit(1)), F.lower)
     values = F.transform(F.regexp_extract_all(c, F.lit(pattern), F.lit(2)),
                          lambda v: F.regexp_replace(F.trim(v), r'^"(.*)"$', "$1"))
-    entries = F.arrays_zip(names.alias("key"), values.alias("value"))
-    last = F.filter(entries, lambda e, i: ~F.array_contains(
-        F.slice(names, i + 2, F.size(names)), e["key"]))
-    return F.map_from_entries(last)
+    def last_of_name(names: Column, items: Column) -> Column:
+        return F.filter(items, lambda _, i: ~F.array_contains(F.slice(names, i + 2, F.size(names)), F.get(names, i)))
+
+    return let(F.transform(F.regexp_extract_all(c, F.lit(pattern), F.lit(1)), F.lower),
+               lambda names: F.map_from_arrays(last_of_name(names, names), last_of_name(names, values)))
 
 
 def mime_from_path(path: str | Column) -> Column:
@@ -177,13 +193,13 @@ def area_share(area: str | Column, width: str | Column, height: str | Column) ->
 
 def polygon_pairs(flat: str | Column, dx: float = 0.0, dy: float = 0.0, scale: float = 1.0) -> Column:
     """G16. Flat ``[x, y, ...]`` to ``[[x, y], ...]`` with scale and offset."""
-    c = _c(flat)
-    n = F.size(c) / F.lit(2)
-    pairs = F.transform(
-        F.sequence(F.lit(0), n.cast("int") - 1),
-        lambda i: F.array(F.get(c, i * 2) * F.lit(scale) + F.lit(dx),
-                          F.get(c, i * 2 + 1) * F.lit(scale) + F.lit(dy)))
-    return F.when(F.size(c) >= 2, pairs).otherwise(F.array().cast("array<array<double>>"))
+    def pairs(c: Column) -> Column:
+        points = F.transform(
+            F.sequence(F.lit(0), (F.size(c) / F.lit(2)).cast("int") - 1),
+            lambda i: F.array(F.get(c, i * 2) * F.lit(scale) + F.lit(dx), F.get(c, i * 2 + 1) * F.lit(scale) + F.lit(dy)))
+        return F.when(F.size(c) >= 2, points).otherwise(F.array().cast("array<array<double>>"))
+
+    return let(_c(flat), pairs)
 
 
 def polygon_rings(rings: str | Column, min_points: int = 3) -> Column:
@@ -229,10 +245,11 @@ def anchor_url(url: str | Column, anchor: str | Column, page_number: str | Colum
 
 def jaccard_chars(a: str | Column, b: str | Column) -> Column:
     """G24. Jaccard distance of two character sets; NULL when both are empty."""
-    x = F.array_distinct(F.filter(F.split(_c(a), ""), lambda ch: ch != ""))
-    y = F.array_distinct(F.filter(F.split(_c(b), ""), lambda ch: ch != ""))
-    return 1 - F.try_divide(F.size(F.array_intersect(x, y)).cast("double"),
-                            F.size(F.array_union(x, y)).cast("double"))
+    def chars(c: str | Column) -> Column:
+        return F.array_distinct(F.filter(F.split(_c(c), ""), lambda ch: ch != ""))
+
+    return let(chars(a), lambda x: let(chars(b), lambda y: 1 - F.try_divide(
+        F.size(F.array_intersect(x, y)).cast("double"), F.size(F.array_union(x, y)).cast("double"))))
 
 
 def typed_value(text: str | Column, kind: str, strict: bool = False) -> Column:

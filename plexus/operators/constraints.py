@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plexus.functions.scalars import content_type_main, url_domain
+from plexus.functions.scalars import content_type_main, let, url_domain
 from plexus.types import ID
 
 
@@ -150,9 +150,8 @@ def content_type_allow(df: DataFrame, column: str = "content_type",
 
 def domain_suffixes(domain: Column) -> Column:
     """A domain and all its parent domains, as an array."""
-    parts = F.split(domain, r"\.")
-    return F.transform(F.sequence(F.lit(1), F.size(parts)),
-                       lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
+    return let(F.split(domain, r"\."), lambda parts: F.transform(
+        F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), ".")))
 
 
 def allowed_domains(df: DataFrame, start_urls: DataFrame, extra: Sequence[str] = (),

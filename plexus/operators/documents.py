@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plexus.functions.scalars import content_type_main, http_date, max_age, url_domain, utf8_text
+from plexus.functions.scalars import content_type_main, http_date, max_age, strip, url_domain, utf8_text
 from plexus.operators.constraints import allowed_domains
 from plexus.operators.html_blocks import html_blocks, html_links, parse_selector
 from plexus.operators.vectors import to_arrow
@@ -117,7 +117,7 @@ def page_blocks(documents: DataFrame, pages: str = "pages", title: str = "title"
     t = F.col(title) if title in documents.columns else F.lit(None).cast("string")
     numbered = F.transform(F.col(pages), lambda p, i: F.struct(p.alias("p"), (i + 1).alias("n")))
     blocks = F.transform(F.filter(numbered, lambda e: F.coalesce(e["p"] != "", F.lit(False))),
-                         lambda e: _one_block(F.regexp_replace(e["p"], r"(?U)^\s+|\s+$", ""), e["n"], t))
+                         lambda e: _one_block(strip(e["p"]), e["n"], t))
     return documents.withColumn("blocks", blocks).drop(pages)
 
 

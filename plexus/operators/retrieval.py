@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plexus.functions.scalars import strip
+
 # The line between answer and new summary.
 SEPARATOR = "===SUMMARY==="
 
@@ -31,7 +33,6 @@ def split_answer(response: str | Column, history: str | Column, separator: str =
     r = F.col(response) if isinstance(response, str) else response
     h = F.col(history) if isinstance(history, str) else history
     at = F.instr(r, separator)
-    strip = lambda c: F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
     answer = F.when(at > 0, F.substring(r, F.lit(1), at - 1)).otherwise(r)
     tail = F.substring(r, at + len(separator), F.length(r))
     return strip(answer), strip(F.when(at > 0, tail).otherwise(h))

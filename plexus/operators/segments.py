@@ -19,6 +19,8 @@ Counter = Callable[[str], int]
 # Separators of the splitter, from coarse to fine; the last one is every character.
 SEPARATORS = ("\n\n", "\n", " ", "")
 
+BLOCK_FIELDS = ("text", "kind", "anchor", "page_number", "title")
+
 SEGMENT_SCHEMA = T.ArrayType(T.StructType([
     T.StructField("text", T.StringType()), T.StructField("kinds", T.StringType()),
     T.StructField("n_tokens", T.IntegerType()), T.StructField("title", T.StringType()),
@@ -75,28 +77,30 @@ def split_long(text: str, limit: int, count: Counter, separators: tuple[str, ...
     return chunks
 
 
-def pack_blocks(blocks: list[dict], max_tokens: int, overlap_tokens: int, count: Counter) -> Iterator[dict]:
-    """I13. Greedy segments of one document.
+def pack_blocks(texts: list[str], kinds: list[str], anchors: list, pages: list, titles: list, max_tokens: int,
+                overlap_tokens: int, count: Counter) -> Iterator[dict]:
+    """I13. Greedy segments of one document, from the columns of its blocks.
 
     A segment ends when the next piece would not fit; the last pieces within the overlap start
     the next one. After that the next piece is taken even when it no longer fits.
     """
-    window: list[tuple[dict, str, int]] = []
+    window: list[tuple[int, str, int]] = []  # block, text, tokens
     tokens, title = 0, None
 
     def emit() -> dict:
-        link = next((b for b, _, _ in window if b["anchor"] or b["page_number"]), None)
-        return {"text": "\n\n".join(t for _, t, _ in window), "kinds": ",".join(sorted({b["kind"] for b, _, _ in window})),
-                "n_tokens": tokens, "title": title, "anchor": link["anchor"] if link else None,
-                "page_number": link["page_number"] if link else None,
-                "first_page": next((b["page_number"] for b, _, _ in window if b["page_number"] is not None), None)}
-
-    for block in blocks:
-        title = title or block["title"]
-        size = count(block["text"])
-        texts = [block["text"]] if size <= max_tokens else split_long(block["text"], max_tokens, count)
-        for text in texts:
-            size = count(text)
+        blocks = [b for b, _, _ in window]
+        link = next((b for b in blocks if anchors[b] or pages[b]), None)
+        return {"text": "\n\n".join(t for _, t, _ in window), "kinds": ",".join(sorted({kinds[b] for b in blocks})),
+                "n_tokens": tokens, "title": title, "anchor": None if link is None else anchors[link],
+                "page_number": None if link is None else pages[link],
+                "first_page": next((pages[b] for b in blocks if pages[b] is not None), None)}
+
+    for block, whole in enumerate(texts):
+        title = title or titles[block]
+        size = count(whole)
+        pieces = ([(whole, size)] if size <= max_tokens
+                  else [(t, count(t)) for t in split_long(whole, max_tokens, count)])
+        for text, size in pieces:
             if window and tokens + size > max_tokens:
                 yield emit()
                 kept, room = len(window), overlap_tokens
@@ -124,14 +128,19 @@ def segment(documents: DataFrame, key: str, *, max_tokens: int = 300, overlap_to
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count, target = count_tokens(), to_arrow(schema)
         for batch in batches:
-            made = [[*pack_blocks([b for b in (blocks or []) if b["type"] == "text" and b["text"] is not None],
-                                  max_tokens, overlap_tokens, count)]
-                    for blocks in batch.column(batch.num_columns - 1).to_pylist()]
+            lists = batch.column(batch.num_columns - 1)
+            flat, ends = lists.flatten(), lists.offsets.to_pylist()
+            fields = [flat.field(n).to_pylist() for n in BLOCK_FIELDS]
+            made = [[*pack_blocks(*[f[a - ends[0]:b - ends[0]] for f in fields], max_tokens, overlap_tokens, count)]
+                    for a, b in zip(ends, ends[1:])]
             columns = [batch.column(i) for i in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(made, type=target.field("segments").type)], schema=target)
 
-    packed = documents.select(key, *extra, "blocks").mapInArrow(run, schema)
+    text_blocks = F.transform(
+        F.filter("blocks", lambda b: (b["type"] == "text") & b["text"].isNotNull()),
+        lambda b: F.struct(*[b[n].alias(n) for n in BLOCK_FIELDS]))
+    packed = documents.select(key, *extra, F.coalesce(text_blocks, F.array()).alias("blocks")).mapInArrow(run, schema)
     segments = F.filter("segments", lambda s: is_clean(s["text"], min_chars)) if clean_only else F.col("segments")
     rows = packed.select(key, *extra, F.posexplode(segments).alias("_i", "s")).select(
         key, *extra, (F.col("_i") + start).alias("segment_number"), "s.*")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plexus.functions.scalars import strip
 from plexus.operators.documents import BLOCK_SCHEMA
 from plexus.operators.models import Model, batch_infer, embed_texts
 from plexus.operators.segments import derived_edges, segment
@@ -31,9 +32,9 @@ def ocr_rows(pages: DataFrame, key: str, reader: Callable[[], Model], embedder:
     """
     read = batch_infer(pages, image, reader, {"text": T.StringType()}).drop(image)
     # the model runs once: both record and segment side use its output
-    texts = read.where(F.length(F.trim(F.coalesce("text", F.lit("")))) > 0).select(
+    texts = read.where(strip("text") != "").select(
         F.sha1(F.concat_ws("/", F.lit(run_id), F.col(key), F.lit("page"), F.col(page))).alias(ID), key, page,
-        F.regexp_replace("text", r"(?U)^\s+|\s+$", "").alias("text"), F.lit(spec_id).alias("spec_id"), F.lit(run_id).alias("run_id"))
+        strip("text").alias("text"), F.lit(spec_id).alias("spec_id"), F.lit(run_id).alias("run_id"))
     null = F.lit(None).cast("string")
     block = F.struct(F.col(page).alias("page_number"), F.lit("text").alias("type"), F.col("text"), F.lit("body").alias("kind"),
                      null.alias("anchor"), null.alias("title"), null.alias("image_url"), null.alias("alt"), null.alias("caption"))

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plexus.functions import text as X
+from plexus.functions.scalars import let
 from plexus.operators import documents as D
 from plexus.operators import models as M
 from plexus.operators import segments as S
 from plexus.queries.registry import query, table
 from plexus.queries.similarity import TOKENS
 from plexus.queries.views import DOMAIN_SQL, RESPONSES_SQL, responses
+from plexus.session import spread
 
 _ERRORS = "(400, 401, 402, 403, 404, 405)"
 
@@ -42,7 +44,7 @@ def i03(spark, sf):
 
 @query("i04_extract_blocks_html")
 def i04(spark, sf):
-    return D.block_rows(D.extract_blocks_html(table(spark, sf, "pages").select("page_id", "html")), "page_id").select(
+    return D.block_rows(D.extract_blocks_html(spread(table(spark, sf, "pages").select("page_id", "html"), "page_id")), "page_id").select(
         "page_id", "position", "kind", "text", "anchor", "title")
 
 
@@ -114,7 +116,7 @@ def i11(spark, sf):
 
 
 def _one_block(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", F.encode("text", "UTF-8").alias("body"))
+    d = spread(table(spark, sf, "documents").select("doc_id", F.encode("text", "UTF-8").alias("body")), "doc_id")
     return D.extract_blocks_text(d)
 
 
@@ -125,12 +127,6 @@ def i12(spark, sf):
         "doc_id", "segment_number", "n_tokens", "text")
 
 
-def _paragraphs(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", F.lit(None).cast("string").alias("title"), F.concat(
-        F.lit("http://docs.example/"), "doc_id").alias("url"), F.split("text", "\n").alias("pages"))
-    return D.page_blocks(d)
-
-
 # Greedy packing without cut blocks, as a recursive walk: s starts a segment, e ends it.
 _WALK = f"""RECURSIVE raw AS (
     SELECT doc_id, s // 20 + 1 AS page_number, array_to_string(w[s + 1:s + 20], ' ') AS page FROM (
@@ -156,9 +152,10 @@ _WALK = f"""RECURSIVE raw AS (
 
 def _runs_of_words(spark, sf):
     """The documents in pages of 20 words: no page is long enough to be cut, so SQL can follow the walk."""
-    w = F.split("text", " ")
-    pages = F.transform(F.sequence(F.lit(0), F.size(w) - 1, F.lit(20)), lambda i: F.array_join(F.slice(w, i + 1, 20), " "))
-    return D.page_blocks(table(spark, sf, "documents").select("doc_id", F.lit(None).cast("string").alias("title"), F.concat(
+    pages = let(F.split("text", " "), lambda w: F.transform(
+        F.sequence(F.lit(0), F.size(w) - 1, F.lit(20)), lambda i: F.array_join(F.slice(w, i + 1, 20), " ")))
+    documents = spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    return D.page_blocks(documents.select("doc_id", F.lit(None).cast("string").alias("title"), F.concat(
         F.lit("http://docs.example/"), "doc_id").alias("url"), pages.alias("pages")))
 
 
@@ -178,7 +175,7 @@ _CLEAN = """length(text) > 0 AND length(regexp_replace(text, '^\\s+|\\s+$', '',
   SELECT id, {_CLEAN} AS is_clean FROM (SELECT doc_id || '/' || i AS id, text FROM (
     SELECT doc_id, unnest(string_split(text, chr(10))) AS text, unnest(range(0, len(string_split(text, chr(10))))) AS i FROM documents))""")
 def i14(spark, sf):
-    lines = table(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "text"))
+    lines = spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id").select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "text"))
     return lines.select(F.concat_ws("/", "doc_id", "i").alias("id"), X.is_clean("text").alias("is_clean"))
 
 

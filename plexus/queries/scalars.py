@@ -8,6 +8,7 @@ from plexus.functions import scalars as G
 from plexus.functions import text as X
 from plexus.queries.registry import query, table
 from plexus.queries.views import RESPONSES_SQL, responses
+from plexus.session import spread
 
 
 @query("g01_content_type_parts", f"""
@@ -166,7 +167,7 @@ _PAIRS_SQL = """(SELECT b.conv_id, b.turn, a.text AS reference, b.text AS hypoth
 
 
 def pairs(spark, sf):
-    c = table(spark, sf, "conversations")
+    c = spread(table(spark, sf, "conversations").select("conv_id", "turn", "text"), "conv_id")
     before = c.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("reference"))
     return c.select("conv_id", "turn", F.col("text").alias("hypothesis")).join(before, ["conv_id", "turn"])
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from plexus.operators import vectors as V
 from plexus.queries.registry import query, table
+from plexus.session import spread
 
 DIMENSIONS = 64
 
@@ -123,7 +124,7 @@ def embedding_sql(source: str, key: str, text: str) -> str:
   SELECT k AS doc_id, dim, round(value::FLOAT::DOUBLE, 5) AS value FROM {embedding_sql('documents', 'doc_id', 'text')} WHERE abs(value) > 1e-9""")
 def h06(spark, sf):
     from plexus.operators.models import embed_texts, hashed_words
-    out = embed_texts(table(spark, sf, "documents").select("doc_id", "text"), "text", hashed_words(64))
+    out = embed_texts(spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id"), "text", hashed_words(64))
     return out.select("doc_id", F.posexplode("_vector").alias("dim", "v")).where("abs(v) > 1e-9").select(
         "doc_id", F.col("dim").cast("bigint").alias("dim"), F.round(F.col("v").cast("double"), 5).alias("value"))
 
@@ -132,7 +133,7 @@ def pictures(spark, sf):
     """The text of every document as a grey picture, 16 pixels wide, one byte each, padded with blanks."""
     raw = F.encode(F.concat(F.col("text"), F.repeat(F.lit(" "), 16)), "UTF-8")
     height = F.floor(F.octet_length(raw) / 16).cast("int")
-    return table(spark, sf, "documents").select("doc_id", F.struct(
+    return spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id").select("doc_id", F.struct(
         height.alias("height"), F.lit(16).alias("width"), F.lit(1).alias("nChannels"), F.lit(0).alias("mode"),
         F.substring(raw, F.lit(1), height * 16).alias("data")).alias("image"))
 

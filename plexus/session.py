@@ -64,3 +64,14 @@ def at_most(df: DataFrame, rows: int) -> bool:
 def broadcast_within(df: DataFrame, rows: int) -> DataFrame:
     """Hint a broadcast only after the row count was checked; otherwise leave the join to AQE."""
     return F.broadcast(df) if at_most(df, rows) else df
+
+
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Spread a small scan over all cores before heavy work per row.
+
+    Only scans with fewer splits than cores are shuffled, so never more than cores x
+    ``spark.sql.files.maxPartitionBytes``; a large scan keeps its splits. Call it on a scan or a
+    projection of one (a plan without shuffles).
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)
