@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plexus.session import materialise
+
 
 def row_number_by_block(df: DataFrame, keys: Sequence[str], position: str, name: str,
                         start: int = 0, block: int = 50_000) -> DataFrame:
@@ -28,18 +30,21 @@ def row_number_by_block(df: DataFrame, keys: Sequence[str], position: str, name:
             .drop("_i", "_offset", "_block"))
 
 
-def dense_index(values: DataFrame, column: str, name: str, prefix: int = 2) -> DataFrame:
-    """Number distinct strings in alphabetical order from 0, without one task sorting them all.
+def dense_index(values: DataFrame, column: str, name: str) -> DataFrame:
+    """Number distinct values in their order from 0, without one task sorting them all.
 
-    Numbers run inside each leading prefix; offsets come from the counts per prefix.
+    Values are cut into ranges and written once with their range number, so that the numbers stay
+    what they are when a task is repeated. Rows are numbered inside each range; the offsets come
+    from one count per range.
     """
-    rows = values.withColumn("_p", F.substring(column, 1, prefix))
-    counts = rows.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy("_p").orderBy(column)
-    return (rows.withColumn("_i", F.row_number().over(inside)).join(offsets, "_p")
-            .withColumn(name, F.col("_i") + F.col("_offset") - 1).drop("_p", "_i", "_offset"))
+    parts = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = materialise(values.repartitionByRange(parts, column).withColumn("_range", F.spark_partition_id()), "ranges")
+    counts = ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    offsets = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy("_range").orderBy(column)
+    return (ranges.withColumn("_i", F.row_number().over(inside)).join(offsets, "_range")
+            .withColumn(name, F.col("_i") + F.col("_offset") - 1).drop("_range", "_i", "_offset"))
 
 
 def key_parts(df: DataFrame, key: str, item: Column, max_rows: int) -> DataFrame:

@@ -10,7 +10,7 @@ block of vectors and keeps the best k per query, so what is shuffled is k rows p
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from typing import Any
 
 import numpy as np
@@ -25,8 +25,10 @@ from plexus.operators.constraints import constrain
 # Metrics; for the first two the largest value is the nearest.
 COSINE, INNER_PRODUCT, EUCLIDEAN = "CS", "IP", "L2"
 
-SCAN_QUERY_BYTES = 64 << 20  # a query block that every task may hold
+SCAN_QUERY_BYTES = 32 << 20  # a query block that every task may hold
+SCAN_QUERIES = 4096          # and its rows
 BLOCK_ROWS = 20_000          # rows of a block in the two-sided search
+CHUNK_SCORES = 4 << 20       # scores that a task holds at a time
 
 
 def check_search(k: int, metric: str = COSINE, **inputs: Any) -> None:
@@ -62,33 +64,47 @@ def _scores(queries: np.ndarray, vectors: np.ndarray, metric: str, digits: int |
 class _Best:
     """The best k vectors per query seen so far; ties go to the smaller id."""
 
-    def __init__(self, n_queries: int, k: int, nearest_is_large: bool):
-        self.k, self.sign = k, -1.0 if nearest_is_large else 1.0
-        self.cost: list[np.ndarray] = [np.empty(0) for _ in range(n_queries)]
-        self.ids: list[np.ndarray | None] = [None] * n_queries
-
-    def add(self, scores: np.ndarray, ids: np.ndarray, skip: np.ndarray | None = None) -> None:
-        cost = self.sign * scores
-        if skip is not None:
-            cost = np.where(skip, np.inf, cost)
-        limit = np.array([c[-1] if len(c) == self.k else np.inf for c in self.cost])
-        for q in np.nonzero((cost <= limit[:, None]).any(axis=1))[0]:
-            row = cost[q]
-            bound = limit[q]
-            if len(row) > self.k:
-                bound = min(bound, np.partition(row, self.k - 1)[self.k - 1])
-            near = np.nonzero((row <= bound) & np.isfinite(row))[0]
-            all_cost = np.concatenate([self.cost[q], row[near]])
-            all_ids = ids[near] if self.ids[q] is None else np.concatenate([self.ids[q], ids[near]])
-            order = np.lexsort((all_ids, all_cost))[: self.k]
-            self.cost[q], self.ids[q] = all_cost[order], all_ids[order]
+    def __init__(self, matrix: np.ndarray, k: int, metric: str, digits: int | None):
+        self.matrix, self.k, self.metric, self.digits = matrix, k, metric, digits
+        self.sign = 1.0 if metric == EUCLIDEAN else -1.0
+        self.cost = np.full((len(matrix), k), np.inf)
+        self.ids: np.ndarray | None = None
+
+    def add(self, vectors: np.ndarray, ids: np.ndarray, skip: Callable[[slice], np.ndarray] | None = None) -> None:
+        """Score a batch, a chunk at a time. ``skip`` marks the (query, vector) places to leave out."""
+        if self.ids is None:
+            self.ids = np.zeros(self.cost.shape, dtype=ids.dtype)
+        step = max(1, CHUNK_SCORES // max(1, len(self.matrix)))
+        for at in range(0, len(vectors), step):
+            part = slice(at, at + step)
+            cost = self.sign * _scores(self.matrix, vectors[part], self.metric, self.digits)
+            if skip is not None:
+                cost[skip(part)] = np.inf
+            self._merge(cost, ids[part])
+
+    def _merge(self, cost: np.ndarray, ids: np.ndarray) -> None:
+        last = self.cost.max(axis=1)
+        rows = np.nonzero(((cost <= last[:, None]) & np.isfinite(cost)).any(axis=1))[0]
+        if not len(rows):
+            return
+        all_cost = np.concatenate([self.cost[rows], cost[rows]], axis=1)
+        all_ids = np.concatenate([self.ids[rows], np.broadcast_to(ids, (len(rows), len(ids)))], axis=1)
+        bound = np.partition(all_cost, self.k - 1, axis=1)[:, self.k - 1]
+        near = all_cost <= bound[:, None]
+        exact = near.sum(axis=1) == self.k
+        at = np.nonzero(near[exact])[1].reshape(-1, self.k)
+        self.cost[rows[exact]] = np.take_along_axis(all_cost[exact], at, axis=1)
+        self.ids[rows[exact]] = np.take_along_axis(all_ids[exact], at, axis=1)
+        for i in np.nonzero(~exact)[0]:  # ties at the border: smaller ids first
+            places = np.nonzero(near[i])[0]
+            places = places[np.lexsort((all_ids[i, places], all_cost[i, places]))][: self.k]
+            self.cost[rows[i]], self.ids[rows[i]] = all_cost[i, places], all_ids[i, places]
 
     def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query index, vector id, distance) of everything kept."""
-        index = np.repeat(np.arange(len(self.cost)), [len(c) for c in self.cost])
-        ids = [i for i in self.ids if i is not None]
-        return (index, np.concatenate(ids) if ids else np.empty(0, dtype=object),
-                self.sign * np.concatenate(self.cost) if self.cost else np.empty(0))
+        query, place = np.nonzero(np.isfinite(self.cost))
+        ids = np.empty(0) if self.ids is None else self.ids[query, place]
+        return query, ids, self.sign * self.cost[query, place]
 
 
 def _arrow_vectors(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -140,32 +156,33 @@ def find_similar(queries: DataFrame, vectors: DataFrame, k: int = 10, metric: st
     return hits.select("query_id", id_column, "_distance", "rank")
 
 
-def _query_block(asked: DataFrame, max_bytes: int) -> tuple[list, np.ndarray] | None:
+def _query_block(asked: DataFrame, max_bytes: int) -> tuple[np.ndarray, np.ndarray] | None:
     """Queries as one block when they are few enough to give to every task, else None.
 
     The dimension is read from one row, the number of queries is bounded before anything is fetched.
     """
     first = asked.select(F.size("query_vector").alias("d")).first()
     if first is None:
-        return [], np.empty((0, 0))
-    limit = max_bytes // (8 * max(1, first["d"]))
+        return np.empty(0), np.empty((0, 0))
+    limit = min(max_bytes // (8 * max(1, first["d"])), SCAN_QUERIES)
     rows = asked.limit(limit + 1).toPandas()
     if len(rows) > limit:
         return None
-    return list(rows["query_id"]), _matrix(rows["query_vector"], first["d"])
+    return rows["query_id"].to_numpy(), _matrix(rows["query_vector"], first["d"])
 
 
-def _scan(asked: DataFrame, block: tuple[list, np.ndarray], pool: DataFrame, k: int, metric: str, id_column: str,
-          vector_column: str, exclude_self: bool, digits: int | None) -> DataFrame:
+def _scan(asked: DataFrame, block: tuple[np.ndarray, np.ndarray], pool: DataFrame, k: int, metric: str, id_column: str,
+          vector_column: str, exclude_self: bool, digits: int | None, planes: np.ndarray | None = None) -> DataFrame:
+    """Best k per query and task, the vectors read where they lie; with ``planes`` only inside equal buckets."""
     schema = _hit_schema(asked, pool, "query_id", id_column)
-    shared = pool.sparkSession.sparkContext.broadcast(block)  # at most max_scan_bytes, checked above
+    shared = pool.sparkSession.sparkContext.broadcast(block)  # bounded by SCAN_QUERIES and max_scan_bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query_ids, matrix = shared.value
-        if not query_ids:
+        own, matrix = shared.value
+        if not len(own):
             return
-        best = _Best(len(query_ids), k, metric != EUCLIDEAN)
-        own = np.asarray(query_ids)
+        best = _Best(matrix, k, metric, digits)
+        asked_codes = None if planes is None else _codes(matrix, planes)
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             data = _arrow_vectors(batch.column(1))
@@ -173,13 +190,25 @@ def _scan(asked: DataFrame, block: tuple[list, np.ndarray], pool: DataFrame, k:
                 continue
             if data.shape[1] != matrix.shape[1]:
                 raise ValueError(f"query has {matrix.shape[1]} dimensions, the set {data.shape[1]}")
-            skip = (own[:, None] == ids[None, :]) if exclude_self else None
-            best.add(_scores(matrix, data, metric, digits), ids, skip)
+            codes = None if planes is None else _codes(data, planes)
+            if codes is not None:
+                # vectors in no query's bucket are not scored at all
+                hit = np.any([np.isin(codes[:, t], asked_codes[:, t]) for t in range(codes.shape[1])], axis=0)
+                ids, data, codes = ids[hit], data[hit], codes[hit]
+
+            def skip(part: slice) -> np.ndarray:
+                out = np.zeros((len(own), len(ids[part])), dtype=bool)
+                if codes is not None:
+                    for t in range(codes.shape[1]):
+                        out |= asked_codes[:, t][:, None] == codes[part, t][None, :]
+                    out = ~out
+                return out | (own[:, None] == ids[part][None, :]) if exclude_self else out
+
+            best.add(data, ids, skip if exclude_self or codes is not None else None)
         index, ids, distance = best.rows()
         if len(index):
-            yield pa.RecordBatch.from_pydict(
-                {"query_id": [query_ids[i] for i in index], id_column: ids.tolist(), "_distance": distance},
-                schema=to_arrow(schema))
+            yield pa.RecordBatch.from_pydict({"query_id": own[index].tolist(), id_column: ids.tolist(), "_distance": distance},
+                                             schema=to_arrow(schema))
 
     return pool.select(id_column, vector_column).mapInArrow(run, schema)
 
@@ -196,9 +225,9 @@ def _block_topk(k: int, metric: str, id_column: str, exclude_self: bool, digits:
             return pd.DataFrame({n: [] for n in names})
         query_ids, ids = left["query_id"].to_numpy(), right["_vid"].to_numpy()
         matrix = _matrix(left["query_vector"])
-        best = _Best(len(query_ids), k, metric != EUCLIDEAN)
-        skip = (query_ids[:, None] == ids[None, :]) if exclude_self else None
-        best.add(_scores(matrix, _matrix(right["_vec"], matrix.shape[1]), metric, digits), ids, skip)
+        best = _Best(matrix, k, metric, digits)
+        own = (lambda part: query_ids[:, None] == ids[part][None, :]) if exclude_self else None
+        best.add(_matrix(right["_vec"], matrix.shape[1]), ids, own)
         index, found, distance = best.rows()
         return pd.DataFrame({"query_id": query_ids[index], id_column: found, "_distance": distance})
     return run
@@ -274,17 +303,21 @@ def hyperplanes(dimensions: int, tables: int, bits: int, seed: int = 42) -> np.n
     return np.random.default_rng(seed).standard_normal((tables, bits, dimensions))
 
 
+def _codes(matrix: np.ndarray, planes: np.ndarray) -> np.ndarray:
+    """Bucket of each vector in each hash table."""
+    tables, bits, dimensions = planes.shape
+    side = (matrix @ planes.reshape(-1, dimensions).T > 0).reshape(len(matrix), tables, bits)
+    return (side * (1 << np.arange(bits))).sum(axis=2).astype(np.int32)
+
+
 def lsh_codes(vectors: DataFrame, vector_column: str, dimensions: int, tables: int = 8, bits: int = 8,
               seed: int = 42) -> DataFrame:
     """One row per vector and hash table, with ``_table`` and ``_code`` (side of each random hyperplane)."""
     planes = hyperplanes(dimensions, tables, bits, seed)
-    powers = 1 << np.arange(bits)
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def codes(v: pd.Series) -> pd.Series:
-        m = _matrix(v, dimensions)
-        side = np.einsum("nd,tbd->ntb", m, planes) > 0
-        return pd.Series(list((side * powers).sum(axis=2).astype(np.int32)))
+        return pd.Series(list(_codes(_matrix(v, dimensions), planes)))
 
     return vectors.select("*", F.posexplode(codes(F.col(vector_column))).alias("_table", "_code"))
 
@@ -292,20 +325,28 @@ def lsh_codes(vectors: DataFrame, vector_column: str, dimensions: int, tables: i
 def approx_similar(queries: DataFrame, vectors: DataFrame, k: int = 10, metric: str = COSINE, *, dimensions: int,
                    tables: int = 8, bits: int = 6, seed: int = 42, query_id: str = "query_id",
                    query_vector: str = "query_vector", id_column: str = "_uniqueid", vector_column: str = "_vector",
-                   exclude_self: bool = False, digits: int | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
+                   exclude_self: bool = False, digits: int | None = None, max_scan_bytes: int = SCAN_QUERY_BYTES,
+                   block_rows: int = BLOCK_ROWS) -> DataFrame:
     """H04. Approximate search: vectors that share a hash bucket with the query, ranked exactly.
 
-    Buckets meet block by block, so a bucket that holds a third of all vectors is many groups, and no
-    (query, vector) pairs are written. A vector found through several tables counts once.
+    A few queries go to every task, which scores only the vectors in their buckets: nothing is
+    shuffled but the best k. With many queries buckets meet block by block, so a bucket that holds a
+    third of all vectors is many groups; no (query, vector) pairs are written. A vector found through
+    several tables counts once.
     """
     check_search(k, metric)
-    schema = _hit_schema(queries.select(F.col(query_id).alias("query_id")), vectors, "query_id", id_column)
-    left = lsh_codes(queries.select(F.col(query_id).alias("query_id"), F.col(query_vector).alias("query_vector")),
-                     "query_vector", dimensions, tables, bits, seed)
+    asked = queries.select(F.col(query_id).alias("query_id"), F.col(query_vector).alias("query_vector"))
+    block = _query_block(asked, max_scan_bytes)
+    if block is not None:
+        partial = _scan(asked, block, vectors, k, metric, id_column, vector_column, exclude_self, digits,
+                        hyperplanes(dimensions, tables, bits, seed))
+        return _final(partial, k, id_column, metric).select("query_id", id_column, "_distance", "rank")
+    schema = _hit_schema(asked, vectors, "query_id", id_column)
+    left = lsh_codes(asked, "query_vector", dimensions, tables, bits, seed)
     right = lsh_codes(vectors.select(F.col(id_column).alias("_vid"), F.col(vector_column).alias("_vec")), "_vec",
                       dimensions, tables, bits, seed)
     partial = _meet(left, right, ["_table", "_code"], k, metric, id_column, schema, exclude_self, digits, block_rows)
-    once = partial.groupBy("query_id", id_column).agg(F.max("_distance").alias("_distance"))
+    once = partial.groupBy("query_id", id_column).agg(F.first("_distance").alias("_distance"))  # equal in all tables
     return _final(once, k, id_column, metric).select("query_id", id_column, "_distance", "rank")
 
 

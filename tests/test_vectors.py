@@ -47,6 +47,17 @@ def test_exact_search(data, metric, way):
     assert found(V.find_similar(q, v, 7, metric, digits=6, **kw)) == brute(queries, vectors, 7, metric)
 
 
+def test_scores_come_in_chunks(data, monkeypatch):
+    v, q, vectors, queries = data
+    best = V._Best(queries, 3, "CS", 6)
+    monkeypatch.setattr(V, "CHUNK_SCORES", 100)
+    best.add(vectors, np.arange(len(vectors)))
+    got = {}
+    for qi, i, d in zip(*best.rows()):
+        got.setdefault(qi, set()).add(i)
+    assert got == {k: set(x) for k, x in brute(queries, vectors, 3, "CS").items()}
+
+
 def test_blocks_do_not_outgrow_their_bound(data):
     """No task sees more than about a block, though a third of the vectors are equal."""
     v, q, *_ = data
@@ -95,11 +106,19 @@ def test_mmr(data):
         assert got[qi] == chosen
 
 
-def test_approximate_search_with_a_hot_bucket(data):
+def test_both_ways_of_approximate_search_agree(data):
+    v, q, *_ = data
+    kw = dict(dimensions=D, tables=6, bits=4, digits=6)
+    scan = found(V.approx_similar(q, v, 5, **kw))
+    assert scan == found(V.approx_similar(q, v, 5, max_scan_bytes=0, block_rows=40, **kw))
+
+
+@pytest.mark.parametrize("way", [{}, {"max_scan_bytes": 0, "block_rows": 40}])
+def test_approximate_search_with_a_hot_bucket(data, way):
     v, q, vectors, queries = data
     exact = V.find_similar(q, v, 5, digits=6)
     # one bit: half of all vectors per bucket, cut into blocks of 40
-    near = V.approx_similar(q, v, 5, dimensions=D, tables=12, bits=1, digits=6, block_rows=40)
+    near = V.approx_similar(q, v, 5, dimensions=D, tables=12, bits=1, digits=6, **way)
     assert V.recall(near, exact).first().recall > 0.95
     assert near.groupBy("query_id", "_uniqueid").count().where("count > 1").count() == 0
     # and what is found is ranked exactly
