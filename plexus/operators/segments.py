@@ -91,7 +91,7 @@ def pack_blocks(texts: list[str], kinds: list[str], anchors: list, pages: list,
         blocks = [b for b, _, _ in window]
         link = next((b for b in blocks if anchors[b] or pages[b]), None)
         return {"text": "\n\n".join(t for _, t, _ in window), "kinds": ",".join(sorted({kinds[b] for b in blocks})),
-                "n_tokens": tokens, "title": title, "anchor": None if link is None else anchors[link],
+                "n_tokens": tokens, "title": title or None, "anchor": None if link is None else anchors[link],
                 "page_number": None if link is None else pages[link],
                 "first_page": next((pages[b] for b in blocks if pages[b] is not None), None)}
 

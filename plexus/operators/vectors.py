@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plexus.frames import no_rows
 from plexus.operators.constraints import constrain
 
 # Metrics; for the first two the largest value is the nearest.
@@ -222,7 +223,7 @@ def _block_topk(k: int, metric: str, id_column: str, exclude_self: bool, digits:
     def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         names = ["query_id", id_column, "_distance"]
         if left.empty or right.empty:
-            return pd.DataFrame({n: [] for n in names})
+            return no_rows(names)
         query_ids, ids = left["query_id"].to_numpy(), right["_vid"].to_numpy()
         matrix = _matrix(left["query_vector"])
         best = _Best(matrix, k, metric, digits)

@@ -165,6 +165,15 @@ def i13(spark, sf):
         "doc_id", "segment_number", "text", "n_tokens", "page_number")
 
 
+@query("i13_segment_block_rows", f"WITH {_WALK} SELECT * FROM segments")
+def i13_rows(spark, sf):
+    """The same segments from one row per page, cut into stretches of 2,000 tokens."""
+    from plexus.operators.block_rows import segment_block_rows
+    rows = D.block_rows(_runs_of_words(spark, sf), "doc_id")
+    return segment_block_rows(rows, "doc_id", clean_only=False, stretch=2000).select(
+        "doc_id", "segment_number", "text", "n_tokens", "page_number")
+
+
 _CLEAN = """length(text) > 0 AND length(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) >= 20
   AND length(regexp_replace(text, '[^\\p{L}\\p{N}]', '', 'g')) >= 0.2 * length(text)
   AND len(list_distinct(string_split(text, ''))) >= 5

@@ -21,8 +21,8 @@ def l01(spark, sf):
     """Events that arrive in several files, some of them twice, one file per batch."""
     incoming = shared_dir(spark, "incoming")
     events = table(spark, sf, "events")
-    events.repartitionByRange(4, "ts").write.parquet(incoming)
-    events.where("event_type = 'click'").coalesce(1).write.mode("append").parquet(incoming)
+    events.repartitionByRange("ts").write.parquet(incoming)
+    events.where("event_type = 'click'").write.mode("append").parquet(incoming)
     target, checkpoint = shared_dir(spark, "enriched"), shared_dir(spark, "checkpoint")
     query_ = L.incremental_enrich(L.read_new_files(spark, incoming, events.schema, max_files=2), _enrich, target, checkpoint,
                                   ["event_id"], ["ts"], interval="0 seconds")
