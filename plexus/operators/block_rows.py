@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plexus.frames import no_rows
-from plexus.functions.text import is_clean
-from plexus.operators.segments import count_tokens, split_long
+from plexus.functions.text import is_clean, token_count
+from plexus.operators.segments import count_tokens, segment, split_long
+from plexus.operators.skew import row_number_by_block
+from plexus.session import materialise
 
 _BLOCK_COLUMNS = ("text", "kind", "anchor", "page_number", "title")
 
@@ -97,11 +99,35 @@ def segment_block_rows(blocks: DataFrame, key: str, position: str = "position",
                        count_rows: int = 50_000) -> DataFrame:
     """I13 over block rows: the same segments as ``segment`` gives for documents held in one row.
 
-    ``position`` is an integer, unique in the document. Groups hold about ``stretch`` tokens.
+    ``position`` is an integer, unique in the document. Documents within ``stretch`` tokens (counted
+    first, on the map side) are put together and packed as rows; longer ones, of which there are at
+    most tokens / stretch, go stretch by stretch.
     """
     margin = max_tokens + overlap_tokens
     if stretch < 2 * margin:
         raise ValueError("stretch must hold several segments")
+    rows = blocks.where(F.col("text").isNotNull())
+    sizes = rows.groupBy(key).agg(F.sum(F.greatest(token_count("text"), F.lit(1))).alias("_size"))
+    long = materialise(sizes.where(F.col("_size") > stretch).select(key), "long-documents")
+    names = ("key", "segment_number", "text", "kinds", "n_tokens", "title", "anchor", "page_number", "first_page")
+    columns = [key if n == "key" else n for n in names]
+    block = F.struct(F.col(position).alias("_at"), F.lit("text").alias("type"), *_BLOCK_COLUMNS)
+    documents = (rows.join(long, key, "left_anti").groupBy(key)
+                 .agg(F.array_sort(F.collect_list(block), lambda a, b: (F.when(a["_at"] < b["_at"], -1).when(a["_at"] > b["_at"], 1)
+                                                                       .otherwise(0))).alias("blocks")))
+    out = segment(documents, key, max_tokens=max_tokens, overlap_tokens=overlap_tokens, min_chars=min_chars,
+                  clean_only=clean_only, start=start).select(*columns)
+    out = out.withColumn("segment_number", F.col("segment_number").cast("bigint"))
+    if long.isEmpty():
+        return out
+    far = _stretch_by_stretch(rows.join(long, key, "left_semi"), key, position, max_tokens, overlap_tokens, min_chars, clean_only,
+                              start, stretch, count_rows)
+    return out.unionByName(far.select(*columns))
+
+
+def _stretch_by_stretch(blocks: DataFrame, key: str, position: str, max_tokens: int, overlap_tokens: int, min_chars: int,
+                        clean_only: bool, start: int, stretch: int, count_rows: int) -> DataFrame:
+    margin = max_tokens + overlap_tokens
     counted = _counted(_pieces(blocks, key, position, max_tokens), key, count_rows)
     key_field = blocks.schema[key]
 
@@ -197,5 +223,4 @@ def segment_block_rows(blocks: DataFrame, key: str, position: str = "position",
     made = made.join(titled, key, "left").withColumn("title", F.when(F.col("_titled") <= F.col("_end") + 1, F.col("_title")))
     if clean_only:
         made = made.where(is_clean("text", min_chars))
-    from plexus.operators.skew import row_number_by_block
     return row_number_by_block(made, [key], "_end", "segment_number", start, count_rows).drop("_end", "_title", "_titled")
