@@ -10,6 +10,7 @@ block of vectors and keeps the best k per query, so what is shuffled is k rows p
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from typing import Any
 
@@ -250,17 +251,28 @@ def _meet(left: DataFrame, right: DataFrame, bucket: Sequence[str], k: int, metr
          .withColumn("_r", F.explode(F.sequence(F.lit(0), F.col("_rb") - 1))).drop("_lb", "_rb"))
     b = (right.join(plan, list(bucket)).withColumn("_r", F.pmod(F.xxhash64("_vid"), F.col("_rb")).cast("int"))
          .withColumn("_l", F.explode(F.sequence(F.lit(0), F.col("_lb") - 1))).drop("_lb", "_rb"))
-    keys = [*bucket, "_l", "_r"]
+    return _pair_blocks(a, b, [*bucket, "_l", "_r"], k, metric, id_column, schema, exclude_self, digits)
+
+
+def _pair_blocks(a: DataFrame, b: DataFrame, keys: Sequence[str], k: int, metric: str, id_column: str, schema: T.StructType,
+                 exclude_self: bool, digits: int | None) -> DataFrame:
     return a.groupBy(*keys).cogroup(b.groupBy(*keys)).applyInPandas(
         _block_topk(k, metric, id_column, exclude_self, digits), schema)
 
 
 def _two_sided(asked: DataFrame, pool: DataFrame, k: int, metric: str, id_column: str, vector_column: str,
                exclude_self: bool, digits: int | None, block_rows: int) -> DataFrame:
+    """Each block of queries meets each block of vectors in one group."""
     schema = _hit_schema(asked, pool, "query_id", id_column)
-    left = asked.withColumn("_bucket", F.lit(0))
-    right = pool.select(F.col(id_column).alias("_vid"), F.col(vector_column).alias("_vec"), F.lit(0).alias("_bucket"))
-    return _meet(left, right, ["_bucket"], k, metric, id_column, schema, exclude_self, digits, block_rows)
+    n_left, n_right = (max(1, math.ceil(df.count() / block_rows)) for df in (asked, pool))
+
+    def cut(df: DataFrame, by: str, mine: str, n_mine: int, other: str, n_other: int) -> DataFrame:
+        return (df.withColumn(mine, F.pmod(F.xxhash64(by), F.lit(n_mine)).cast("int"))
+                .withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))))
+
+    left = cut(asked, "query_id", "_l", n_left, "_r", n_right)
+    right = cut(pool.select(F.col(id_column).alias("_vid"), F.col(vector_column).alias("_vec")), "_vid", "_r", n_right, "_l", n_left)
+    return _pair_blocks(left, right, ["_l", "_r"], k, metric, id_column, schema, exclude_self, digits)
 
 
 def find_similar_mmr(queries: DataFrame, vectors: DataFrame, k: int = 5, fetch_k: int | None = None,

@@ -75,21 +75,23 @@ def delete_specs(work: Workflow, spec_ids: DataFrame, owned: Sequence[str] = ())
     ``owned`` names classes without ``spec_id`` (blobs): their rows go when an edge leads to them
     from a deleted object. ``spec_ids`` is one column of ids.
     """
-    ids = spec_ids.select(F.col(spec_ids.columns[0]).alias("spec_id")).distinct()
-    dead = {c: df.join(ids, "spec_id", "left_semi").select(ID) for c, df in work.objects.items() if c not in owned}
-    runs = work.runs.join(ids, "spec_id", "left_semi").select(F.col("run_id").cast("string").alias(ID))
+    ids = materialise(spec_ids.select(F.col(spec_ids.columns[0]).alias("spec_id")).distinct(), "spec-ids")
+    text = lambda c: F.col(c).cast("string").alias(ID)
     gone = reduce(DataFrame.unionByName, [
-        runs, ids.select(F.col("spec_id").cast("string").alias(ID)), *[d.select(F.col(ID).cast("string").alias(ID)) for d in dead.values()]])
+        ids.select(text("spec_id")), work.runs.join(ids, "spec_id", "left_semi").select(text("run_id")),
+        *[df.join(ids, "spec_id", "left_semi").select(text(ID)) for c, df in work.objects.items() if c not in owned]])
+    # the ids that go are needed for every table: they are found once
+    gone = materialise(gone, "gone")
     stay = {c: df.join(ids, "spec_id", "left_anti") for c, df in work.objects.items() if c not in owned}
-    for c in owned:
+    if owned:
         if work.edges is None:
             raise ValueError("owned classes need edges")
-        reached = work.edges.join(gone.select(F.col(ID).alias(SRC)), SRC, "left_semi").select(F.col(DST).alias(ID)).distinct()
-        lost = work.objects[c].join(reached, ID, "left_semi").select(ID)
-        stay[c] = work.objects[c].join(reached, ID, "left_anti")
-        gone = gone.unionByName(lost)
+        reached = materialise(work.edges.join(gone.select(F.col(ID).alias(SRC)), SRC, "left_semi").select(F.col(DST).alias(ID)).distinct(), "reached")
+        for c in owned:
+            stay[c] = work.objects[c].join(reached, ID, "left_anti")
+            gone = gone.unionByName(work.objects[c].join(reached, ID, "left_semi").select(ID))
     return replace(work, specs=work.specs.join(ids, "spec_id", "left_anti"), runs=work.runs.join(ids, "spec_id", "left_anti"),
-                   objects=stay, edges=_without_dangling(work, gone.distinct()))
+                   objects=stay, edges=_without_dangling(work, gone))
 
 
 def delete_all(work: Workflow, workflow_name: str, owned: Sequence[str] = ()) -> Workflow:

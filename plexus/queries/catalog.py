@@ -237,17 +237,20 @@ def a18(spark, sf):
 
 
 @query("a19_record_sets", """
-  SELECT 'urn:orders' AS dataset, 'orders' AS record_set, r.record_id, r.status, r.price, c.n_records FROM
-   (SELECT o_orderkey::VARCHAR AS record_id, o_orderstatus AS status, o_totalprice AS price FROM orders) r,
-   (SELECT count(*) AS n_records FROM orders) c""")
+  SELECT 'dataset' AS level, 'urn:orders' AS parent, NULL AS record_id, NULL AS status, NULL::DOUBLE AS price, NULL::BIGINT AS n_records
+  UNION ALL SELECT 'record_set', 'urn:orders', 'orders', NULL, NULL, count(*) FROM orders
+  UNION ALL SELECT 'record', 'orders', o_orderkey::VARCHAR, o_orderstatus, o_totalprice, NULL FROM orders""")
 def a19(spark, sf):
     o = table(spark, sf, "orders").select(
         F.col("o_orderkey").cast("string").alias("record_id"),
         F.to_json(F.struct(F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("price"))).alias("body"))
     sets = objects.record_sets("urn:orders", {"orders": o}, sample_count=-1,
                                flatten={"orders": ("body", "status string, price double")})
-    rows = sets.records["orders"].join(sets.record_sets, "record_set")
-    return rows.join(sets.datasets, "dataset").select("dataset", "record_set", "record_id", "status", "price", "n_records")
+    levels = (sets.datasets.select(F.lit("dataset").alias("level"), F.col("dataset").alias("parent")),
+              sets.record_sets.select(F.lit("record_set").alias("level"), F.col("dataset").alias("parent"),
+                                      F.col("record_set").alias("record_id"), "n_records"),
+              sets.records["orders"].select(F.lit("record").alias("level"), F.col("record_set").alias("parent"), "record_id", "status", "price"))
+    return levels[2].unionByName(levels[1], allowMissingColumns=True).unionByName(levels[0], allowMissingColumns=True)
 
 
 @query("a20_write_property_csv", """
