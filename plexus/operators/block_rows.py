@@ -113,8 +113,7 @@ def segment_block_rows(blocks: DataFrame, key: str, position: str = "position",
     columns = [key if n == "key" else n for n in names]
     block = F.struct(F.col(position).alias("_at"), F.lit("text").alias("type"), *_BLOCK_COLUMNS)
     documents = (rows.join(long, key, "left_anti").groupBy(key)
-                 .agg(F.array_sort(F.collect_list(block), lambda a, b: (F.when(a["_at"] < b["_at"], -1).when(a["_at"] > b["_at"], 1)
-                                                                       .otherwise(0))).alias("blocks")))
+                 .agg(F.array_sort(F.collect_list(block)).alias("blocks")))  # the position leads and is unique
     out = segment(documents, key, max_tokens=max_tokens, overlap_tokens=overlap_tokens, min_chars=min_chars,
                   clean_only=clean_only, start=start).select(*columns)
     out = out.withColumn("segment_number", F.col("segment_number").cast("bigint"))
@@ -128,7 +127,8 @@ def segment_block_rows(blocks: DataFrame, key: str, position: str = "position",
 def _stretch_by_stretch(blocks: DataFrame, key: str, position: str, max_tokens: int, overlap_tokens: int, min_chars: int,
                         clean_only: bool, start: int, stretch: int, count_rows: int) -> DataFrame:
     margin = max_tokens + overlap_tokens
-    counted = _counted(_pieces(blocks, key, position, max_tokens), key, count_rows)
+    # read three times below, so it is written once
+    counted = materialise(_counted(_pieces(blocks, key, position, max_tokens), key, count_rows), "pieces")
     key_field = blocks.schema[key]
 
     links_schema = T.StructType([key_field, T.StructField("_c", T.LongType()), T.StructField("_from", T.LongType()), T.StructField("_to", T.LongType())])
