@@ -8,10 +8,8 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import lru_cache
-from typing import Any
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -204,7 +202,3 @@ def video_edges(vectors: DataFrame, video: str = "video") -> DataFrame:
             .unionByName(vectors.select(F.col(video).cast("string").alias(SRC), F.col(ID).alias(DST),
                                         F.lit("VideoHasDescriptor").alias("class"), "start", "stop")))
 
-
-def to_pandas_model(fn: Callable[[pd.Series], Any]) -> Callable[[], Model]:
-    """Wrap a Series function as a model."""
-    return lambda: lambda values: list(fn(pd.Series(values)))

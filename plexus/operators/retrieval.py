@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from typing import Any
+
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plexus.functions.scalars import strip
+from plexus.operators.vectors import COSINE, check_search, find_similar
 
 # The line between answer and new summary.
 SEPARATOR = "===SUMMARY==="
@@ -14,6 +19,20 @@ INSTRUCTIONS = ("Answer the question from the retrieved knowledge only. "
                 f"Then write the line {SEPARATOR} and below it an updated summary of the conversation.")
 
 
+def find_similar_to(vectors: DataFrame, *, text: str | None = None, image: Any = None, vector: Sequence[float] | None = None,
+                    load: Callable[[], Callable[[list], list]] | None = None, k: int = 10, metric: str = COSINE,
+                    **search: Any) -> DataFrame:
+    """H01. Search with exactly one of a text, an image or a vector; the first two go through the set's model."""
+    check_search(k, metric, text=text, image=image, vector=vector)
+    if vector is None:
+        if load is None:
+            raise ValueError("a text or image search needs the model of the vector set")
+        vector = load()([text if text is not None else image])[0]
+    values = [float(x) for x in np.asarray(vector).tolist()]
+    query = vectors.sparkSession.createDataFrame([(0, values)], "query_id int, query_vector array<double>")
+    return find_similar(query, vectors, k, metric, **search).drop("query_id")
+
+
 def assemble_context(retrieved: DataFrame, queries: DataFrame, instructions: str = INSTRUCTIONS) -> DataFrame:
     """H15. Prompt per query: instructions, retrieved texts joined by blank lines, history, question.
 

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from plexus.functions.scalars import content_type_main, url_domain
 from plexus.operators.graph import neighbour_ids
 from plexus.operators.skew import dense_index
-from plexus.types import DST, ID, SRC
 
 
 def count_by_class(classes: Mapping[str, DataFrame]) -> DataFrame:

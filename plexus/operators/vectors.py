@@ -74,8 +74,10 @@ class _Best:
 
     def add(self, vectors: np.ndarray, ids: np.ndarray, skip: Callable[[slice], np.ndarray] | None = None) -> None:
         """Score a batch, a chunk at a time. ``skip`` marks the (query, vector) places to leave out."""
+        if not len(vectors):
+            return
         if self.ids is None:
-            self.ids = np.zeros(self.cost.shape, dtype=ids.dtype)
+            self.ids = np.full(self.cost.shape, ids[0], dtype=ids.dtype)  # free places have an infinite cost
         step = max(1, CHUNK_SCORES // max(1, len(self.matrix)))
         for at in range(0, len(vectors), step):
             part = slice(at, at + step)

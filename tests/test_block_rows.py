@@ -3,7 +3,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from plexus.operators.block_rows import segment_block_rows
 from plexus.operators.segments import count_tokens, pack_blocks

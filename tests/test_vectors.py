@@ -161,3 +161,38 @@ def test_stand_in_models():
     assert np.allclose(a, b) and abs(np.linalg.norm(a) - 1) < 1e-9 and not np.any(c)
     h = colour_histogram(4)()([np.zeros((2, 2, 3), np.uint8)])[0]
     assert h[0] == 1.0 and h.sum() == 1.0
+
+
+def test_search_by_text_or_vector(spark):
+    from plexus.operators.retrieval import find_similar_to
+    docs = spark.createDataFrame([("a", "green apples"), ("b", "red cars"), ("c", "fast red cars")], "_uniqueid string, text string")
+    v = M_embed(docs)
+    assert [r["_uniqueid"] for r in find_similar_to(v, text="Red cars", load=hashed_words(64), k=2).orderBy("rank").collect()] == ["b", "c"]
+    first = v.where("_uniqueid = 'c'").first()["_vector"]
+    assert find_similar_to(v, vector=first, k=1).first()["_uniqueid"] == "c"
+    for bad in (dict(), dict(text="x", vector=[1.0]), dict(text="x"), dict(vector=["x"]), dict(vector=first, k=0)):
+        with pytest.raises(ValueError):
+            find_similar_to(v, **bad)
+
+
+def M_embed(docs):
+    from plexus.operators.models import embed_texts
+    return embed_texts(docs, "text", hashed_words(64))
+
+
+@pytest.mark.parametrize("way", [{}, {"max_scan_bytes": 0, "block_rows": 70}])
+def test_text_ids_and_fewer_vectors_than_asked(data, way):
+    v, q, *_ = data
+    named = v.withColumn("_uniqueid", F.format_string("v%04d", "_uniqueid"))
+    asked = q.withColumn("query_id", F.format_string("v%04d", "query_id"))
+
+    def plain(df):
+        return [(str(r.query_id)[-4:].lstrip("v0") or "0", r["_distance"], r["rank"]) for r in df.collect()]
+
+    a = V.find_similar(asked, named, 7, digits=6, exclude_self=True, **way)
+    b = V.find_similar(q, v, 7, digits=6, exclude_self=True, **way)
+    assert sorted(plain(a)) == sorted(plain(b))
+    assert a.where("query_id = _uniqueid").count() == 0
+    few = named.where("_uniqueid < 'v0003'")
+    assert V.find_similar(asked, few, 7, digits=6, **way).groupBy("query_id").count().where("count <> 3").count() == 0
+    assert V.approx_similar(asked, few, 7, dimensions=D, bits=2, digits=6, **way).groupBy("query_id").count().where("count > 3").count() == 0
