@@ -48,6 +48,17 @@ def i04(spark, sf):
         "page_id", "position", "kind", "text", "anchor", "title")
 
 
+@query("i04_block_kinds", """
+  SELECT page_id, len(regexp_extract_all(html, '<li>')) AS n_list, len(regexp_extract_all(html, '<h1>')) AS n_title,
+    regexp_extract(html, '<h1>([^<]*)</h1>', 1) <> '' AS has_heading FROM pages""")
+def i04_kinds(spark, sf):
+    """List items and headings are outermost elements of these pages: as many blocks as tags."""
+    blocks = D.block_rows(D.extract_blocks_html(spread(table(spark, sf, "pages").select("page_id", "html"), "page_id")), "page_id")
+    return blocks.groupBy("page_id").agg(
+        F.count_if(F.col("kind") == "list").alias("n_list"), F.count_if(F.col("kind") == "title").alias("n_title"),
+        (F.count_if((F.col("kind") == "title") & (F.col("text") != "")) > 0).alias("has_heading"))
+
+
 @query("i05_css_root", """
   SELECT page_id, html LIKE '%<article>%' AS root_found FROM pages""")
 def i05(spark, sf):
@@ -150,6 +161,14 @@ _WALK = f"""RECURSIVE raw AS (
 
 
 
+@query("i12_split_keeps_tokens", f"""
+  SELECT doc_id, len(regexp_extract_all(text, '{TOKENS}')) AS n_tokens, true AS within_limit FROM documents""")
+def i12_tokens(spark, sf):
+    """The pieces of a document hold all its tokens, and none is above the limit."""
+    pieces = S.segment(_one_block(spark, sf), "doc_id", max_tokens=100, overlap_tokens=0, clean_only=False)
+    return pieces.groupBy("doc_id").agg(F.sum("n_tokens").alias("n_tokens"), (F.max("n_tokens") <= 100).alias("within_limit"))
+
+
 def _runs_of_words(spark, sf):
     """The documents in pages of 20 words: no page is long enough to be cut, so SQL can follow the walk."""
     pages = let(F.split("text", " "), lambda w: F.transform(
