@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 
 from plexus.llm.exact_dedup import exact_dedup
 from plexus.llm.mixing import taken_words
+from plexus.llm.sentencepiece import decode, encode, load_vocabulary
 from plexus.llm.simhash import simhash_dedup
+from plexus.llm.substring_dedup import substring_dedup
+from plexus.llm.suffix_dedup import suffix_dedup
+from plexus.llm.toxicity import fitted, is_held_out, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -61,3 +65,46 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
     FROM p""")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return taken_words(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op7_toxicity")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    scored = toxicity(docs, fitted(docs, table(spark, sf, "labels")))
+    return scored.select("doc_id", is_held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("op1_sentencepiece")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    vocabulary = load_vocabulary()
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    encoded = encode(docs.withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")), 256)), vocabulary)
+    return (decode(encoded, vocabulary)
+            .select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+                    (F.sha2("text", 256) == F.col("text_sha256")).alias("round_trip")))
+
+
+def _removed():
+    spans = F.zip_with("starts", "ends", lambda a, b: b - a)
+    return F.aggregate(spans, F.lit(0).cast("bigint"), lambda a, x: a + x).alias("n_removed")
+
+
+@query("op5_suffix_dedup")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf, "documents")).select(
+        "doc_id", "n_bytes", _removed(), F.size("starts").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op6_substring_dedup", r"""
+    WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    p AS (SELECT doc_id, unnest(generate_series(1, len(w) - 12)) AS i, w FROM d WHERE len(w) >= 13),
+    g AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 12], ' ')) AS h FROM p),
+    r AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY h) < doc_id AS hit FROM g),
+    c AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 12)) AS i FROM r WHERE hit),
+    x AS (SELECT doc_id, unnest(generate_series(1, len(w))) AS i, unnest(w) AS word FROM d WHERE len(w) > 0),
+    k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM x ANTI JOIN c USING (doc_id, i) GROUP BY doc_id),
+    n AS (SELECT doc_id, count(*) AS n_removed FROM c GROUP BY doc_id)
+    SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM d LEFT JOIN k USING (doc_id) LEFT JOIN n USING (doc_id)""")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    return substring_dedup(table(spark, sf, "documents")).select("doc_id", "n_words", _removed(), F.sha2("kept", 256).alias("kept_sha256"))
