@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -193,7 +194,12 @@ ASK = {"h": "<u8", "doc": "<i8", "tag": "<u4", "pos": "<u4", "n": "u1", "o": "u1
 
 
 def pack(columns: dict[str, np.ndarray], kind: dict[str, str], rows: np.ndarray | slice = slice(None)) -> bytes:
-    return b"".join(np.ascontiguousarray(columns[c][rows], dtype=t).tobytes() for c, t in kind.items())
+    """Columns one after the other, each byte by byte, so that bytes that hardly change lie together."""
+    out = []
+    for c, t in kind.items():
+        x = np.ascontiguousarray(columns[c][rows], dtype=t)
+        out.append(x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes())
+    return b"".join(out)
 
 
 def unpack(blobs: list[bytes], kind: dict[str, str]) -> dict[str, np.ndarray]:
@@ -202,8 +208,9 @@ def unpack(blobs: list[bytes], kind: dict[str, str]) -> dict[str, np.ndarray]:
     for blob in blobs:
         n, at = len(blob) // width, 0
         for c, t in kind.items():
-            parts[c].append(np.frombuffer(blob, t, n, at))
-            at += n * np.dtype(t).itemsize
+            size = np.dtype(t).itemsize
+            parts[c].append(np.frombuffer(blob, np.uint8, n * size, at).reshape(size, n).T.reshape(-1).view(t))
+            at += n * size
     return {c: (np.concatenate(parts[c]) if parts[c] else np.zeros(0, t)).astype(t) for c, t in kind.items()}
 
 
@@ -277,22 +284,8 @@ def _find(unit: Unit, buckets: int, doc_buckets: int):
         return _rows(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids: list[int] = []
-        tags: list[int] = []
-        texts: list[bytes] = []
-        size = 0
-        for batch in batches:
-            for i, t, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                text = x.as_py()
-                ids.append(i)
-                tags.append(t)
-                texts.append(text)
-                size += len(text)
-                if size >= BATCH_BYTES:
-                    yield flush(ids, tags, texts)
-                    ids, tags, texts, size = [], [], [], 0
-        if ids:
-            yield flush(ids, tags, texts)
+        for rows in _text_batches(batches):
+            yield flush([i for i, _, _ in rows], [t for _, t, _ in rows], [x for _, _, x in rows])
     return run
 
 
@@ -345,22 +338,70 @@ def _prime(n: int) -> int:
     return n
 
 
+def _pack_docs(doc_buckets: int):
+    """Map: documents by their bucket, compressed together, since they are shuffled twice."""
+    def flush(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+        bucket = doc_bucket(np.array([i for i, _, _ in rows], np.int64), doc_buckets)
+        order = np.argsort(bucket, kind="stable").tolist()
+        cuts = [k for k in range(len(order)) if not k or bucket[order[k]] != bucket[order[k - 1]]] + [len(order)]
+        out = []
+        for s, e in zip(cuts, cuts[1:]):
+            own = [rows[k] for k in order[s:e]]
+            ids, tags = np.array([i for i, _, _ in own], "<i8"), np.array([t for _, t, _ in own], "<i8")
+            sizes = np.array([len(x) for _, _, x in own], "<i8")
+            out.append((int(bucket[order[s]]), 4, zstandard.compress(
+                np.int64(len(own)).tobytes() + ids.tobytes() + tags.tobytes() + sizes.tobytes() + b"".join(x for _, _, x in own), 3)))
+        return _rows(out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _text_batches(batches):
+            yield flush(rows)
+    return run
+
+
+def _text_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, int, bytes]]]:
+    """Rows of ``id, tag, text`` in lists of about ``BATCH_BYTES``."""
+    rows: list[tuple[int, int, bytes]] = []
+    size = 0
+    for batch in batches:
+        for i, t, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            rows.append((i, t, x.as_py()))
+            size += len(rows[-1][2])
+            if size >= BATCH_BYTES:
+                yield rows
+                rows, size = [], 0
+    if rows:
+        yield rows
+
+
+def open_docs(blobs: list[bytes]) -> Iterator[tuple[int, int, bytes]]:
+    """``(id, tag, text)`` of packed documents."""
+    for blob in blobs:
+        raw = zstandard.decompress(blob)
+        n = int(np.frombuffer(raw, "<i8", 1)[0])
+        ids, tags, sizes = (np.frombuffer(raw, "<i8", n, 8 + 8 * n * k).tolist() for k in range(3))
+        at = 8 + 24 * n
+        for i, t, size in zip(ids, tags, sizes):
+            yield i, t, raw[at:at + size]
+            at += size
+
+
 def _fetch(unit: Unit, buckets: int):
     """Cogroup: the units of the stretches asked for, by bucket of the seed (kind 3)."""
     def run(docs: pa.Table, asked: pa.Table) -> pa.Table:
         rows: list[tuple[int, int, bytes]] = []
         c = unpack(asked.column("blob").to_pylist(), ASK)
-        if len(c["doc"]) and docs.num_rows:
+        if len(c["doc"]):
             c = _take(c, np.lexsort((c["tag"], c["doc"])))
             seen = set()
-            for i, t, x in zip(docs.column("id").to_pylist(), docs.column("tag").to_pylist(), docs.column("text")):
+            for i, t, text in open_docs(docs.column("blob").to_pylist()):
                 if (i, t) in seen:
                     continue
                 seen.add((i, t))
                 s, e = np.searchsorted(c["doc"], i), np.searchsorted(c["doc"], i, side="right")
                 mine = s + np.flatnonzero(c["tag"][s:e] == t)
                 if len(mine):
-                    values = _whole_units(unit, x.as_py())
+                    values = _whole_units(unit, text)
                     rows += list(_packed_records(unit, buckets, values, _take(c, mine)))
         return pa.Table.from_batches([_rows(rows)])
     return run
@@ -464,21 +505,19 @@ def repeated_spans(docs: DataFrame, unit: Unit, covered: Callable, finish: Calla
     parts = partitions(docs)
     buckets, doc_buckets = 8 * parts, _prime(4 * parts)
     lowest = F.lit(-(1 << 63) + 1).cast("bigint")
-    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(key).cast("bigint"), lowest).alias("id"),
+    rows = docs.select(F.coalesce(F.col(key).cast("bigint"), lowest).alias("id"),
                        F.shiftrightunsigned(F.xxhash64(utf8(text)), 33).alias("tag"), utf8(text).alias("text"))
-    found = rows.select("id", "tag", "text").mapInArrow(_find(unit, buckets, doc_buckets), _ROWS)
+    found = rows.mapInArrow(_find(unit, buckets, doc_buckets), _ROWS)
     # spans settled in the map share the shuffle; they keep the bucket of their document
     met = save(found.repartition("bucket", "kind").sortWithinPartitions("bucket", "kind")
                .mapInArrow(_pass_or(_meet(unit, doc_buckets)), _ROWS), "met")
-    placed = rows.withColumn("bucket", F.pmod("id", F.lit(doc_buckets)))
-    asked = met.where("kind = 2").select("bucket", "blob")
-    records = (placed.select("bucket", "id", "tag", "text").groupBy("bucket").cogroup(asked.groupBy("bucket"))
-               .applyInArrow(_fetch(unit, buckets), _ROWS))
-    compared = (records.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_compare(unit, doc_buckets, covered), _ROWS))
-    spans = met.where("kind = 1").unionByName(compared).select("bucket", "blob")
-    kind = dict(rows.dtypes)["key"]
-    return (placed.select("bucket", "key", "id", "tag", "text").groupBy("bucket").cogroup(spans.groupBy("bucket"))
-            .applyInArrow(_finish(finish), f"key {kind}, {result}").withColumnRenamed("key", key))
+    packed = rows.mapInArrow(_pack_docs(doc_buckets), _ROWS).select("bucket", "blob").groupBy("bucket")
+    records = packed.cogroup(met.where("kind = 2").select("bucket", "blob").groupBy("bucket")).applyInArrow(_fetch(unit, buckets), _ROWS)
+    compared = records.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_compare(unit, doc_buckets, covered), _ROWS)
+    spans = met.where("kind = 1").unionByName(compared).select("bucket", "blob").groupBy("bucket")
+    done = packed.cogroup(spans).applyInArrow(_finish(finish), f"id bigint, {result}")
+    whole = F.when(F.col("id") != lowest, F.col("id")).cast(docs.schema[key].dataType)
+    return done.select(whole.alias(key), *[c for c in done.columns if c != "id"])
 
 
 def _pass_or(run: Callable):
@@ -504,10 +543,12 @@ def _finish(finish: Callable):
     def run(docs: pa.Table, spans: pa.Table) -> pa.Table:
         s = joined_spans(unpack(spans.column("blob").to_pylist(), SPAN))
         texts, found = [], []
-        for i, t, x in zip(docs.column("id").to_pylist(), docs.column("tag").to_pylist(), docs.column("text")):
+        ids = []
+        for i, t, text in open_docs(docs.column("blob").to_pylist()):
             a, b = np.searchsorted(s["doc"], i), np.searchsorted(s["doc"], i, side="right")
             mine = a + np.flatnonzero(s["tag"][a:b] == t)
-            texts.append(x.as_py())
+            ids.append(i)
+            texts.append(text)
             found.append((s["start"][mine].astype(np.int64), s["end"][mine].astype(np.int64)))
-        return pa.table({"key": docs.column("key"), **finish(texts, found)})
+        return pa.table({"id": pa.array(ids, pa.int64()), **finish(texts, found)})
     return run

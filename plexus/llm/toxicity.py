@@ -10,17 +10,20 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plexus.llm.common import save
 
 TRAIN_ROWS = 20_000    # labelled rows of each class that a model is fitted on, about, at most
-MODEL_TOKENS = 20_000  # tokens and prefixes that a model holds at most: those with the largest z
-PRIOR = 100.0          # weight of the Dirichlet prior, in documents
-MIN_Z = 2.5            # a token counts if its log-odds lie so many deviations above zero
+MODEL_TOKENS = 20_000  # tokens and prefixes that a model holds at most: the safest
+PRIOR = 50.0           # weight of the Dirichlet prior, in documents
+DEVIATIONS = 2.0       # a token scores its log-odds less so many standard deviations
+MIN_ODDS = 1.0         # and counts from here
 MAX_ODDS = 6.0
 DRIFT = 0.25           # cost of a token that does not count
+PREFIX_SHARE = 5.0       # documents that a word adds to the count of its beginnings at most, so that one word makes no family
 PREFIXES = (5, 4, 3)   # an unseen word is judged by its longest known beginning
 _TOKEN = re.compile(r"[^\W_]+")
 _GAP = re.compile(r"[\W_]")
@@ -117,27 +120,48 @@ def evidence(model: Model, n: int, found: list[tuple[float, int, int]]) -> float
 
 
 def probability(model: Model, x: float) -> float:
-    return 1.0 / (1.0 + math.exp(-max(-50.0, min(50.0, model.slope * x + model.offset))))
+    return 1.0 / (1.0 + math.exp(-max(-50.0, min(50.0, model.slope * math.log1p(x) + model.offset))))
 
 
 def is_held_out(key: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def _family(text: str) -> int:
+    """Least hash of three words in a row: near copies have it in common, other texts do not."""
+    least, tail = None, []
+    for run in tokens(text):
+        run = tail + run
+        for i in range(max(1, len(run) - 2)):
+            h = xxhash.xxh64_intdigest(" ".join(run[i:i + 3]))
+            least = h if least is None or h < least else least
+        tail = run[-2:]
+    return (least or 0) >> 1
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
                   rows: int = TRAIN_ROWS) -> DataFrame:
     """``text, y, fold`` of labelled documents that are not held out, about ``rows`` of each class at most.
 
     The choice is by a hash of the id. It has at most a few more than two times ``rows`` rows, so it
-    may be broadcast, and the documents are filtered where they lie.
+    may be broadcast, and the documents are filtered where they lie. Of near copies one counts, or
+    every word of a text copied often would seem to mark its class.
     """
     known = (labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & ~is_held_out(key))
              .groupBy(key).agg(F.max(label).cast("int").alias("y")))
     counts = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     share = F.when(F.col("y") == 1, min(1.0, rows / max(1, counts.get(1, 0)))).otherwise(min(1.0, rows / max(1, counts.get(0, 0))))
     chosen = known.where(F.pmod(F.xxhash64(key, F.lit(7)), F.lit(1_000_000)) < share * 1_000_000)
-    return save(docs.select(key, F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(chosen), key)
-                .select("text", "y", F.pmod(F.xxhash64(key, F.lit(11)), F.lit(4)).cast("int").alias("fold")), "train")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            family = pa.array([_family(t.as_py()) for t in batch.column(0)], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, family], names=["text", "y", "family"])
+
+    marked = (docs.select(key, F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(chosen), key)
+              .select("text", "y").mapInArrow(run, "text string, y int, family bigint"))
+    return save(marked.groupBy("family", "y").agg(F.min("text").alias("text"))
+                .select("text", "y", F.pmod(F.xxhash64("family"), F.lit(4)).cast("int").alias("fold")), "train")
 
 
 def _token_counts(rows: DataFrame) -> DataFrame:
@@ -147,8 +171,7 @@ def _token_counts(rows: DataFrame) -> DataFrame:
         for batch in batches:
             for text, y in zip(batch.column(0), batch.column(1).to_pylist()):
                 words = {t for part in tokens(text.as_py()) for t in part}
-                starts = {w[:n] + "*" for w in words for n in PREFIXES if len(w) > n}
-                (toxic if y == 1 else clean).update(words | starts)
+                (toxic if y == 1 else clean).update(words)
         names = list(toxic)  # a token of clean documents alone never counts
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([toxic[t] for t in names], pa.int64()),
                                           pa.array([0] * len(names), pa.int64())], names=["token", "y1", "y0"])
@@ -156,15 +179,22 @@ def _token_counts(rows: DataFrame) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([0] * len(names), pa.int64()),
                                           pa.array([clean[t] for t in names], pa.int64())], names=["token", "y1", "y0"])
 
-    return (rows.select("text", "y").mapInArrow(run, "token string, y1 bigint, y0 bigint")
-            .groupBy("token").agg(F.sum("y1").alias("y1"), F.sum("y0").alias("y0")))
+    words = (rows.select("text", "y").mapInArrow(run, "token string, y1 bigint, y0 bigint")
+             .groupBy("token").agg(F.sum("y1").alias("y1"), F.sum("y0").alias("y0")))
+    words = words.select("token", F.col("y1").cast("double"), F.col("y0").cast("double"))
+    part = F.least(F.lit(1.0), F.lit(PREFIX_SHARE) / (F.col("y1") + F.col("y0")))
+    starts = F.array(*[F.when(F.length("token") > n, F.concat(F.substring("token", 1, n), F.lit("*"))) for n in PREFIXES])
+    prefixes = (words.select(F.explode(starts).alias("token"), (F.col("y1") * part).alias("y1"), (F.col("y0") * part).alias("y0"))
+                .where("token IS NOT NULL").groupBy("token").agg(F.sum("y1").alias("y1"), F.sum("y0").alias("y0")))
+    return words.unionByName(prefixes)
 
 
-def fit(rows: DataFrame, prior: float = PRIOR, min_z: float = MIN_Z, most: int = MODEL_TOKENS) -> Model:
+def fit(rows: DataFrame, prior: float = PRIOR, deviations: float = DEVIATIONS, most: int = MODEL_TOKENS) -> Model:
     """A model from ``training_rows``: three quarters give the log-odds, the rest calibrates the scores.
 
     Log-odds compare document frequencies under an informative Dirichlet prior, which gives each
-    token its share of all documents in both classes. Without documents of both classes the model
+    token its share of all documents in both classes; a token scores the safe side of its log-odds,
+    so that chance among many rare words finds nothing. Without documents of both classes the model
     finds nothing. To the driver come two numbers per class, at most ``most`` tokens and one row of
     figures per calibration document.
     """
@@ -174,9 +204,9 @@ def fit(rows: DataFrame, prior: float = PRIOR, min_z: float = MIN_Z, most: int =
     n1, n0 = float(n[1]), float(n[0])
     a = F.lit(prior) * (F.col("y1") + F.col("y0")) / F.lit(n1 + n0)
     odds = (F.log((F.col("y1") + a) / (n1 + prior - F.col("y1") - a)) - F.log((F.col("y0") + a) / (n0 + prior - F.col("y0") - a)))
-    z = odds / F.sqrt(1 / (F.col("y1") + a) + 1 / (F.col("y0") + a))
-    kept = (_token_counts(rows.where("fold > 0")).where("y1 > 1").select("token", odds.alias("odds"), z.alias("z"))
-            .where(F.col("z") >= min_z).orderBy(F.desc("z"), "token").limit(most).collect())
+    safe = odds - F.lit(deviations) * F.sqrt(1 / (F.col("y1") + a) + 1 / (F.col("y0") + a))
+    kept = (_token_counts(rows.where("fold > 0")).where("y1 > 1").select("token", safe.alias("odds"))
+            .where(F.col("odds") >= MIN_ODDS).orderBy(F.desc("odds"), "token").limit(most).collect())
     model = Model({r["token"]: min(MAX_ODDS, float(r["odds"])) for r in kept})
     return _calibrate(model, rows.where("fold = 0"))
 
@@ -196,19 +226,11 @@ def _calibrate(model: Model, rows: DataFrame) -> Model:
     got = rows.select("text", "y").mapInArrow(run, "y int, n bigint, scores array<double>").orderBy("y", "n", "scores").collect()
     clean = [r for r in got if r["y"] == 0]
     size = max(1.0, float(sum(r["n"] for r in clean)))
-    hits = np.array([s for r in clean for s in r["scores"]] or [MAX_ODDS])
-    share = max(0.5, float(sum(len(r["scores"]) for r in clean))) / size
-
-    def over(decay: float) -> float:  # above zero beyond the root
-        return (1 - share) * math.exp(-decay * DRIFT) + share * float(np.mean(np.exp(np.minimum(decay * hits, 500)))) - 1
-
-    low, high = 1e-6, 20.0
-    for _ in range(100):
-        mid = (low + high) / 2
-        low, high = (mid, high) if over(mid) < 0 else (low, mid)
-    model.decay = (low + high) / 2
-    model.rate = share * float(np.mean(np.exp(np.minimum(model.decay * hits, 500))))
-    x = np.array([evidence(model, r["n"], [(s, 0, 0) for s in r["scores"]]) for r in got])
+    hits = np.array([s for r in clean for s in r["scores"] if s >= MIN_ODDS] or [MIN_ODDS + 1.0])
+    # the tail of scores above the least one is exponential; its median bears a few mislabelled documents
+    model.decay = min(3.0, max(0.2, math.log(2) / max(1e-9, float(np.median(hits)) - MIN_ODDS)))
+    model.rate = len(hits) / size * math.exp(model.decay * MIN_ODDS)
+    x = np.log1p(np.array([evidence(model, r["n"], [(s, 0, 0) for s in r["scores"]]) for r in got]))
     y = np.array([float(r["y"]) for r in got])
     if not len(x) or not 0 < y.sum() < len(y):
         model.slope, model.offset = 1.0, -2.0
