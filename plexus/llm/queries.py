@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plexus.llm.embeddings import embedding_dedup
 from plexus.llm.exact_dedup import exact_dedup
 from plexus.llm.mixing import taken_words
 from plexus.llm.sentencepiece import decode, encode, load_vocabulary
@@ -108,3 +109,8 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
     FROM d LEFT JOIN k USING (doc_id) LEFT JOIN n USING (doc_id)""")
 def op6(spark: SparkSession, sf: str) -> DataFrame:
     return substring_dedup(table(spark, sf, "documents")).select("doc_id", "n_words", _removed(), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op4_embedding_dedup")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    return embedding_dedup(table(spark, sf, "embeddings"))

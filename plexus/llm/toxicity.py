@@ -18,7 +18,7 @@ from plexus.llm.common import save
 
 TRAIN_ROWS = 20_000    # labelled rows of each class that a model is fitted on, about, at most
 MODEL_TOKENS = 20_000  # tokens and prefixes that a model holds at most: the safest
-PRIOR = 50.0           # weight of the Dirichlet prior, in documents
+PRIOR = 0.05           # weight of the Dirichlet prior, as a share of the counts of each class
 DEVIATIONS = 2.0       # a token scores its log-odds less so many standard deviations
 MIN_ODDS = 1.0         # and counts from here
 MAX_ODDS = 6.0
@@ -201,11 +201,16 @@ def fit(rows: DataFrame, prior: float = PRIOR, deviations: float = DEVIATIONS, m
     n = {r["y"]: r["count"] for r in rows.where("fold > 0").groupBy("y").count().collect()}
     if not n.get(0) or not n.get(1):
         return Model()
-    n1, n0 = float(n[1]), float(n[0])
-    a = F.lit(prior) * (F.col("y1") + F.col("y0")) / F.lit(n1 + n0)
-    odds = (F.log((F.col("y1") + a) / (n1 + prior - F.col("y1") - a)) - F.log((F.col("y0") + a) / (n0 + prior - F.col("y0") - a)))
-    safe = odds - F.lit(deviations) * F.sqrt(1 / (F.col("y1") + a) + 1 / (F.col("y0") + a))
-    kept = (_token_counts(rows.where("fold > 0")).where("y1 > 1").select("token", safe.alias("odds"))
+    counts = save(_token_counts(rows.where("fold > 0")), "counts")
+    sums = counts.where("token LIKE '%*'").agg(F.sum("y1"), F.sum("y0")).first()
+    starts = F.col("token").endswith("*")  # beginnings are shares of all words, words are shares of all documents
+    n1 = F.when(starts, F.lit(float(sums[0] or 1))).otherwise(F.lit(float(n[1])))
+    n0 = F.when(starts, F.lit(float(sums[1] or 1))).otherwise(F.lit(float(n[0])))
+    share = F.lit(prior) * (F.col("y1") + F.col("y0")) / (n1 + n0)
+    a1, a0 = F.col("y1") + share * n1, F.col("y0") + share * n0
+    odds = F.log(a1 / (n1 * (1 + prior))) - F.log(a0 / (n0 * (1 + prior)))
+    safe = odds - F.lit(deviations) * F.sqrt(1 / a1 + 1 / a0)
+    kept = (counts.where("y1 > 1").select("token", safe.alias("odds"))
             .where(F.col("odds") >= MIN_ODDS).orderBy(F.desc("odds"), "token").limit(most).collect())
     model = Model({r["token"]: min(MAX_ODDS, float(r["odds"])) for r in kept})
     return _calibrate(model, rows.where("fold = 0"))
