@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from plexus.llm.embeddings import embedding_dedup
 from plexus.llm.exact_dedup import exact_dedup
+from plexus.llm.html_extract import extract_text
+from plexus.llm.license_scan import license_scan
 from plexus.llm.mixing import taken_words
 from plexus.llm.sentencepiece import decode, encode, load_vocabulary
 from plexus.llm.simhash import simhash_dedup
@@ -114,3 +116,13 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
 @query("op4_embedding_dedup")
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     return embedding_dedup(table(spark, sf, "embeddings"))
+
+
+@query("op8_html_extract")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    return extract_text(table(spark, sf, "pages")).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+@query("op9_license_scan")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    return license_scan(table(spark, sf, "documents"))
