@@ -149,7 +149,8 @@ def scan_text(text: str, templates: Mapping[str, list[str]], min_coverage: float
     for m in sorted(out, key=lambda m: (m[0], m[2], -m[1], m[3])):  # a match seen in two runs counts once
         if not kept or kept[-1][0] != m[0] or m[2] > kept[-1][3]:
             kept.append(m)
-    return kept
+    # of notices of different wording in one place the one that fits best counts
+    return [m for m in kept if not any(o[0] != m[0] and o[2] <= m[3] and m[2] <= o[3] and (o[1], o[3] - o[2]) > (m[1], m[3] - m[2]) for o in kept)]
 
 
 def license_scan(docs: DataFrame, templates: Mapping[str, str] | None = None, key: str = "doc_id", text: str = "text",
