@@ -8,12 +8,13 @@ from math import isqrt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plexus.llm.common import n_words, save
+from plexus.llm.common import WORD, n_words, save
 from plexus.operators.skew import row_number_by_block
 
 WEIGHTS = (5, 2, 1)
 BLOCK_TOKENS = 1024
 CELLS = 1024          # cells of [0, 1) in which slots and sources meet
+SLOT_BLOCK = 4_096    # slots that are ranked together
 _LOW_BITS = 20        # a slot number is split so that its product with the ratio keeps its fraction
 
 
@@ -99,7 +100,7 @@ def schedule(sources: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     mapped = (slots.withColumn("cell", F.floor(F.col("point") * CELLS))
               .join(cells.select("cell", "no", "low", "high"), "cell").where("point >= low AND point < high")
               .select("slot", "no"))
-    ranked = row_number_by_block(mapped, ["no"], "slot", "rank", start=0)
+    ranked = row_number_by_block(mapped, ["no"], "slot", "rank", start=0, block=SLOT_BLOCK)
     have = mapped.groupBy("no").agg(F.count(F.lit(1)).alias("have"))
     late = (live.join(have, "no", "left").withColumn("have", F.coalesce("have", F.lit(0))).where("have < needs")
             .select("no", F.explode(F.sequence("have", F.col("needs") - 1)).alias("rank"))
@@ -140,10 +141,30 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", size: str
 
 def taken_words(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """``key, source, size, source_size, target, taken`` of each document, from the pieces of the mix."""
-    sized = docs.select(key, source, n_words(text).alias("size"))
+    sized = save(docs.select(key, source, n_words(text).alias("size")), "sizes")
     pieces, laid = mix(sized, key, source, "size", **options)
     sums = pieces.groupBy("no", "start").agg(F.sum("n_words").alias("taken"))
     return (laid.withColumn("_spot", F.when(F.col("size") > 0, F.col("start")))
             .join(sums.select(F.col("no").alias("_no"), F.col("start").alias("_start"), "taken"),
                   (F.col("no") == F.col("_no")) & (F.col("_spot") == F.col("_start")), "left")
             .select(key, source, "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken")))
+
+
+def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", n_chars: str = "n_chars", **options) -> DataFrame:
+    """Op 10. The columns of ``docs``, a row for each time that a document is taken.
+
+    A document taken in part gives its first words, joined by a blank, with ``n_chars`` to match. One
+    without words or not taken gives no row. Rows that repeat id, source and size are taken alike.
+    """
+    taken = (taken_words(docs, key, text, source, **options).groupBy(key, source, "size").agg(F.max("taken").alias("_taken"))
+             .select(F.col(key).alias("_k"), F.col(source).alias("_s"), F.col("size").alias("_n"), "_taken").where("_taken > 0"))
+    rows = (docs.withColumn("_size", n_words(text))
+            .join(taken, F.col(key).eqNullSafe(F.col("_k")) & F.col(source).eqNullSafe(F.col("_s")) & (F.col("_size") == F.col("_n"))))
+    rest = F.col("_taken") % F.col("_size")
+    first = F.array_join(F.slice(F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0)), F.lit(1), rest.cast("int")), " ")
+    whole = F.array_repeat(F.col(text), F.floor(F.col("_taken") / F.col("_size")).cast("int"))
+    cut = F.when(rest > 0, F.array(first)).otherwise(F.array().cast("array<string>"))
+    out = rows.withColumn("_whole", F.col(text)).withColumn(text, F.explode(F.concat(whole, cut)))
+    if n_chars in docs.columns:
+        out = out.withColumn(n_chars, F.when(F.col(text) == F.col("_whole"), F.col(n_chars)).otherwise(F.length(text).cast(docs.schema[n_chars].dataType)))
+    return out.select(*docs.columns)

@@ -26,7 +26,7 @@ CHUNK_CHARS = 32_768
 AHEAD_CHARS = 1024    # how far behind an edge a place where all paths meet is looked for
 SPACE = "▁"
 NEVER = -(1 << 60)
-_UNITS_KEPT = 200_000
+_UNITS_KEPT = 150_000
 _SUB_BATCH = 1 << 21   # characters of a batch handed back at a time
 
 
@@ -46,9 +46,32 @@ class Vocabulary:
         """Score of a character without a piece, below every piece."""
         return min((s for _, s in self.pieces.values()), default=0) - 10
 
+    @cached_property
+    def steps(self) -> dict[str, int]:
+        """Score of every beginning of a piece, ``NEVER`` where it is no piece itself."""
+        out = {p[:n]: NEVER for p in self.pieces for n in range(1, len(p))}
+        out.update((p, score) for p, (_, score) in self.pieces.items())
+        return out
+
     @cached_property
     def byte_of(self) -> dict[int, int]:
-        return {p: b for b, p in enumerate(self.bytes_)}
+        """Ids of the bytes that need their neighbours to be a character."""
+        return {p: b for b, p in enumerate(self.bytes_) if b >= 0x80}
+
+    @cached_property
+    def scores(self) -> dict[int, int]:
+        """Score by id; a character without a piece counts with the first of its bytes."""
+        out = {p: 0 if 0x80 <= b < 0xC0 else self.unknown for b, p in enumerate(self.bytes_)}
+        out.update(self.pieces.values())
+        return out
+
+    @cached_property
+    def shown(self) -> list[str]:
+        """Text of each id, for bytes below 0x80 their character."""
+        out = list(self.texts)
+        for b, p in enumerate(self.bytes_[:0x80]):
+            out[p] = chr(b)
+        return out
 
     @cached_property
     def units(self) -> re.Pattern:
@@ -74,25 +97,29 @@ def load_vocabulary(path: str = MODEL) -> Vocabulary:
 
 
 def _paths(v: Vocabulary, text: str, entry: int, end: int) -> tuple[list[int], list[int]]:
-    """Best score and length of the last piece at each place from ``entry`` on. Of equal paths the longer last piece wins."""
-    best, last = [NEVER] * (len(text) + 1), [0] * (len(text) + 1)
-    if entry <= len(text):
+    """Best score and length of the last piece at each place from ``entry`` on.
+
+    Of equal paths the longer last piece wins: it starts earlier and so comes first.
+    """
+    size = len(text)
+    best, last = [NEVER] * (size + 1), [0] * (size + 1)
+    if entry <= size:
         best[entry] = 0
-    get, longest, unknown = v.pieces.get, v.longest, v.unknown
+    get, unknown = v.steps.get, v.unknown
     for at in range(entry, end):
         base = best[at]
         if base == NEVER:
             continue
-        for n in range(1, min(longest, len(text) - at) + 1):
-            piece = get(text[at:at + n])
-            if piece is None:
-                if n > 1:
-                    continue
-                score = base + unknown
-            else:
-                score = base + piece[1]
-            if score > best[at + n] or (score == best[at + n] and n > last[at + n]):
-                best[at + n], last[at + n] = score, n
+        to = at + 1
+        score = get(text[at])
+        total = base + (unknown if score is None or score == NEVER else score)
+        if total > best[to]:
+            best[to], last[to] = total, 1
+        while score is not None and to < size:
+            to += 1
+            score = get(text[at:to])
+            if score is not None and score != NEVER and base + score > best[to]:
+                best[to], last[to] = base + score, to - at
     return best, last
 
 
@@ -115,31 +142,36 @@ def _trace(v: Vocabulary, text: str, last: list[int], entry: int, end: int) -> l
 
 
 class Encoder:
-    """Encodes whole texts; parts between places that no piece crosses are looked up once."""
+    """Encodes whole texts; parts between places that no piece crosses are looked up once.
+
+    Of the parts seen, two generations are kept: what is still in use moves to the younger one.
+    """
 
     def __init__(self, v: Vocabulary) -> None:
-        self.v, self.seen = v, {}
-
-    def unit(self, text: str) -> tuple[list[int], int]:
-        """Ids and score of a part."""
-        found = self.seen.get(text)
-        if found is None:
-            best, last = _paths(self.v, text, 0, len(text))
-            found = _trace(self.v, text, last, 0, len(text)), best[-1]
+        self.v, self.seen, self.old = v, {}, {}
+
+    def unit(self, text: str) -> tuple[int, ...]:
+        """Ids of a part."""
+        ids = self.seen.get(text) or self.old.get(text)
+        if ids is None:
+            _, last = _paths(self.v, text, 0, len(text))
+            ids = tuple(_trace(self.v, text, last, 0, len(text)))
+        if len(text) < 64:
             if len(self.seen) >= _UNITS_KEPT:
-                self.seen.clear()
-            if len(text) < 64:
-                self.seen[text] = found
-        return found
+                self.seen, self.old = {}, self.seen
+            self.seen[text] = ids
+        return ids
 
     def encode(self, text: str) -> list[int]:
-        get, out = self.seen.get, []
+        out: list[int] = []
         for part in self.v.units.findall(text):
-            out += (get(part) or self.unit(part))[0]
+            out += self.seen.get(part) or self.unit(part)
         return out
 
     def score(self, text: str) -> int:
-        return sum(self.unit(part)[1] for part in self.v.units.findall(text))
+        """Score of the best path of a text between two places that all paths meet."""
+        scores = self.v.scores
+        return sum(scores[i] for part in self.v.units.findall(text) for i in self.unit(part))
 
 
 def first_meeting(v: Vocabulary, text: str) -> int | None:
@@ -246,9 +278,12 @@ def trace_between(encoder: Encoder, no: int, body: str, ahead: str, enter: int,
 
 def decode_ids(v: Vocabulary, ids: Sequence[int]) -> str:
     """The text of ids: byte pieces in a row are UTF-8, the blank put before the text is taken off."""
+    byte_of, shown = v.byte_of, v.shown
+    if byte_of.keys().isdisjoint(ids):
+        text = "".join([shown[i] for i in ids])
+        return text[1:] if text.startswith(" ") else text
     out: list[str] = []
     run = bytearray()
-    byte_of, texts = v.byte_of, v.texts
     for i in ids:
         if i in byte_of:
             run.append(byte_of[i])
@@ -256,7 +291,7 @@ def decode_ids(v: Vocabulary, ids: Sequence[int]) -> str:
         if run:
             out.append(run.decode("utf-8", "replace"))
             run.clear()
-        out.append(texts[i])
+        out.append(shown[i])
     if run:
         out.append(run.decode("utf-8", "replace"))
     text = "".join(out)
@@ -357,7 +392,7 @@ def decode(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids", name: str
             step = 500
             for at in range(0, batch.num_rows, step):
                 part = batch.slice(at, step)
-                texts = [decode_ids(v, value.as_py() or ()) for value in part.column(1)]
+                texts = [decode_ids(v, value or ()) for value in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())], names=["row", "t"])
 
     out = packed.mapInArrow(run, f"row {kind}, t string")

@@ -168,3 +168,9 @@ def simhash_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", shin
     roots = nodes.join(joined, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     return (rows.join(roots, "fp", "left")
             .select(F.col("key").alias(key), "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
+
+
+def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """Op 3. The rows of ``docs`` but those whose group has a smaller id. A null id stays."""
+    gone = simhash_dedup(docs, key, text, **options).where(F.col(key) != F.col("component_id")).select(F.col(key).alias("_gone")).distinct()
+    return docs.join(gone, F.col(key) == F.col("_gone"), "left_anti")
