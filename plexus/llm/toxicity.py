@@ -258,29 +258,30 @@ def _calibrate(model: Model, rows: DataFrame) -> Model:
 PASSAGES = "array<struct<first: bigint, last: bigint, score: double, e_value: double>>"
 
 
-def toxicity(docs: DataFrame, model: Model, columns: Sequence[str] = ("doc_id",), text: str = "text", most_e: float = 1.0) -> DataFrame:
-    """Op 7. The named columns, ``score`` and ``passages``: chance of toxicity, and passages expected by chance under ``most_e`` times.
+def toxicity(docs: DataFrame, model: Model, columns: Sequence[str] = ("doc_id",), text: str = "text", most_e: float = 1.0,
+             score: str = "score", passages: str = "passages") -> DataFrame:
+    """Op 7. The named columns, a score and passages: chance of toxicity, and passages expected by chance under ``most_e`` times.
 
     A passage is a maximal segment ``[first, last]`` of tokens. Its E-value is ``K n exp(-lambda S)``; the
     score comes from the sum statistic over all segments. A map over whole texts without a shuffle: null
     and empty texts have no segment, very long ones are read in runs, repeated rows are scored alike,
-    an empty table gives no rows. Columns may have any names.
+    an empty table gives no rows. Columns may have any names; give the two new ones other names if they clash.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _Odds(model.odds)
         for batch in batches:
-            scores, passages = [], []
+            scores, places = [], []
             for value in batch.column(1):
                 n, found = scan(value.as_py() or "", cache)
                 scores.append(probability(model, evidence(model, n, found)))
                 rated = [(s, f, l, model.rate * n * math.exp(-model.decay * s)) for s, f, l in found]
-                passages.append([{"first": f, "last": l, "score": s, "e_value": e} for s, f, l, e in rated if e <= most_e])
+                places.append([{"first": f, "last": l, "score": s, "e_value": e} for s, f, l, e in rated if e <= most_e])
             kind = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64()), ("score", pa.float64()), ("e_value", pa.float64())]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), pa.array(passages, kind)], names=["row", "score", "passages"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), pa.array(places, kind)], names=["row", "score", "passages"])
 
     rows = docs.select(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)]).alias("row"), F.col(text).alias("t"))
     scored = rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, score double, passages {PASSAGES}")
-    return scored.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(columns)], "score", "passages")
+    return scored.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(columns)], F.col("score").alias(score), F.col("passages").alias(passages))
 
 
 def fitted(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", **options) -> Model:
