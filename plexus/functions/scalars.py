@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import fnmatch
+import mimetypes
 import re
 from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Media types by file extension.
-MIME_BY_EXTENSION = {
+# Media types by file extension, over those that Python knows.
+MIME_BY_EXTENSION = {ext[1:]: mime for ext, mime in mimetypes.MimeTypes().types_map[True].items()} | {
     "png": "image/png", "jpg": "image/jpeg", "jpeg": "image/jpeg", "jpe": "image/jpeg",
     "gif": "image/gif", "bmp": "image/bmp", "webp": "image/webp", "tif": "image/tiff",
     "tiff": "image/tiff", "svg": "image/svg+xml", "pdf": "application/pdf", "mp4": "video/mp4",
@@ -85,6 +86,11 @@ def url_domain(url: str | Column) -> Column:
     return F.try_parse_url(_c(url), F.lit("AUTHORITY"))
 
 
+def url_host(url: str | Column) -> Column:
+    """Host of a url in lower case, without port; NULL for an unparsable url."""
+    return F.lower(F.try_parse_url(_c(url), F.lit("HOST")))
+
+
 def max_age(cache_control: str | Column) -> Column:
     """G05. ``max-age`` of a Cache-Control header; absent and 0 give NULL."""
     digits = F.regexp_extract(_c(cache_control), r"(?:^|,)\s*max-age[^=,]*=\s*(\d+)", 1)
@@ -92,10 +98,21 @@ def max_age(cache_control: str | Column) -> Column:
 
 
 def http_date(value: str | Column) -> Column:
-    """G06. Date header (day, month name, year, time, zone) to a timestamp; bad values give NULL."""
-    bare = F.regexp_replace(F.trim(_c(value)), r"^[A-Za-z]+,\s*", "")
-    zoned = F.regexp_replace(bare, r"\s+(?:GMT|UTC|UT|Z)$", " +0000")
-    padded = F.regexp_replace(zoned, r"^(\d) ", "0$1 ")
+    """G06. Date header to a timestamp; bad values give NULL.
+
+    All three legal forms are read: ``Tue, 05 Mar 2024 10:01:02 GMT``, ``Tuesday, 05-Mar-24 10:01:02 GMT`` and
+    ``Tue Mar  5 10:01:02 2024``; seconds may be missing, years of two digits from 69 on lie in the last century.
+    """
+    def swap(c: Column, pattern: str, by: str) -> Column:
+        return F.regexp_replace(c, pattern, by)
+
+    bare = swap(F.trim(_c(value)), r"^[A-Za-z]+,?\s+(?=[A-Za-z0-9])", "")
+    bare = swap(bare, r"^([A-Za-z]{3})\s+(\d{1,2})\s+(\d{1,2}:\d{2}(?::\d{2})?)\s+(\d{4})$", "$2 $1 $4 $3 +0000")
+    bare = swap(bare, r"^(\d{1,2})-([A-Za-z]{3})-(\d{2,4}) ", "$1 $2 $3 ")
+    bare = swap(swap(bare, r"^(\d{1,2} [A-Za-z]{3}) (69|[7-9]\d) ", "$1 19$2 "), r"^(\d{1,2} [A-Za-z]{3}) (\d{2}) ", "$1 20$2 ")
+    bare = swap(bare, r"( \d{1,2}:\d{2})(?=\s|$)", "$1:00")
+    zoned = swap(bare, r"\s+(?:GMT|UTC|UT|Z)$", " +0000")
+    padded = swap(swap(zoned, r"^(\d) ", "0$1 "), r" (\d):", " 0$1:")
     return F.try_to_timestamp(padded, F.lit("dd MMM yyyy HH:mm:ss Z"))
 
 

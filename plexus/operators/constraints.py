@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plexus.functions.scalars import content_type_main, let, url_domain
+from plexus.functions.scalars import content_type_main, let, url_host
 from plexus.types import ID
 
 
@@ -156,18 +156,18 @@ def domain_suffixes(domain: Column) -> Column:
 
 def allowed_domains(df: DataFrame, start_urls: DataFrame, extra: Sequence[str] = (),
                     url: str = "url") -> DataFrame:
-    """B16. Rows on the domains of the start urls or the extra ones, subdomains included.
+    """B16. Rows on the hosts of the start urls or the extra domains, subdomains included, whatever port and capitals.
 
     The suffixes of each row's domain are matched with an equi join: no scan of a domain list
     per row. Domains repeat heavily, so the join runs on distinct domains and the rows come
     back through a semi join.
     """
     spark = df.sparkSession
-    domains = start_urls.select(url_domain(start_urls.columns[0]).alias("_suffix"))
+    domains = start_urls.select(url_host(start_urls.columns[0]).alias("_suffix"))
     if extra:
-        domains = domains.union(spark.createDataFrame([(d,) for d in extra], "_suffix string"))
+        domains = domains.union(spark.createDataFrame([(d.lower(),) for d in extra], "_suffix string"))
     domains = domains.where("_suffix is not null").distinct()
-    rows = df.withColumn("_domain", url_domain(url))
+    rows = df.withColumn("_domain", url_host(url))
     fits = (rows.select("_domain").distinct()
             .select("_domain", F.explode(domain_suffixes(F.col("_domain"))).alias("_suffix"))
             .join(domains, "_suffix", "left_semi").select("_domain").distinct())

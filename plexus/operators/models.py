@@ -122,7 +122,7 @@ def register_model(registry: DataFrame, name: str, dimensions: int, provider: st
     existing = None if clean else registry.where(F.col("name") == name).first()
     if existing is None:
         row = spark.createDataFrame([(name, dimensions, metric, provider, model, pretrained, mark)], REGISTRY_SCHEMA)
-        return registry.where(F.col("name") != name).unionByName(row)
+        return registry.where(~F.col("name").eqNullSafe(F.lit(name))).unionByName(row)
     if existing["dimensions"] != dimensions:
         raise ValueError(f"set {name} has {existing['dimensions']} dimensions, not {dimensions}")
     for key, value in wanted.items():

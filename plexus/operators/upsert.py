@@ -39,11 +39,13 @@ def dedup_content(rows: DataFrame, content: str, key: str) -> DataFrame:
     """F03. One row per content, the one with the smallest key.
 
     Only (digest, key) pairs are aggregated, combined on the map side; the contents themselves
-    are never shuffled by digest, so a group of copies cannot overload a task.
+    are never shuffled by digest, so a group of copies cannot overload a task. What is joined back are
+    the few keys that go.
     """
-    keep = (rows.select(key, F.unhex(F.sha2(F.col(content), 256)).alias("_digest"))
-            .groupBy("_digest").agg(F.min(key).alias(key)).select(key))
-    return rows.join(keep, key, "left_semi")
+    digests = rows.select(F.col(key).alias("_key"), F.unhex(F.sha2(F.col(content), 256)).alias("_digest"))
+    copied = (digests.groupBy("_digest").agg(F.min("_key").alias("_keep"), F.count(F.lit(1)).alias("_n")).where("_n > 1"))
+    gone = digests.join(copied, "_digest").where(F.col("_key") != F.col("_keep")).select("_key")
+    return rows.join(gone, F.col(key) == F.col("_key"), "left_anti")
 
 
 def insert_if_not_found(batch: DataFrame, existing: DataFrame, key: Sequence[str],

@@ -143,11 +143,12 @@ def find_similar(queries: DataFrame, vectors: DataFrame, k: int = 10, metric: st
     """H01. The k nearest vectors of each query: ``query_id, <id>, _distance, rank``.
 
     H02. With ``constraints``: ``knn_first`` true searches and then filters (may give fewer than k),
-    false filters the vectors first.
+    false filters the vectors first. Rows and queries without a vector find nothing.
     """
     check_search(k, metric)
+    vectors = vectors.where(F.col(vector_column).isNotNull())
     pool = vectors if constraints is None or knn_first else constrain(vectors, constraints)
-    asked = queries.select(F.col(query_id).alias("query_id"), F.col(query_vector).alias("query_vector"))
+    asked = queries.select(F.col(query_id).alias("query_id"), F.col(query_vector).alias("query_vector")).where("query_vector IS NOT NULL")
     block = _query_block(asked, max_scan_bytes)
     if block is not None:
         partial = _scan(asked, block, pool, k, metric, id_column, vector_column, exclude_self, digits)

@@ -29,7 +29,7 @@ def create_spec(specs: DataFrame, spec_id: str, properties: Mapping[str, Any] |
     spark = specs.sparkSession
     values = {"spec_id": spec_id, **(properties or {})}
     row = spark.createDataFrame([tuple(values.get(f.name) for f in specs.schema.fields)], specs.schema)
-    return specs.where(F.col("spec_id") != spec_id).unionByName(row)
+    return specs.where(~F.col("spec_id").eqNullSafe(F.lit(spec_id))).unionByName(row)
 
 
 def add_run(runs: DataFrame, spec_id: str, run_id: str, start: Column) -> DataFrame:

@@ -66,14 +66,14 @@ def d05(spark, sf):
   WITH runs AS (SELECT user_id AS run_id, user_id % 7 AS spec_id, strftime(min(ts), '%Y-%m-%d') AS run_start, strftime(max(ts), '%Y-%m-%d') AS run_end
     FROM events GROUP BY user_id)
   SELECT 'workflow_' || spec_id AS workflow_name, spec_id, run_id, object_type, coalesce(n, 0) AS n_objects, run_start, run_end
-  FROM runs LEFT JOIN (SELECT user_id AS run_id, event_type AS object_type, count(*) AS n FROM events WHERE value > 20 GROUP BY ALL) USING (run_id)""")
+  FROM runs LEFT JOIN (SELECT user_id AS run_id, event_type AS object_type, count(*) AS n FROM events GROUP BY ALL) USING (run_id)""")
 def d06(spark, sf):
     e = table(spark, sf, "events")
     day = lambda c: F.date_format(c, "yyyy-MM-dd")
     runs = e.groupBy(F.col("user_id").alias("run_id")).agg(day(F.min("ts")).alias("run_start"), day(F.max("ts")).alias("run_end")).withColumn(
         "spec_id", F.col("run_id") % 7)
     specs = runs.select("spec_id").distinct().withColumn("workflow_name", F.concat(F.lit("workflow_"), "spec_id"))
-    objects = e.where("value > 20").select(F.col("user_id").alias("run_id"), F.col("event_type").alias("object_type"))
+    objects = e.select(F.col("user_id").alias("run_id"), F.col("event_type").alias("object_type"))
     return D.workflow_report(specs, runs, objects)
 
 

@@ -253,6 +253,28 @@ def a19(spark, sf):
     return levels[2].unionByName(levels[1], allowMissingColumns=True).unionByName(levels[0], allowMissingColumns=True)
 
 
+_NOTES_SQL = """SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'say "hi", ' || lang || chr(10) || '"' WHEN 3 THEN '  padded, '
+  ELSE text END AS note, source FROM documents"""
+
+
+def _notes(spark, sf):
+    """NULLs, empty texts, quotes, commas, blanks and line breaks."""
+    d = table(spark, sf, "documents")
+    turn = F.col("doc_id") % 5
+    note = (F.when(turn == 1, "").when(turn == 2, F.concat(F.lit('say "hi", '), "lang", F.lit('\n"'))).when(turn == 3, "  padded, ")
+            .when(turn == 4, F.col("text")))
+    return d.select("doc_id", note.alias("note"), "source")
+
+
+@query("a20_property_csv_texts", f"""
+  SELECT 'Note' AS "EntityClass", doc_id::VARCHAR AS doc_id, note, source, 'notes.adb.csv' AS file_name FROM ({_NOTES_SQL})""")
+def a20_texts(spark, sf):
+    from plexus.session import shared_dir
+    path = f"{shared_dir(spark, 'property-csv')}/notes.adb.csv"
+    sinks.write_property_csv(_notes(spark, sf).select(F.lit("Note").alias("EntityClass"), "doc_id", "note", "source"), path)
+    return objects.property_csv(spark, path, name="notes.adb.csv")
+
+
 @query("a20_write_property_csv", """
   SELECT p_partkey::VARCHAR AS p_partkey, p_name, p_size::VARCHAR AS p_size FROM part""")
 def a20(spark, sf):
@@ -263,11 +285,12 @@ def a20(spark, sf):
 
 
 @query("a21_export_rows", """
-  SELECT doc_id, to_base64(encode(text)) AS body, strftime(TIMESTAMP '2024-01-01' + to_seconds(doc_id), '%Y-%m-%dT%H:%M:%S') AS made,
+  SELECT doc_id, to_base64(encode(text)) AS body, strftime(TIMESTAMP '2024-01-01' + to_seconds(doc_id), '%Y-%m-%dT%H:%M:%S')
+           || CASE WHEN doc_id % 3 > 0 THEN '.' || lpad((doc_id % 3 * 123456)::VARCHAR, 6, '0') ELSE '' END || '+00:00' AS made,
          lang FROM documents""")
 def a21(spark, sf):
     d = table(spark, sf, "documents").select(
         "doc_id", F.encode("text", "UTF-8").alias("body"),
-        F.timestamp_seconds(F.lit(1704067200) + F.col("doc_id")).alias("made"), "lang")
+        F.timestamp_micros((F.lit(1704067200) + F.col("doc_id")) * 1_000_000 + F.col("doc_id") % 3 * 123_456).alias("made"), "lang")
     rows, _ = sinks.export_rows(d)
     return rows

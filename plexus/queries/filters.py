@@ -207,6 +207,21 @@ def b16(spark, sf):
     return kept.select("page_id", F.expr("try_parse_url(url, 'AUTHORITY')").alias("domain"))
 
 
+_HOST_SQL = "lower(regexp_extract(url, '^[a-z]+://([^/:?#]*)', 1))"
+
+
+@query("b16_allowed_hosts", f"""
+  SELECT page_id FROM pages WHERE {_HOST_SQL} LIKE '%.example.org' OR {_HOST_SQL} = 'example.org'""")
+def b16_hosts(spark, sf):
+    """Ports and capitals in urls and domains make no difference."""
+    odd = F.when(F.col("page_id") % 3 == 1, F.regexp_replace("url", r"^([a-z]+://[^/:?#]*)", "$1:8080"))
+    odd = odd.when(F.col("page_id") % 3 == 2, F.concat(F.regexp_extract("url", "^[a-z]+://", 0), F.upper(F.regexp_extract("url", "^[a-z]+://([^/:?#]*)", 1)),
+                                                       F.regexp_replace("url", "^[a-z]+://[^/:?#]*", ""))).otherwise(F.col("url"))
+    pages = table(spark, sf, "pages").select("page_id", odd.alias("url"))
+    none = pages.where("page_id IS NULL").select("url")
+    return B.allowed_domains(pages, none, extra=["Example.org"]).select("page_id")
+
+
 @query("b17_drop_null_properties", """
   SELECT 'Event:' || event_id AS _uniqueid, '{' || '"event_type":"' || event_type || '"' ||
     CASE WHEN event_type <> 'error' THEN ',"user_id":' || user_id ELSE '' END ||

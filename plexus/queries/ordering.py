@@ -47,9 +47,9 @@ def e04(spark, sf):
 
 @query("e05_segment_number", """
   SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS segment_number
-  FROM conversations WHERE role <> 'system'""")
+  FROM conversations""")
 def e05(spark, sf):
-    return E.segment_number(table(spark, sf, "conversations").where("role <> 'system'").select("conv_id", "turn"),
+    return E.segment_number(table(spark, sf, "conversations").select("conv_id", "turn"),
                             "conv_id", "turn", start=1)
 
 

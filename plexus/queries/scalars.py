@@ -64,6 +64,22 @@ def g06(spark, sf):
         "page_id", F.date_format(G.http_date("last_modified"), "yyyy-MM-dd HH:mm:ss").alias("modified"))
 
 
+_DATES_SQL = """(SELECT page_id, TIMESTAMP '2024-03-05 10:01:02' + to_hours(page_id) AS t FROM pages)"""
+
+
+@query("g06_http_date_forms", f"""
+  SELECT page_id, CASE WHEN page_id % 5 = 4 THEN NULL WHEN page_id % 5 = 3 THEN strftime(date_trunc('minute', t), '%Y-%m-%d %H:%M:%S')
+    ELSE strftime(t, '%Y-%m-%d %H:%M:%S') END AS modified FROM {_DATES_SQL}""")
+def g06_forms(spark, sf):
+    """All legal forms of a date header, one without seconds, and none."""
+    t = F.timestamp_seconds(F.lit(1709632862) + F.col("page_id") * 3600)
+    turn = F.col("page_id") % 5
+    form = (F.when(turn == 0, F.date_format(t, "EEE, dd MMM yyyy HH:mm:ss 'GMT'")).when(turn == 1, F.date_format(t, "EEEE, dd-MMM-yy HH:mm:ss 'GMT'"))
+            .when(turn == 2, F.concat(F.date_format(t, "EEE MMM "), F.lpad(F.date_format(t, "d"), 2, " "), F.date_format(t, " HH:mm:ss yyyy")))
+            .when(turn == 3, F.date_format(t, "EEE, d MMM yyyy HH:mm 'GMT'")).otherwise(F.lit("5 of March")))
+    return table(spark, sf, "pages").select("page_id", F.date_format(G.http_date(form), "yyyy-MM-dd HH:mm:ss").alias("modified"))
+
+
 @query("g07_resource_key", "SELECT o_orderkey, sha1('postgres://db/shop/orders/' || o_orderkey) AS resource_key FROM orders")
 def g07(spark, sf):
     return table(spark, sf, "orders").select(

@@ -148,21 +148,16 @@ def h07(spark, sf):
 
 
 @query("h08_image_operations", """
-  SELECT doc_id, h // 2 AS height, 8 AS width, sha256(unhex(substr(x, 1, 0) || string_agg(line, '' ORDER BY r))) AS digest FROM (
+  SELECT doc_id, h AS height, 8 AS width, sha256(unhex(substr(x, 1, 0) || string_agg(line, '' ORDER BY r))) AS digest FROM (
     SELECT doc_id, h, x, r, list_aggregate(list_transform(range(0, 8), lambda c:
       CASE WHEN substr(x, 1 + 2 * (r * 16 + 11 - c), 2) > '60' THEN substr(x, 1 + 2 * (r * 16 + 11 - c), 2) ELSE '00' END), 'string_agg', '') AS line
-    FROM (SELECT *, unnest(range(0, h // 2)) AS r FROM (
+    FROM (SELECT *, unnest(range(0, h)) AS r FROM (
       SELECT doc_id, hex(encode(text || repeat(' ', 16))) AS x, strlen(text || repeat(' ', 16)) // 16 AS h FROM documents)))
   GROUP BY doc_id, h, x""")
 def h08(spark, sf):
     from plexus.operators.images import image_operations
-    p = pictures(spark, sf)
-    # a mirrored 8 pixel column of the upper half, dark pixels blacked out
-    wide = p.withColumn("half", F.floor(F.col("image.height") / 2).cast("int"))
-    upper = wide.select("doc_id", F.struct(
-        F.col("half").alias("height"), F.lit(16).alias("width"), F.lit(1).alias("nChannels"), F.lit(0).alias("mode"),
-        F.substring("image.data", F.lit(1), F.col("half") * 16).alias("data")).alias("image")).where("image.height > 0")
-    out = image_operations(upper, [{"type": "crop", "x": 4, "y": 0, "width": 8, "height": 1_000_000},
+    # a mirrored 8 pixel column of each picture, dark pixels blacked out
+    out = image_operations(pictures(spark, sf).select("doc_id", "image"), [{"type": "crop", "x": 4, "y": 0, "width": 8, "height": 1_000_000},
                                    {"type": "flip", "code": 1}, {"type": "threshold", "value": 0x60}])
     return out.select("doc_id", F.col("image.height").cast("bigint").alias("height"), F.col("image.width").alias("width"),
                       F.sha2("image.data", 256).alias("digest"))

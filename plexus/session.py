@@ -7,7 +7,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -56,16 +55,6 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def at_most(df: DataFrame, rows: int) -> bool:
-    """True when ``df`` has no more than ``rows`` rows; reads at most ``rows`` + 1 of them."""
-    return df.limit(rows + 1).count() <= rows
-
-
-def broadcast_within(df: DataFrame, rows: int) -> DataFrame:
-    """Hint a broadcast only after the row count was checked; otherwise leave the join to AQE."""
-    return F.broadcast(df) if at_most(df, rows) else df
-
-
 def spread(scan: DataFrame, key: str) -> DataFrame:
     """Spread a small scan over all cores before heavy work per row.
 

@@ -62,6 +62,11 @@ PROPERTY_CLASSES = ("Image", "Video", "Pdf", "Document")
 OTHER_CLASSES = ("Blob", "BoundingBox", "Polygon", "Descriptor", "DescriptorSet", "Connection", "Clip", "Frame")
 
 
+# Read and written alike: quotes are doubled, blanks kept, NULL (nothing) told apart from an empty text (two quotes).
+PROPERTY_CSV = {"header": "true", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+                "nullValue": "\u0001", "emptyValue": ""}
+
+
 def property_file_class(name: str) -> str | None:
     """Object class a ``<class>.adb.csv`` file describes; None for a file of entities."""
     prefix = name.removesuffix(".adb.csv").removeprefix("_").lower()
@@ -75,11 +80,15 @@ def property_file_class(name: str) -> str | None:
 
 def property_csv(spark: SparkSession, path: str, name: str | None = None,
                  schema: str | None = None) -> DataFrame:
-    """A11. A property file. Without a known object class its first column must be ``EntityClass``."""
+    """A11. A property file. Without a known object class its first column must be ``EntityClass``.
+
+    Quoted texts may hold quotes, commas and line breaks; an empty field is NULL, a quoted empty one is
+    an empty text. A file with line breaks in its texts cannot be split, so large tables come as many files.
+    """
     file_name = name or path.rstrip("/").rsplit("/", 1)[-1]
     if not file_name.endswith(".adb.csv"):
         raise ValueError(f"{file_name}: not a property file")
-    reader = spark.read.option("header", "true").option("multiLine", "false")
+    reader = spark.read.options(**PROPERTY_CSV, multiLine="true")
     if schema:
         reader = reader.schema(schema)
     df = reader.csv(path)
@@ -196,14 +205,15 @@ class RecordSets:
 
 def record_sets(url: str, tables: Mapping[str, DataFrame], sample_count: int = -1,
                 flatten: Mapping[str, tuple[str, str]] | None = None) -> RecordSets:
-    """A19. Dataset, record sets and records, linked by name; ``sample_count`` -1 takes all.
+    """A19. Dataset, record sets and records, linked by name; ``sample_count`` -1 takes all, else those with
+    the smallest hash, so that records and counts agree in every evaluation.
 
     ``flatten`` names a JSON column and its schema per record set; its fields become columns.
     """
     records, sets, spark = {}, None, None
     for name, df in tables.items():
         spark = df.sparkSession
-        rows = df if sample_count < 0 else df.limit(sample_count)
+        rows = df if sample_count < 0 else df.orderBy(F.xxhash64(*df.columns), *df.columns[:1]).limit(sample_count)
         if flatten and name in flatten:
             column, schema = flatten[name]
             rest = [c for c in rows.columns if c != column]
