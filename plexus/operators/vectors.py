@@ -143,7 +143,7 @@ def find_similar(queries: DataFrame, vectors: DataFrame, k: int = 10, metric: st
     """H01. The k nearest vectors of each query: ``query_id, <id>, _distance, rank``.
 
     H02. With ``constraints``: ``knn_first`` true searches and then filters (may give fewer than k),
-    false filters the vectors first. Rows and queries without a vector find nothing.
+    false filters the vectors first. Ids are unique. Rows and queries without a vector find nothing.
     """
     check_search(k, metric)
     vectors = vectors.where(F.col(vector_column).isNotNull())
@@ -157,7 +157,10 @@ def find_similar(queries: DataFrame, vectors: DataFrame, k: int = 10, metric: st
     hits = _final(partial, k, id_column, metric)
     if constraints is not None and knn_first:
         allowed = constrain(vectors, constraints).select(id_column)
-        hits = hits.join(allowed, id_column, "left_semi")
+        if block is not None:  # k rows for each of a bounded number of queries go to the ids, which stay where they lie
+            hits = allowed.join(F.broadcast(hits), id_column)
+        else:
+            hits = hits.join(allowed, id_column, "left_semi")
     return hits.select("query_id", id_column, "_distance", "rank")
 
 
@@ -290,7 +293,9 @@ def find_similar_mmr(queries: DataFrame, vectors: DataFrame, k: int = 5, fetch_k
         raise ValueError("fetch_k must not be below k")
     hits = find_similar(queries, vectors, fetch, COSINE, query_id=query_id, query_vector=query_vector,
                         id_column=id_column, vector_column=vector_column, **search)
-    rows = hits.join(vectors.select(id_column, F.col(vector_column).alias("_vec")), id_column)
+    few = queries.limit(SCAN_QUERIES + 1).count() <= SCAN_QUERIES and fetch * SCAN_QUERIES * 64 <= SCAN_QUERY_BYTES
+    # a bounded number of hits goes to the vectors, which are not shuffled
+    rows = vectors.select(id_column, F.col(vector_column).alias("_vec")).join(F.broadcast(hits) if few else hits, id_column)
     schema = T.StructType([hits.schema["query_id"], hits.schema[id_column], T.StructField("_distance", T.DoubleType()),
                            T.StructField("rank", T.IntegerType())])
 

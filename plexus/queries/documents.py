@@ -112,11 +112,12 @@ def i09(spark, sf):
 
 
 @query("i10_full_text", """
+  SELECT d.doc_id, coalesce(t.text, '') AS text, t.title FROM documents d LEFT JOIN (
   SELECT doc_id, string_agg(regexp_replace(page, '^\\s+|\\s+$', '', 'g') || chr(10) || chr(10), '' ORDER BY i) AS text, any_value(lang) AS title FROM (
     SELECT doc_id, lang, unnest(string_split(text, chr(10))) AS page, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents)
-  WHERE page <> '' GROUP BY doc_id""")
+  WHERE page <> '' GROUP BY doc_id) t USING (doc_id)""")
 def i10(spark, sf):
-    d = table(spark, sf, "documents").where("length(replace(text, '\n', '')) > 0").select(
+    d = table(spark, sf, "documents").select(
         "doc_id", F.col("lang").alias("title"), F.split("text", "\n").alias("pages"))
     return D.full_text(D.page_blocks(d), "doc_id")
 
