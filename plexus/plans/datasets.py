@@ -7,10 +7,12 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plexus.functions.scalars import area_share, aspect_ratio, box_clamp, capitalize, iso_date, polygon_pairs, url_tail_id
 from plexus.operators.models import Model, embed_texts
 from plexus.operators.upsert import first_per_key
+from plexus.session import materialise
 from plexus.sources.objects import AnnotationTables, fetch_one, fetch_urls
 from plexus.types import DST, ID, SRC
 
@@ -35,11 +37,31 @@ class GraphTables:
     edges: dict[str, DataFrame] = field(default_factory=dict)
 
 
+def _list_items(records: DataFrame) -> DataFrame:
+    """The items of all lists of all records in one shape, from one scan and one ``explode``."""
+    kinds = {f.name: f.dataType for _, _, _, schema, names in LISTS.values()
+             for f in T.DataType.fromDDL(schema).elementType.fields if f.name in names}
+
+    def shaped(order: int, name: str, key: str, schema: str) -> Column:
+        own = T.DataType.fromDDL(schema).elementType.fieldNames()
+
+        def item(e: Column, at: Column) -> Column:
+            pick = lambda n, kind: (e[n] if n in own else F.lit(None)).cast(kind).alias(n)
+            return F.struct(F.lit(order).alias("list"), at.alias("at"), e[key].cast("string").alias("id"), e["name"].alias("name"),
+                            pick("gender", "int"), *[pick(n, kind) for n, kind in kinds.items()])
+
+        return F.coalesce(F.transform(F.from_json(name, schema), item), F.array())
+
+    lists = [shaped(order, name, key, schema) for order, (name, (_, _, key, schema, _)) in enumerate(LISTS.items())]
+    return records.select("movie_id", F.inline(F.concat(*lists))).where("id IS NOT NULL")
+
+
 def nested_to_graph(records: DataFrame, dataset: str = "movies") -> GraphTables:
     """J01. One nested record to a Movie node, six kinds of nodes around it, and their edges.
 
     Lists are JSON text. A node that many records mention is kept once, from the first record
     (by movie id and place); the group is reduced on the map side, so a shared genre stays cheap.
+    The lists are parsed once, into one table that all nodes and edges are read from.
     """
     out = GraphTables()
     movie_key = F.col("movie_id").cast("string")
@@ -47,20 +69,16 @@ def nested_to_graph(records: DataFrame, dataset: str = "movies") -> GraphTables:
     out.nodes["Movie"] = movies.select(
         movie_key.alias("id"), "movie_id", *MOVIE, capitalize("title").alias("uniqueid"), F.lit("Movie").alias("label"),
         F.lit(dataset).alias("dataset_name"))
-    mentions: dict[str, DataFrame] = {}
-    for order, (name, (node_class, edge_class, key, schema, properties)) in enumerate(LISTS.items()):
-        items = records.select("movie_id", F.posexplode(F.from_json(name, schema)).alias("_at", "e"))
-        items = items.where(F.col(f"e.{key}").isNotNull())
-        out.edges[edge_class] = items.select(
-            F.col("movie_id").cast("string").alias(SRC), F.col(f"e.{key}").cast("string").alias(DST),
-            F.lit(edge_class).alias("class"), *[F.col(f"e.{p}").alias(p) for p in properties])
-        gender = F.col("e.gender") if node_class == "Professional" else F.lit(None).cast("int")
-        rows = items.select(F.col(f"e.{key}").cast("string").alias("id"), F.col("e.name").alias("name"), gender.alias("gender"),
-                            F.lit(order).alias("_list"), "movie_id", "_at")
-        mentions[node_class] = mentions[node_class].unionByName(rows) if node_class in mentions else rows
-    for node_class, rows in mentions.items():
+    items = materialise(_list_items(records), "list-items")
+    mentions: dict[str, list[int]] = {}
+    for order, (node_class, edge_class, _, _, properties) in enumerate(LISTS.values()):
+        mentions.setdefault(node_class, []).append(order)
+        out.edges[edge_class] = items.where(F.col("list") == order).select(
+            F.col("movie_id").cast("string").alias(SRC), F.col("id").alias(DST), F.lit(edge_class).alias("class"), *properties)
+    for node_class, lists in mentions.items():
         # cast comes before crew inside a record
-        once = first_per_key(rows, ["id"], ["movie_id", "_list", "_at", "name"])
+        once = first_per_key(items.where(F.col("list").isin(lists)).select("id", "name", "gender", "list", "movie_id", "at"),
+                             ["id"], ["movie_id", "list", "at", "name"])
         columns = ["id", "name", *(["gender"] if node_class == "Professional" else [])]
         out.nodes[node_class] = once.select(
             *columns, capitalize("name").alias("uniqueid"), F.lit(node_class).alias("label"), F.lit(dataset).alias("dataset_name"))
