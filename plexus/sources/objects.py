@@ -163,12 +163,16 @@ def annotations_json(spark: SparkSession, path: str, multi_line: bool = True) ->
     """A17. Read annotation files; the corpus is the last part of the file name before the year.
 
     Segmentations of crowds are objects, not point lists, and come back NULL; crowds are no
-    polygons anyway. A file is one JSON value and so one task; with ``multi_line=False`` a file
-    holds one document per line and splits. The three tables read the same files, each its own fields.
+    polygons anyway. A file is one JSON value and so read in one task, but its rows are spread before
+    anything else is done with them; with ``multi_line=False`` a file holds one document per line and splits. The three tables read the same files, each its own fields.
     """
     files = (spark.read.schema(ANNOTATION_SCHEMA).option("multiLine", multi_line).json(path)
              .withColumn("corpus", F.regexp_extract(F.col("_metadata.file_name"), r"_([A-Za-z]+)\d*\.json$", 1)))
-    return annotation_tables(files)
+    tables = annotation_tables(files)
+    if multi_line:
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        tables = AnnotationTables(tables.images.repartition(n, "id"), tables.annotations.repartition(n, "id"), tables.categories)
+    return tables
 
 
 def packed_vectors(records: DataFrame, dimensions: int, ids: DataFrame | None = None,

@@ -186,14 +186,15 @@ def test_record_sets(spark):
 
 
 def test_export_rows(spark):
-    df = spark.sql("select 1 as n, unhex('00FF') as b, timestamp'2020-01-02 03:04:05' as t, true as f")
+    df = spark.sql("select 1 as n, unhex('00FF') as b, timestamp'2020-01-02 03:04:05' as t, timestamp_ntz'2020-01-02 03:04:05.25' as u, true as f")
     rows, meta = sinks.export_rows(df, as_json=True)
-    assert json.loads(rows.first().row) == {"n": 1, "b": base64.b64encode(b"\x00\xff").decode(), "t": "2020-01-02T03:04:05", "f": True}
-    assert meta == [{"name": "n", "type": "number"}, {"name": "b", "type": "blob"}, {"name": "t", "type": "datetime"}, {"name": "f", "type": "boolean"}]
+    assert json.loads(rows.first().row) == {"n": 1, "b": base64.b64encode(b"\x00\xff").decode(), "t": "2020-01-02T03:04:05+00:00", "u": "2020-01-02T03:04:05.250000", "f": True}
+    assert meta == [{"name": "n", "type": "number"}, {"name": "b", "type": "blob"}, {"name": "t", "type": "datetime"},
+                    {"name": "u", "type": "datetime"}, {"name": "f", "type": "boolean"}]
 
 
 def test_csv_round_trip(spark, tmp_path):
-    df = spark.createDataFrame([(1, 'a "quoted", text')], "n int, s string")
-    sinks.write_property_csv(df, str(tmp_path / "o"))
-    back = spark.read.option("header", True).option("escape", '"').csv(str(tmp_path / "o")).first()
-    assert (back.n, back.s) == ("1", 'a "quoted", text')
+    texts = ['a "quoted", text', 'say "hi", ok', "two\nlines, \"both\"", "", None, "  blanks  ", ",", '"', "é"]
+    path = str(tmp_path / "notes.adb.csv")
+    sinks.write_property_csv(spark.createDataFrame([("Note", i, t) for i, t in enumerate(texts)], "EntityClass string, n int, s string"), path)
+    assert [r.s for r in O.property_csv(spark, path).orderBy("n").collect()] == texts
