@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plexus.functions.scalars import edge_class_name, resource_key
-from plexus.operators.skew import key_parts
+from plexus.operators.skew import rank_in_key
 from plexus.types import DST, ID, SRC
 
 
@@ -70,16 +70,17 @@ def group_by_source(reference: DataFrame, edges: DataFrame, nodes: DataFrame, *,
                     columns: Sequence[str] = (ID,), max_items: int = 100_000) -> DataFrame:
     """C04. Result rows grouped by the node they were reached from: ``_src, part, items``.
 
-    ``items`` is sorted. A source with more than ``max_items`` rows comes back as several parts
-    instead of one unbounded list; ordinary sources have the single part 0. No row is dropped.
+    The sorted items of a source are cut into parts of ``max_items``: part 0 has the first ones, part 1 the
+    next, so the parts in order are the whole list, however long it is. No row is dropped.
     """
     near, far = (SRC, DST) if direction == "out" else (DST, SRC)
     ref = reference.select(F.col(ID).alias("_from")).distinct()
     reached = (_of_class(edges, edge_class).select(F.col(near).alias("_from"), F.col(far).alias(ID))
                .join(ref, "_from", "left_semi")
                .join(nodes.select(ID, *[c for c in columns if c != ID]), ID))
-    split = key_parts(reached, "_from", F.col(ID), max_items)
     item = F.struct(*[F.col(c) for c in columns])
+    split = (rank_in_key(reached, "_from", item, "_place")
+             .withColumn("part", F.floor(F.col("_place") / F.lit(max_items)).cast("int")))
     return (split.groupBy("_from", "part").agg(F.array_sort(F.collect_list(item)).alias("items"))
             .withColumnRenamed("_from", SRC))
 

@@ -47,14 +47,19 @@ def dense_index(values: DataFrame, column: str, name: str) -> DataFrame:
             .withColumn(name, F.col("_i") + F.col("_offset") - 1).drop("_range", "_i", "_offset"))
 
 
-def key_parts(df: DataFrame, key: str, item: Column, max_rows: int) -> DataFrame:
-    """Add ``part``: 0 for ordinary keys; rows of a key above ``max_rows`` spread over several parts.
+def rank_in_key(df: DataFrame, key: str, order: Column, name: str) -> DataFrame:
+    """Add the place of each row, from 0, among the rows of its key in order.
 
-    Counts are pre-aggregated on the map side and only hot keys are joined back, so the side
-    that carries the counts has at most rows / max_rows entries.
+    Rows are cut into ranges of (key, order) and written once with the number of their range, so the
+    rows of a hot key lie in many ranges; places are counted inside a range, and what stands before
+    it comes from one count per key and range.
     """
-    hot = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_rows)
-           .select(key, F.ceil(F.col("_n") / F.lit(max_rows)).cast("int").alias("_parts")))
-    return (df.join(hot, key, "left")
-            .withColumn("part", F.coalesce(F.pmod(F.xxhash64(item), F.col("_parts")), F.lit(0)).cast("int"))
-            .drop("_parts"))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.withColumn("_order", order)
+    ranges = materialise(rows.repartitionByRange(parts, key, "_order").withColumn("_range", F.spark_partition_id()), "ranges")
+    counts = ranges.groupBy(key, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(key, "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy(key, "_range").orderBy("_order")
+    return (ranges.withColumn("_i", F.row_number().over(inside)).join(offsets, [key, "_range"])
+            .withColumn(name, (F.col("_i") + F.col("_offset") - 1).cast("bigint")).drop("_order", "_range", "_i", "_offset"))

@@ -56,6 +56,18 @@ def c04(spark, sf):
                           F.array_join(F.transform("items", lambda i: i["name"]), "|").alias("names"))
 
 
+@query("c04_group_in_parts", """
+  SELECT _src, part, count(*) AS n_items, string_agg(c_name, '|' ORDER BY c_name) AS names FROM (
+    SELECT 'Nation:' || c_nationkey AS _src, c_name, (row_number() OVER (PARTITION BY c_nationkey ORDER BY c_name) - 1) // 7 AS part FROM customer)
+  GROUP BY _src, part""")
+def c04_parts(spark, sf):
+    """Lists longer than a part come in parts, in order."""
+    grouped = C.group_by_source(node(spark, sf, "Nation"), edge(spark, sf, "CustomerIn"), node(spark, sf, "Customer"),
+                                direction="in", columns=("name", "_uniqueid"), max_items=7)
+    return grouped.select("_src", "part", F.size("items").cast("bigint").alias("n_items"),
+                          F.array_join(F.transform("items", lambda i: i["name"]), "|").alias("names"))
+
+
 @query("c05_k_hop", """
   SELECT DISTINCT 'Orders:' || o_orderkey AS _uniqueid FROM orders JOIN customer ON o_custkey = c_custkey
     JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey = 2""")
