@@ -12,7 +12,7 @@ from plexus.llm.exact_dedup import exact_dedup
 from plexus.llm.html_extract import extract_text
 from plexus.llm.license_scan import license_scan
 from plexus.llm.mixing import taken_words
-from plexus.llm.sentencepiece import decode, encode, load_vocabulary
+from plexus.llm.sentencepiece import encode, load_vocabulary
 from plexus.llm.simhash import simhash_dedup
 from plexus.llm.substring_dedup import substring_dedup
 from plexus.llm.suffix_dedup import suffix_dedup
@@ -79,12 +79,8 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("op1_sentencepiece")
 def op1(spark: SparkSession, sf: str) -> DataFrame:
-    vocabulary = load_vocabulary()
-    docs = table(spark, sf, "documents").select("doc_id", "text")
-    encoded = encode(docs.withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")), 256)), vocabulary)
-    return (decode(encoded, vocabulary)
-            .select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
-                    (F.sha2("text", 256) == F.col("text_sha256")).alias("round_trip")))
+    encoded = encode(table(spark, sf, "documents").select("doc_id", "text"), load_vocabulary(), proof="round_trip")
+    return encoded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"), "round_trip")
 
 
 def _removed():

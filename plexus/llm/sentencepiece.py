@@ -15,6 +15,7 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -26,8 +27,8 @@ CHUNK_CHARS = 32_768
 AHEAD_CHARS = 1024    # how far behind an edge a place where all paths meet is looked for
 SPACE = "▁"
 NEVER = -(1 << 60)
-_UNITS_KEPT = 150_000
-_SUB_BATCH = 1 << 21   # characters of a batch handed back at a time
+_UNITS_KEPT = 100_000
+_SUB_BATCH = 1 << 20   # characters of a batch handed back at a time
 
 
 @dataclass
@@ -58,6 +59,19 @@ class Vocabulary:
         """Ids of the bytes that need their neighbours to be a character."""
         return {p: b for b, p in enumerate(self.bytes_) if b >= 0x80}
 
+    @cached_property
+    def singles(self) -> set[str]:
+        return {p for p in self.pieces if len(p) == 1}
+
+    @cached_property
+    def automaton(self) -> ahocorasick.Automaton:
+        """Finds all pieces in a text, ``(length, score, id)`` each, the longest first at a place."""
+        out = ahocorasick.Automaton()
+        for p, (i, score) in self.pieces.items():
+            out.add_word(p, (len(p), score, i))
+        out.make_automaton()
+        return out
+
     @cached_property
     def scores(self) -> dict[int, int]:
         """Score by id; a character without a piece counts with the first of its bytes."""
@@ -154,14 +168,29 @@ class Encoder:
         """Ids of a part."""
         ids = self.seen.get(text) or self.old.get(text)
         if ids is None:
-            _, last = _paths(self.v, text, 0, len(text))
-            ids = tuple(_trace(self.v, text, last, 0, len(text)))
+            ids = tuple(self._known(text) if self.v.singles.issuperset(text) else
+                        _trace(self.v, text, _paths(self.v, text, 0, len(text))[1], 0, len(text)))
         if len(text) < 64:
             if len(self.seen) >= _UNITS_KEPT:
                 self.seen, self.old = {}, self.seen
             self.seen[text] = ids
         return ids
 
+    def _known(self, text: str) -> list[int]:
+        """Best path of a text in which every character is a piece."""
+        best, last = [0] + [NEVER] * len(text), [None] * (len(text) + 1)
+        for end, piece in self.v.automaton.iter(text):
+            end += 1
+            total = best[end - piece[0]] + piece[1]
+            if total > best[end]:
+                best[end], last[end] = total, piece
+        out, at = [], len(text)
+        while at:
+            piece = last[at]
+            out.append(piece[2])
+            at -= piece[0]
+        return out[::-1]
+
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
         for part in self.v.units.findall(text):
@@ -250,6 +279,39 @@ def settle(matrices: Sequence[np.ndarray]) -> list[int]:
     return states
 
 
+def _ends(v: Vocabulary, no: int, body: str, ahead: str) -> tuple[int | None, int | None]:
+    """Places behind the two edges of a chunk that every path meets, if there are such near them."""
+    return (first_meeting(v, (body + ahead)[:AHEAD_CHARS]) if no else 0), (first_meeting(v, ahead) if ahead else 0)
+
+
+def open_matrix(encoder: Encoder, no: int, body: str, ahead: str) -> bytes | None:
+    """Matrix of a chunk with an edge that no meeting place closes; between two such places no state is in doubt."""
+    start, end = _ends(encoder.v, no, body, ahead)
+    if start is not None and end is not None:
+        return None
+    m = chunk_matrix(encoder, body, ahead)
+    if start is not None:  # every way in leads to the meeting place
+        m = chunk_matrix(encoder, body[start:], ahead)[:1].repeat(encoder.v.longest, axis=0) if start <= len(body) else m
+    if end is not None:
+        stop = chunk_matrix(encoder, body + ahead[:end], "")[:, :1]
+        m = stop.repeat(encoder.v.longest, axis=1)
+    return m.tobytes()
+
+
+def settle_open(matrices: Sequence[np.ndarray | None]) -> list[int]:
+    """``settle`` for each run of chunks with open edges; closed chunks need no states."""
+    states, run = [0], []
+    for m in [*matrices, None]:
+        if m is not None:
+            run.append(m)
+            continue
+        if run:
+            states += settle(run)[1:]
+            run = []
+        states.append(0)
+    return states[:len(matrices) + 1]
+
+
 def trace_chunk(v: Vocabulary, body: str, ahead: str, entry: int, leave: int) -> list[int]:
     """Ids of the pieces that start in a chunk, between its two states."""
     if entry > len(body):
@@ -263,8 +325,7 @@ def trace_between(encoder: Encoder, no: int, body: str, ahead: str, enter: int,
     """Ids of a chunk. An edge moves to the first meeting place behind it, if there is one near, so that a word
     is traced as a whole by the chunk in which it starts; else the states at the edge hold."""
     v = encoder.v
-    start = first_meeting(v, (body + ahead)[:AHEAD_CHARS]) if no else 0
-    end = first_meeting(v, ahead) if ahead else 0
+    start, end = _ends(v, no, body, ahead)
     text = body + ahead
     if end is None:
         if start is None:
@@ -302,17 +363,18 @@ def _shared(spark: SparkSession, v: Vocabulary):
     return spark.sparkContext.broadcast((v.pieces, v.bytes_, v.texts))  # bounded by the vocabulary
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", name: str = "ids", chunk_chars: int = CHUNK_CHARS) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", name: str = "ids", chunk_chars: int = CHUNK_CHARS,
+           proof: str | None = None) -> DataFrame:
     """Op 1. All columns of ``docs`` but the text, and the ids of the whole text.
 
+    ``proof`` names a column that tells whether the ids decode to the text, found where the ids are made.
     A blank goes before a text that is not empty; a character without a piece becomes its UTF-8 bytes, a
     blank symbol in the text too, so ``decode`` gives back every text exactly. Null and empty texts give no
     ids. Texts up to ``chunk_chars`` are encoded in one step where they lie, longer ones in chunks spread over
     all tasks. The result is the same at every chunk size, but for equal best scores of a text without
     any place where all paths meet. Rows that repeat stay repeated; columns may have any other name.
     """
-    spark = docs.sparkSession
-    shared = _shared(spark, vocabulary)
+    shared = _shared(docs.sparkSession, vocabulary)
     others = [c for c in docs.columns if c != text]
     whole = F.when(F.col(text) != "", F.concat(F.lit(" "), F.col(text))).otherwise(F.lit(""))
     rows = docs.select(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)], F.lit(0).alias("none")).alias("row"),
@@ -323,19 +385,30 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", name: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Vocabulary(*shared.value))
         for batch in batches:
-            start, size, ids = 0, 0, []
+            start, size, ids, good = 0, 0, [], []
             for k, value in enumerate(batch.column(1)):
                 t = value.as_py()
-                ids.append(np.array(encoder.encode(t), dtype=np.int32))
+                own = encoder.encode(t)
+                good.append(proof is None or decode_ids(encoder.v, own) == t[1:])
+                ids.append(np.array(own, dtype=np.int32))
                 size += len(t)
                 if size > _SUB_BATCH or k == batch.num_rows - 1:
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, k + 1 - start), _lists(ids)], names=["row", "ids"])
-                    start, size, ids = k + 1, 0, []
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, k + 1 - start), _lists(ids), pa.array(good, pa.bool_())], names=["row", "ids", "good"])
+                    start, size, ids, good = k + 1, 0, [], []
+
+    def prove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = Vocabulary(*shared.value)
+        for batch in batches:
+            for k in range(batch.num_rows):  # one long text at a time
+                one = batch.slice(k, 1)
+                good = decode_ids(v, one.column(1)[0].as_py()) == one.column(2)[0].as_py()[1:]
+                yield pa.RecordBatch.from_arrays([one.column(0), one.column(1), pa.array([good], pa.bool_())], names=["row", "ids", "good"])
 
-    done = short.mapInArrow(run, f"row {kind}, ids array<int>")
-    long = _encode_long(rows.where(F.length("t") > chunk_chars), shared, chunk_chars, vocabulary.longest)
-    both = done.unionByName(long)
-    return both.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(others)], F.col("ids").alias(name))
+    done = short.mapInArrow(run, f"row {kind}, ids array<int>, good boolean")
+    long = _encode_long(rows.where(F.length("t") > chunk_chars), shared, chunk_chars, vocabulary.longest, proof is not None)
+    long = long.mapInArrow(prove, f"row {kind}, ids array<int>, good boolean") if proof else long.withColumn("good", F.lit(True))
+    extra = [F.col("good").alias(proof)] if proof else []
+    return done.unionByName(long).select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(others)], F.col("ids").alias(name), *extra)
 
 
 def _lists(ids: list[np.ndarray]) -> pa.ListArray:
@@ -343,7 +416,7 @@ def _lists(ids: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)))
 
 
-def _encode_long(rows: DataFrame, shared, chunk_chars: int, longest: int) -> DataFrame:
+def _encode_long(rows: DataFrame, shared, chunk_chars: int, longest: int, with_text: bool) -> DataFrame:
     """Chunks: matrices in parallel, states per text, then each chunk traced back on its own."""
     text_id = F.sha2("t", 256)
     cut = F.lit(chunk_chars)
@@ -357,12 +430,12 @@ def _encode_long(rows: DataFrame, shared, chunk_chars: int, longest: int) -> Dat
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Vocabulary(*shared.value))
         for batch in batches:
-            out = [chunk_matrix(encoder, b.as_py(), a.as_py()).tobytes() for b, a in zip(batch.column(2), batch.column(3))]
+            out = [open_matrix(encoder, no, b, a) for no, b, a in zip(*[batch.column(i).to_pylist() for i in range(1, 4)])]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["id", "no", "m"])
 
     def states(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("no")
-        edges = settle([np.frombuffer(m, np.int64).reshape(longest, longest) for m in group["m"]])
+        edges = settle_open([None if m is None else np.frombuffer(m, np.int64).reshape(longest, longest) for m in group["m"]])
         return pd.DataFrame({"id": group["id"], "no": group["no"], "enter": edges[:-1], "leave": edges[1:]})
 
     edges = (chunks.mapInArrow(weigh, "id string, no int, m binary").groupBy("id")
@@ -377,7 +450,8 @@ def _encode_long(rows: DataFrame, shared, chunk_chars: int, longest: int) -> Dat
     traced = chunks.join(edges, ["id", "no"]).select("id", "no", "body", "ahead", "enter", "leave").mapInArrow(trace, "id string, no int, ids array<int>")
     whole = (traced.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("no", "ids"))).alias("parts"))
              .select("id", F.flatten("parts.ids").alias("ids")))
-    return rows.select("row", text_id.alias("id")).join(whole, "id").select("row", "ids")
+    texts = ["t"] if with_text else []
+    return rows.select("row", text_id.alias("id"), *texts).join(whole, "id").select("row", "ids", *texts)
 
 
 def decode(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids", name: str = "text") -> DataFrame:
