@@ -13,8 +13,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plexus.llm.common import save
+
 MIN_PAGES = 10      # pages of a host before a constant text counts as template
 CONSTANT = 0.9      # share of a host's pages that have one text in a place
+BROADCAST_BYTES = 32 << 20
+SALTS = 32
 DEPTH = 24          # levels of a page that take part in a template
 KEPT_TEXTS = 4      # frequent texts remembered per place
 _SPACES = re.compile(r"\s+")
@@ -258,7 +262,7 @@ def blocks(root: Node, template: list | None = None) -> list[str]:
     return out
 
 
-def templates(pages: DataFrame, url: str = "url", html: str = "html", salts: int = 32) -> DataFrame:
+def templates(pages: DataFrame, url: str = "url", html: str = "html", salts: int = SALTS) -> DataFrame:
     """``host, template``: the aligned pages of each host.
 
     A batch's pages are merged in the map, then parts of a host meet in ``salts`` groups and their
@@ -296,9 +300,10 @@ def extract_text(pages: DataFrame, key: str = "page_id", url: str = "url", html:
 
     Null and empty pages give an empty text; a null URL is a host of its own; broken markup is read as
     browsers do, as far as open and close tags go. Rows that repeat stay. Templates are small and one per
-    host; Spark broadcasts them if their size allows and else splits the hot host's side of the join.
+    host: up to ``BROADCAST_BYTES`` of them, as summed up, go to all tasks and pages stay where they lie;
+    beyond that both meet by host and salt, so a hot host is spread over ``SALTS`` groups.
     """
-    found = templates(pages, url, html).withColumnRenamed("host", "_host")
+    found = save(templates(pages, url, html).withColumnRenamed("host", "_host"), "templates")
     rows = pages.select(F.struct(F.col(key).alias("k"), F.col(url).alias("u")).alias("row"), F.coalesce(F.col(html), F.lit("")).alias("html"), host(url).alias("host"))
     kind = rows.schema["row"].dataType.simpleString()
 
@@ -314,5 +319,12 @@ def extract_text(pages: DataFrame, key: str = "page_id", url: str = "url", html:
                 out.append("\n".join(blocks(parse(text.as_py()), known.get(blob))))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["row", "text"])
 
-    return (rows.join(found, F.col("host") == F.col("_host"), "left").select("row", "html", "template")
+    size = found.agg(F.sum(F.octet_length("template") + F.octet_length("_host"))).first()[0] or 0
+    same = F.col("host") == F.col("_host")
+    if size <= BROADCAST_BYTES:
+        met = rows.join(F.broadcast(found), same, "left")
+    else:
+        found = found.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        met = rows.withColumn("salt", F.pmod(F.xxhash64("html"), F.lit(SALTS))).join(found, same & (F.col("salt") == F.col("_salt")), "left")
+    return (met.select("row", "html", "template")
             .mapInArrow(run, f"row {kind}, text string").select(F.col("row.k").alias(key), F.col("row.u").alias(url), "text"))
