@@ -318,6 +318,9 @@ def _meet(unit: Unit, doc_buckets: int):
             c = _take(c, np.flatnonzero(~(edge[:-1] & edge[1:])))
             if len(c["h"]):
                 c = _take(c, np.lexsort((c["pos"], c["tag"], c["doc"], c["g"], c["h"])))
+                # a row that repeats id and text in another batch is the same document: its stretches count once
+                same = np.logical_and.reduce([c[k][1:] == c[k][:-1] for k in ("h", "g", "doc", "tag", "pos")])
+                c = _take(c, np.flatnonzero(np.r_[True, ~same]))
                 seed = np.r_[True, c["h"][1:] != c["h"][:-1]]
                 new = seed | np.r_[True, c["g"][1:] != c["g"][:-1]]
                 later = _later(unit, c, new)

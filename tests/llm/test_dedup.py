@@ -14,6 +14,7 @@ from plexus.llm.exact_dedup import drop_copies, exact_dedup
 from plexus.llm.simhash import BKTree, drop_near_copies, fingerprint, simhash_dedup, simhash_links, star_links
 from plexus.llm.substring_dedup import substring_dedup
 from plexus.llm.suffix_dedup import SuffixFamily, suffix_dedup
+from tests.llm.conftest import prose
 
 
 def groups(pairs, nodes):
@@ -202,6 +203,14 @@ def test_suffix(monkeypatch, edge, edge_texts, window, slice_bytes, hot):
     assert Counter({k: n for k, n in got.items() if k[0] is not None}) == Counter((i, *want[(i, t or "")]) for i, t in texts if i is not None)
 
 
+def test_suffix_row_repeated_in_two_partitions(spark):
+    texts = [(1, prose(300, 71)), (2, prose(300, 72) + prose(60, 71)), (None, prose(200, 73))]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(texts + texts, 2), "doc_id bigint, text string")
+    got = Counter((r.doc_id, r.n_bytes, sum(r.ends) - sum(r.starts), len(r.starts), bytes(r.kept)) for r in suffix_dedup(docs).collect())
+    assert got == Counter({(i, *brute_bytes(texts, 100)[(i, t)]): 2 for i, t in texts})
+    assert {k[2] == 0 for k in got if k[0] != 2} == {True} and all(k[2] for k in got if k[0] == 2)
+
+
 @pytest.mark.parametrize("window,slice_bytes,hot", [(13, 1 << 20, 1000), (5, 700, 1)])
 def test_substring(monkeypatch, edge, edge_texts, window, slice_bytes, hot):
     monkeypatch.setattr(seeds, "SLICE_BYTES", slice_bytes)
