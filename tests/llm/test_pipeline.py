@@ -1,13 +1,16 @@
 """The pipeline and the queries as registered."""
 
 import hashlib
+import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline as pipeline
+from plexus.llm import near_copies
 from plexus.llm import sentencepiece as sp
 from plexus.llm.queries import QUERIES, SQL
 from plexus.llm.simhash import fingerprint
@@ -96,3 +99,66 @@ def test_stages_edge(spark, edge, empty, tmp_path):
             n = out.count()
             assert n <= 2 * max(1, docs.count())
             docs = out
+
+
+def exact_groups(texts):
+    """Smallest id of each document's group by exact Jaccard similarity of its five-word shingles, and the number of pairs."""
+    sets = {i: {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if (w := t.encode().lower().split()) else set() for i, t in texts.items()}
+    root, pairs = {i: i for i in sets}, 0
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in sorted(sets):
+        for b in (b for b in sets if b > a):
+            both = len(sets[a] & sets[b])
+            if both >= 0.8 * (len(sets[a]) + len(sets[b]) - both) - 1e-9:
+                x, y = sorted((top(a), top(b)))
+                root[y], pairs = x, pairs + 1
+    return {i: top(i) for i in sets}, pairs
+
+
+def test_near_stage_against_exact_jaccard(spark):
+    """Random texts with words changed, the similarity from 0.8 up; chains whose ends are not alike; a large group."""
+    r, texts = random.Random(11), {}
+
+    def put(words):
+        texts[len(texts)] = " ".join(words)
+
+    def changed(words, n):
+        words = list(words)
+        for k in r.sample(range(len(words)), n):
+            words[k] = f"y{r.randrange(10 ** 9)}"
+        return words
+
+    for size, n, times in ((300, 1, 40), (300, 5, 40), (100, 2, 40), (1000, 10, 20), (60, 1, 20), (4, 0, 2), (0, 0, 2)):
+        for _ in range(times):
+            base = [f"w{r.randrange(10 ** 6)}" for _ in range(size)]
+            put(base)
+            put(changed(base, n))
+    chain = [f"w{r.randrange(10 ** 6)}" for _ in range(200)]
+    for _ in range(12):
+        put(chain)
+        chain = changed(chain, 3)
+    group = [f"w{r.randrange(10 ** 6)}" for _ in range(150)]
+    for _ in range(60):
+        put(changed(group, 2))
+    want, pairs = exact_groups(texts)
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts.items()], "doc_id bigint, text string, lang string, source string, n_chars bigint").repartition(4)
+    kept = {x.doc_id for x in pipeline.near_stage(spark, docs, SF).collect()}
+    assert pairs > 500 and kept == {i for i in want if want[i] == i}
+
+
+def test_near_stage_recall(spark):
+    """The share of pairs that share a band, beside what the bands promise: 0.99999 at a similarity of 0.8."""
+    assert 1 - (1 - near_copies.SIMILARITY ** near_copies.BAND_ROWS) ** near_copies.BANDS > 0.99999
+    r, hits, n = np.random.default_rng(3), 0, 400
+    for _ in range(n):
+        pool = r.integers(1, 1 << 62, 400).astype(np.uint64)
+        a, b = np.sort(pool[:360]), np.sort(pool[40:])
+        assert near_copies.similarity(a, b) == 0.8
+        hits += bool((near_copies.band_keys(a) == near_copies.band_keys(b)).any())
+    assert hits == n
+    assert near_copies.similarity(near_copies.shingles(b"A b c d e f"), near_copies.shingles(b"a B c\td e g")) == 1 / 3
