@@ -5,12 +5,14 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections.abc import Iterator, Mapping
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MIN_COVERAGE = 0.8
+QUALIFIERS = frozenset("nc nd sa lesser library affero".split())  # words that make another license of one
 _WORD = re.compile(r"[^\W_]+")
 _GAP = re.compile(r"[\W_]")
 
@@ -93,11 +95,19 @@ def align(text: list[str], template: list[str]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def find(text: list[str], template: list[str], min_coverage: float) -> list[tuple[float, int, int]]:
+def telling(name: str, template: list[str]) -> set[str]:
+    """Words of the license's id (the name up to a blank) that its notice holds: a match must have them all."""
+    return set(words_of(name.split()[0])) & set(template) if name.split() else set()
+
+
+def find(text: list[str], template: list[str], min_coverage: float, needed: set[str] | frozenset[str] = frozenset()) -> list[tuple[float, int, int]]:
     """``(coverage, first, last)`` of every place where so much of a template stands in a text.
 
     A match lacks at most a share of the template's words, so it holds one of any larger number of
-    them: windows around the rarest ones in the text miss no match. Overlapping windows give the best.
+    them. Wide windows lie around the rarest ones in the text. Where copies stand close together their
+    words are not unique there, so each place of one of the template's first words also begins a window
+    that ends where that word begins the next copy, and one of just the template's length. Overlapping
+    windows give the best. A match has all words of ``needed`` and no ``QUALIFIERS`` but the template's own.
     """
     n = len(template)
     at: dict[str, list[int]] = {w: [] for w in template}
@@ -109,14 +119,26 @@ def find(text: list[str], template: list[str], min_coverage: float) -> list[tupl
         return []
     rare = sorted(range(n), key=lambda j: (len(at[template[j]]), j))[:lacking + 1]
     slack = n // 2 + 2
-    starts = sorted({max(0, p - j - slack) for j in rare for p in at[template[j]]})
+    windows = {(s, s + n + 2 * slack) for s in (max(0, p - j - slack) for j in rare for p in at[template[j]])}
+    for j in range(min(lacking + 1, n)):
+        places, again = at[template[j]], template[j:].count(template[j])
+        for k, p in enumerate(places):
+            after = places[k + again] - j if k + again < len(places) else len(text)
+            windows.add((p, max(p + 1, min(after, p + n + slack))))
+            windows.add((max(0, p - j), p - j + n))
+    held = [0, *accumulate(w in at for w in text)]
     found: list[tuple[float, int, int]] = []
-    for s in starts:
-        pairs = align(text[s:s + n + 2 * slack], template)
-        if len(pairs) >= min_coverage * n - 1e-9 and pairs:
-            found.append((len(pairs) / n, s + pairs[0][0], s + pairs[-1][0]))
+    for s, e in sorted(windows):
+        if held[min(e, len(text))] - held[s] < min_coverage * n - 1e-9:
+            continue
+        pairs = align(text[s:e], template)
+        if len(pairs) >= min_coverage * n - 1e-9 and pairs and needed <= {template[j] for _, j in pairs}:
+            first, last = s + pairs[0][0], s + pairs[-1][0]
+            if not any(w in QUALIFIERS and w not in at for w in text[first:last + 1]):
+                found.append((len(pairs) / n, first, last))
     best: list[tuple[float, int, int]] = []
-    for match in sorted(found, key=lambda m: (-m[0], m[2] - m[1], m[1])):
+    # most of both sides paired: what a match lacks is not taken from the next copy
+    for match in sorted(found, key=lambda m: (-m[0] / (n + m[2] - m[1] + 1), m[2] - m[1], m[1])):
         if all(match[2] < f or match[1] > l for _, f, l in best):
             best.append(match)
     return sorted(best, key=lambda m: m[1])
@@ -144,7 +166,7 @@ def scan_text(text: str, templates: Mapping[str, list[str]], min_coverage: float
         have = set(run)
         for name, template in templates.items():
             if sum(w in have for w in template) >= min_coverage * len(template) - 1e-9:
-                out.update((name, c, base + f, base + l) for c, f, l in find(run, template, min_coverage))
+                out.update((name, c, base + f, base + l) for c, f, l in find(run, template, min_coverage, telling(name, template)))
     kept: list[tuple[str, float, int, int]] = []
     for m in sorted(out, key=lambda m: (m[0], m[2], -m[1], m[3])):  # a match seen in two runs counts once
         if not kept or kept[-1][0] != m[0] or m[2] > kept[-1][3]:
@@ -160,7 +182,8 @@ def license_scan(docs: DataFrame, templates: Mapping[str, str] | None = None, ke
     A template and a window of the text are aligned on words unique to both, the longest increasing
     subsequence of these anchors splits them into gaps, and the gaps are aligned in the same way. Coverage
     is the share of the template's words that have a partner. Words are letters and digits, lower-cased.
-    A notice that comes twice is found twice. A map over whole texts without a shuffle; null and empty
+    A notice that comes twice is found twice, also back to back. The words of a license's id that stand in its
+    notice must match, and words that make another license of it must not come in between. A map over whole texts without a shuffle; null and empty
     texts give no rows, repeated rows repeat theirs; templates are a parameter.
     """
     parsed = {name: words_of(t) for name, t in (TEMPLATES if templates is None else templates).items() if words_of(t)}

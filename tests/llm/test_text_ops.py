@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from plexus.llm import html_extract
 from plexus.llm import sentencepiece as sp
 from plexus.llm.html_extract import blocks, extract_text, matching, merge, parse, skeleton
-from plexus.llm.license_scan import TEMPLATES, align, license_scan, scan_text, words_of
+from plexus.llm.license_scan import TEMPLATES, align, license_scan, scan_text, telling, words_of
 from plexus.llm.mixing import golden, golden_point, mix, mixed_documents, source_targets, taken_words
 from plexus.llm.toxicity import Model, fitted, is_held_out, segments, toxicity
 
@@ -196,6 +196,33 @@ def test_license_planted(spark, edge, empty):
     assert sorted((r.doc_id or 0, r.license, r.first_word) for r in license_scan(one).collect()) == [(0, "MIT", 0), (5, "MIT", 1)]
 
 
+def test_license_copies_close_together():
+    parsed = {n: words_of(t) for n, t in TEMPLATES.items()}
+    listed = scan_text("\n".join(f"pkg{k} Released under the MIT License" for k in range(300)), parsed)
+    assert listed == [("MIT", 1.0, 6 * k + 1, 6 * k + 5) for k in range(300)]
+    r = random.Random(5)
+    for _ in range(60):  # whole notices, or with one word lacking that tells nothing, with few words or none between
+        words, want = [], []
+        name = r.choice(sorted(parsed))
+        for _ in range(r.randint(2, 8)):
+            copy, must = list(parsed[name]), telling(name, parsed[name])
+            words += [f"v{r.randrange(99)}" for _ in range(r.randrange(3))]
+            if len(copy) >= 15 and name != "Apache-2.0 notice" and r.random() < 0.5:  # whose beginning alone would fit better
+                del copy[r.choice([k for k, w in enumerate(copy[1:-1], 1) if w not in must])]
+            want.append((name, len(copy) / len(parsed[name]), len(words), len(words) + len(copy) - 1))
+            words += copy
+        assert sorted(scan_text(" ".join(words), parsed), key=lambda m: m[2]) == want
+
+
+@pytest.mark.parametrize("text,names", [
+    ("Licensed under CC BY 4.0", ["CC-BY-4.0"]), ("Licensed under CC BY 3.0", []), ("Licensed under CC BY-NC-ND 4.0", []), ("Licensed under CC BY-NC 4.0", ["CC-BY-NC-4.0"]),
+    ("Licensed under CC BY-ND 4.0", []), ("Released under the BSD License", []), ("Licensed under the Apache License, Version 1.0", []),
+    ("This work is licensed under the GNU Lesser General Public License, version 3", []), ("This work is licensed under the GNU General Public License, version 2", []),
+    (TEMPLATES["GPL notice"].replace("GNU General", "GNU Lesser General"), []), (TEMPLATES["GPL notice"].replace("version 3", "version 2"), ["GPL notice"])])
+def test_license_told_apart(text, names):
+    assert [m[0] for m in scan_text(f"a b {text} c d", {n: words_of(t) for n, t in TEMPLATES.items()})] == names
+
+
 def targets(sizes, share=1.5, most=2):
     """Shares by weight, the excess over a cap given out again until none is above."""
     names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + ([None] if None in sizes else [])
