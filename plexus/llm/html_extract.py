@@ -37,6 +37,7 @@ SCOPES = frozenset("ul ol dl table article section div body main aside nav selec
 NAMES = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored banner cookie cookies consent notice notices alert nav navbar "
                   "navigation menu breadcrumb breadcrumbs sidebar widget comment comments disqus share sharing social related promo newsletter "
                   "subscribe popup modal skip".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 OUTER_NAMES = frozenset("header footer masthead".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu".split())
 
@@ -48,6 +49,20 @@ class Node:
         self.tag, self.names, self.out, self.children = tag, names, out, []
 
 
+def _named(tag: str, classes: str, id_: str, inside: bool) -> bool:
+    """Do the names of an element say that it is not the article?
+
+    An id, and inside an article a class, counts if all of its words do: ids are often made from headings
+    ("social-history"), which for that reason never go by their id. Outside one word of a class is enough.
+    """
+    def all_of(name: str) -> bool:
+        words = _NAME.findall(name)
+        return bool(words) and NAMES.issuperset(words)
+
+    by_class = any(map(all_of, classes.split())) if inside else not NAMES.isdisjoint(_NAME.findall(classes))
+    return by_class or tag not in HEADINGS and all_of(id_)
+
+
 class _Builder(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -72,10 +87,11 @@ class _Builder(HTMLParser):
         a = {k: v or "" for k, v in attrs}
         names = f"{a.get('class', '')} {a.get('id', '')}".strip().lower()
         found = set(_NAME.findall(names))
-        out = bool(found & NAMES) or a.get("role", "").lower() in ROLES or "hidden" in a or a.get("aria-hidden", "").lower() == "true"
+        inside = any(n.tag in ("article", "main") for n in self.stack)
+        out = _named(tag, a.get("class", "").lower(), a.get("id", "").lower(), inside) or a.get("role", "").lower() in ROLES or "hidden" in a or a.get("aria-hidden", "").lower() == "true"
         node = Node(tag, names, out)
         if found & OUTER_NAMES or tag == "header":  # of the page, not of its article
-            node.out = out or not any(n.tag in ("article", "main") for n in self.stack)
+            node.out = out or not inside and (tag not in HEADINGS or bool(set(_NAME.findall(a.get("class", "").lower())) & OUTER_NAMES))
         self.stack[-1].children.append(node)
         if tag not in VOID:
             self.stack.append(node)

@@ -146,6 +146,15 @@ def test_blocks():
     assert blocks(parse("<p>a</div></p>b<article>c")) == ["c"]
 
 
+@pytest.mark.parametrize("mark", ["article", "main", "div"])
+def test_ids_made_from_headings(mark):
+    page = f"""<{mark}><h1 id="notice">A</h1><h2 id="social-history">B</h2><p>b</p><section id="related-work"><h2>C</h2><p>c</p></section><h2 id="share-of-imports">D</h2>
+        <p id="notice-to-readers">d</p><div class="section" id="comment-on-method"><p>e</p></div><div id="cookie-notice">x</div><div class="ad">x</div>
+        <div class="box share">x</div><section id="comments">x</section><p class="share-widget">x</p></{mark}>"""
+    assert blocks(parse(page)) == ["A", "B", "b", "C", "c", "D", "d", "e"]
+    assert blocks(parse("<div class='sidebar-left'>x</div><h2 id='footer-notes'>F</h2><p>f</p><div class='site-footer'>x</div>")) == ["F", "f"]
+
+
 def test_template_alignment():
     def page(k, extra=""):
         return skeleton([parse(f"<div>Subscribe now</div>{extra}<h1>Title {k}</h1><p>text {k}</p><p>more {k}</p>")])
