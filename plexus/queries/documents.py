@@ -187,10 +187,10 @@ def i13(spark, sf):
 
 @query("i13_segment_block_rows", f"WITH {_WALK} SELECT * FROM segments")
 def i13_rows(spark, sf):
-    """The same segments from one row per page; documents above 10,000 tokens go stretch by stretch."""
+    """The same segments from one row per page; documents of more than a hundred pages lie in several chunks."""
     from plexus.operators.block_rows import segment_block_rows
     rows = D.block_rows(_runs_of_words(spark, sf), "doc_id")
-    return segment_block_rows(rows, "doc_id", clean_only=False, stretch=10_000).select(
+    return segment_block_rows(rows, "doc_id", clean_only=False, chunk=100).select(
         "doc_id", "segment_number", "text", "n_tokens", "page_number")
 
 

@@ -39,6 +39,5 @@ def l02(spark, sf):
     events = table(spark, sf, "events")
     target, checkpoint = shared_dir(spark, "enriched"), shared_dir(spark, "checkpoint")
     for _ in range(2):
-        L.run_once(L.read_new_files(spark, sf, events.schema, glob="events.parquet"), _enrich, target, checkpoint,
-                   ["event_id"], ["ts"])
+        L.run_once(L.read_new_files(spark, sf, events.schema, glob="events.parquet"), _enrich, target, checkpoint, ["event_id"])
     return L.enriched(spark, target).drop("batch_id")

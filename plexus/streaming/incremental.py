@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-
-from plexus.operators.upsert import first_per_key
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 Enrich = Callable[[DataFrame], DataFrame]
 
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def read_new_files(spark: SparkSession, path: str, schema, format: str = "parquet",
                    max_files: int | None = None, glob: str | None = None) -> DataFrame:
@@ -24,40 +25,73 @@ def read_new_files(spark: SparkSession, path: str, schema, format: str = "parque
     return reader.load(path)
 
 
-def _write_batch(target: str, enrich: Enrich, key: Sequence[str], order: Sequence[str]):
-    """Enrich the rows of a batch whose key no earlier batch has written.
+class _FirstOfKey(StatefulProcessor):
+    """Lets the first row of a key pass, once; a key's state is that it has been seen."""
+
+    def __init__(self, order: Sequence[str]) -> None:
+        self.order = tuple(order)
+
+    def init(self, handle) -> None:
+        self.seen = handle.getValueState("seen", "seen boolean")
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        if not self.seen.exists():
+            self.seen.update((True,))
+            # NULL comes first, as in Spark; rows that tie are told apart by all that they hold
+            yield min(rows, key=lambda r: ([(r[c] is not None, r[c]) for c in self.order], repr(r)))
+
+    def close(self) -> None:
+        pass
 
-    Output goes to one folder per batch, replaced as a whole: a batch that is repeated after a
-    failure sees the same earlier batches and writes the same rows.
+
+def first_of_keys(rows: DataFrame, key: Sequence[str], order: Sequence[str] | None) -> DataFrame:
+    """The rows of a stream whose key comes for the first time, of one batch the smallest by ``order``.
+
+    What is known of a key is one flag in the state store, dealt over the shuffle partitions of the query's first
+    run; only keys of the batch at hand are looked up. No batch depends on what earlier ones have written.
+    Without ``order`` rows of a key are copies of each other and any of them will do, so the JVM's own deduplication serves.
     """
-    def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        fresh = first_per_key(batch, key, order)
-        if batch_id > 0 and _exists(spark, target):
-            done = spark.read.parquet(target).where(F.col("batch_id") < batch_id).select(*key)
-            fresh = fresh.join(done, list(key), "left_anti")
-        enrich(fresh).write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
-    return run
+    if not order:
+        return rows.dropDuplicates(list(key))
+    return rows.groupBy(*key).transformWithState(_FirstOfKey(order), rows.schema, "Append", "None")
+
+
+@contextmanager
+def _rocksdb(spark: SparkSession):
+    """State outside the JVM's heap, saved as changes, for queries started inside; a store set by the user stays."""
+    own = spark.conf.get(_STORE, None)
+    if not own or "HDFSBacked" in own:
+        spark.conf.set(_STORE, _ROCKSDB)
+    try:
+        yield
+    finally:
+        if own:
+            spark.conf.set(_STORE, own)
+        else:
+            spark.conf.unset(_STORE)
+
 
+def _start(source: DataFrame, enrich: Enrich, target: str, checkpoint: str, key: Sequence[str], order: Sequence[str] | None, **trigger) -> StreamingQuery:
+    """Output goes to one folder per batch, replaced as a whole; a batch that is repeated after a failure starts
+    from the state before it and writes the same rows."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        enrich(batch).write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+    with _rocksdb(source.sparkSession):
+        return (first_of_keys(source, key, order).writeStream.foreachBatch(write).outputMode("append")
+                .option("checkpointLocation", checkpoint).trigger(**trigger).start())
 
 
 def incremental_enrich(source: DataFrame, enrich: Enrich, target: str, checkpoint: str, key: Sequence[str],
-                       order: Sequence[str], interval: str = "30 seconds") -> StreamingQuery:
+                       order: Sequence[str] | None = None, interval: str = "30 seconds") -> StreamingQuery:
     """L01. Keep enriching new rows, at least once, with the output of each key written once."""
-    return (source.writeStream.foreachBatch(_write_batch(target, enrich, key, order))
-            .option("checkpointLocation", checkpoint).trigger(processingTime=interval).start())
+    return _start(source, enrich, target, checkpoint, key, order, processingTime=interval)
 
 
 def run_once(source: DataFrame, enrich: Enrich, target: str, checkpoint: str, key: Sequence[str],
-             order: Sequence[str]) -> None:
+             order: Sequence[str] | None = None) -> None:
     """L02. Enrich what is there now, then stop. A second call finds only what came since."""
-    query = (source.writeStream.foreachBatch(_write_batch(target, enrich, key, order))
-             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    query.awaitTermination()
+    _start(source, enrich, target, checkpoint, key, order, availableNow=True).awaitTermination()
 
 
 def enriched(spark: SparkSession, target: str) -> DataFrame:

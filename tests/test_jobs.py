@@ -156,13 +156,41 @@ def test_stream_handles_each_key_once(spark, tmp_path):
     assert run().count() == 15
 
 
-def test_repeated_batch_writes_the_same(spark, tmp_path):
-    target = str(tmp_path / "t")
-    write = L._write_batch(target, lambda d: d, ["id"], ["id"])
-    write(spark.range(5), 0)
-    write(spark.range(3, 8), 1)
-    write(spark.range(3, 8), 1)
-    assert sorted(r.id for r in L.enriched(spark, target).collect()) == list(range(8))
+@pytest.mark.parametrize("order", [["v"], None])
+def test_ten_batches(spark, tmp_path, order):
+    """Ten files, one a batch, each with keys of the batches before: these are known by the state alone."""
+    import os
+    import shutil
+    source, target, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    schema = "id bigint, v bigint, note string"
+    for b in range(10):
+        ids = spark.range(max(0, 5 * b - 7), 5 * b + 5)
+        rows = ids.selectExpr("id", f"CASE WHEN id % 4 = 0 THEN NULL ELSE {'1000 - id' if not order else '100 * ' + str(b) + ' + id'} END AS v", "concat('n', id) AS note")
+        twice = rows.unionAll(rows.selectExpr("id", "v + 1", "note")) if order else rows.unionAll(rows)
+        twice.coalesce(1).write.mode("append").parquet(source)
+        name = max((f for f in os.listdir(source) if f.endswith(".parquet")), key=lambda f: os.path.getmtime(f"{source}/{f}"))
+        os.utime(f"{source}/{name}", (1_700_000_000 + 10 * b,) * 2)  # files come in this order
+    asked = []
+
+    def enrich(batch):
+        asked.append(batch.inputFiles())
+        if len(asked) == 10:  # what nine batches have written is out of reach
+            for k in range(9):
+                shutil.rmtree(f"{target}/batch_id={k}")
+        return batch.withColumn("w", F.coalesce("v", F.lit(0)) + 1)
+
+    L.run_once(L.read_new_files(spark, source, schema, max_files=1), enrich, target, mark, ["id"], order)
+    assert len(asked) == 10 and not any(target in f for files in asked for f in files)
+    last = sorted((r.id, r.v, r.w, r.note) for r in L.enriched(spark, target).collect())
+    first_v = {i: None if i % 4 == 0 else 900 + i if order else 1000 - i for i in range(45, 50)}
+    assert last == [(i, v, (v or 0) + 1, f"n{i}") for i, v in first_v.items()]
+    # the commit of the last batch is lost: it runs again, from the state before it
+    os.unlink(f"{mark}/commits/9")
+    if os.path.exists(f"{mark}/commits/.9.crc"):
+        os.unlink(f"{mark}/commits/.9.crc")
+    L.run_once(L.read_new_files(spark, source, schema, max_files=1), lambda d: d.withColumn("w", F.coalesce("v", F.lit(0)) + 1), target, mark, ["id"], order)
+    assert sorted((r.id, r.v, r.w, r.note) for r in L.enriched(spark, target).collect()) == last
+    assert spark.conf.get(L._STORE) != L._ROCKSDB
 
 
 def test_shared_dir_is_the_clusters(spark):
