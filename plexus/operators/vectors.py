@@ -4,8 +4,8 @@ Exact search never forms (query, vector) pair rows. A task multiplies a block of
 block of vectors and keeps the best k per query, so what is shuffled is k rows per query and block.
 
 * A few queries (size checked): every task gets the query block; the vectors are scanned where they lie.
-* Many queries: both sides are cut into blocks of bounded size and each pair of blocks meets in one
-  group. Blocks are cut by count, so no bucket can outgrow a task.
+* Many queries: vectors lie in cells, and a query meets the cells that may hold one of its neighbours (``cells``).
+  Both sides of a cell are cut into blocks by count, so no cell can outgrow a task.
 """
 
 from __future__ import annotations
@@ -21,7 +21,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plexus.frames import no_rows
 from plexus.operators.constraints import constrain
 
 # Metrics; for the first two the largest value is the nearest.
@@ -29,7 +28,9 @@ COSINE, INNER_PRODUCT, EUCLIDEAN = "CS", "IP", "L2"
 
 SCAN_QUERY_BYTES = 32 << 20  # a query block that every task may hold
 SCAN_QUERIES = 4096          # and its rows
+HIT_BYTES = 64               # of a hit, about
 BLOCK_ROWS = 20_000          # rows of a block in the two-sided search
+SALTS = 16                   # parts of a query's hits that are ranked by themselves first
 CHUNK_SCORES = 4 << 20       # scores that a task holds at a time
 
 
@@ -129,8 +130,12 @@ def _hit_schema(queries: DataFrame, vectors: DataFrame, query_id: str, id_column
                          T.StructField("_distance", T.DoubleType())])
 
 
-def _final(partial: DataFrame, k: int, id_column: str, metric: str) -> DataFrame:
+def _final(partial: DataFrame, k: int, id_column: str, metric: str, salted: bool = False) -> DataFrame:
+    """The best k of what the blocks found. ``salted``: of parts of it first, where a query may meet very many blocks."""
     order = F.asc("_distance") if metric == EUCLIDEAN else F.desc("_distance")
+    if salted:
+        part = Window.partitionBy("query_id", F.pmod(F.xxhash64(id_column), F.lit(SALTS))).orderBy(order, F.asc(id_column))
+        partial = partial.withColumn("_place", F.row_number().over(part)).where(F.col("_place") <= k).drop("_place")
     w = Window.partitionBy("query_id").orderBy(order, F.asc(id_column))
     return partial.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
@@ -145,6 +150,15 @@ def find_similar(queries: DataFrame, vectors: DataFrame, k: int = 10, metric: st
     H02. With ``constraints``: ``knn_first`` true searches and then filters (may give fewer than k),
     false filters the vectors first. Ids are unique. Rows and queries without a vector find nothing.
     """
+    hits, _ = _search(queries, vectors, k, metric, query_id, query_vector, id_column, vector_column, constraints, knn_first, exclude_self,
+                      digits, max_scan_bytes, block_rows)
+    return hits
+
+
+def _search(queries: DataFrame, vectors: DataFrame, k: int, metric: str, query_id: str, query_vector: str, id_column: str, vector_column: str,
+            constraints: Mapping[str, Sequence[Any]] | None, knn_first: bool, exclude_self: bool, digits: int | None, max_scan_bytes: int,
+            block_rows: int) -> tuple[DataFrame, int | None]:
+    """The hits, and how many there are at most if that is known."""
     check_search(k, metric)
     vectors = vectors.where(F.col(vector_column).isNotNull())
     pool = vectors if constraints is None or knn_first else constrain(vectors, constraints)
@@ -153,15 +167,16 @@ def find_similar(queries: DataFrame, vectors: DataFrame, k: int = 10, metric: st
     if block is not None:
         partial = _scan(asked, block, pool, k, metric, id_column, vector_column, exclude_self, digits)
     else:
-        partial = _two_sided(asked, pool, k, metric, id_column, vector_column, exclude_self, digits, block_rows)
-    hits = _final(partial, k, id_column, metric)
+        partial = _many(asked, pool, k, metric, id_column, vector_column, exclude_self, digits, block_rows)
+    hits = _final(partial, k, id_column, metric, salted=block is None)
+    most = None if block is None else len(block[0]) * k
     if constraints is not None and knn_first:
         allowed = constrain(vectors, constraints).select(id_column)
-        if block is not None:  # k rows for each of a bounded number of queries go to the ids, which stay where they lie
+        if most is not None and most * HIT_BYTES <= SCAN_QUERY_BYTES:  # so few hits go to the ids, which stay where they lie
             hits = allowed.join(F.broadcast(hits), id_column)
         else:
             hits = hits.join(allowed, id_column, "left_semi")
-    return hits.select("query_id", id_column, "_distance", "rank")
+    return hits.select("query_id", id_column, "_distance", "rank"), most
 
 
 def _query_block(asked: DataFrame, max_bytes: int) -> tuple[np.ndarray, np.ndarray] | None:
@@ -180,8 +195,8 @@ def _query_block(asked: DataFrame, max_bytes: int) -> tuple[np.ndarray, np.ndarr
 
 
 def _scan(asked: DataFrame, block: tuple[np.ndarray, np.ndarray], pool: DataFrame, k: int, metric: str, id_column: str,
-          vector_column: str, exclude_self: bool, digits: int | None, planes: np.ndarray | None = None) -> DataFrame:
-    """Best k per query and task, the vectors read where they lie; with ``planes`` only inside equal buckets."""
+          vector_column: str, exclude_self: bool, digits: int | None) -> DataFrame:
+    """Best k per query and task, the vectors read where they lie."""
     schema = _hit_schema(asked, pool, "query_id", id_column)
     shared = pool.sparkSession.sparkContext.broadcast(block)  # bounded by SCAN_QUERIES and max_scan_bytes
 
@@ -190,7 +205,6 @@ def _scan(asked: DataFrame, block: tuple[np.ndarray, np.ndarray], pool: DataFram
         if not len(own):
             return
         best = _Best(matrix, k, metric, digits)
-        asked_codes = None if planes is None else _codes(matrix, planes)
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             data = _arrow_vectors(batch.column(1))
@@ -198,21 +212,7 @@ def _scan(asked: DataFrame, block: tuple[np.ndarray, np.ndarray], pool: DataFram
                 continue
             if data.shape[1] != matrix.shape[1]:
                 raise ValueError(f"query has {matrix.shape[1]} dimensions, the set {data.shape[1]}")
-            codes = None if planes is None else _codes(data, planes)
-            if codes is not None:
-                # vectors in no query's bucket are not scored at all
-                hit = np.any([np.isin(codes[:, t], asked_codes[:, t]) for t in range(codes.shape[1])], axis=0)
-                ids, data, codes = ids[hit], data[hit], codes[hit]
-
-            def skip(part: slice) -> np.ndarray:
-                out = np.zeros((len(own), len(ids[part])), dtype=bool)
-                if codes is not None:
-                    for t in range(codes.shape[1]):
-                        out |= asked_codes[:, t][:, None] == codes[part, t][None, :]
-                    out = ~out
-                return out | (own[:, None] == ids[part][None, :]) if exclude_self else out
-
-            best.add(data, ids, skip if exclude_self or codes is not None else None)
+            best.add(data, ids, (lambda part: own[:, None] == ids[part][None, :]) if exclude_self else None)
         index, ids, distance = best.rows()
         if len(index):
             yield pa.RecordBatch.from_pydict({"query_id": own[index].tolist(), id_column: ids.tolist(), "_distance": distance},
@@ -226,18 +226,19 @@ def to_arrow(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
-def _block_topk(k: int, metric: str, id_column: str, exclude_self: bool, digits: int | None):
-    def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        names = ["query_id", id_column, "_distance"]
-        if left.empty or right.empty:
-            return no_rows(names)
-        query_ids, ids = left["query_id"].to_numpy(), right["_vid"].to_numpy()
-        matrix = _matrix(left["query_vector"])
+def _block_topk(k: int, metric: str, id_column: str, exclude_self: bool, digits: int | None, schema: T.StructType):
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        target = to_arrow(schema)
+        if not len(left) or not len(right):
+            return target.empty_table()
+        query_ids, ids = (t.column(c).to_numpy() for t, c in ((left, "query_id"), (right, "_vid")))
+        matrix, data = _arrow_vectors(left.column("query_vector")), _arrow_vectors(right.column("_vec"))
+        if data.shape[1] != matrix.shape[1]:
+            raise ValueError(f"query has {matrix.shape[1]} dimensions, the set {data.shape[1]}")
         best = _Best(matrix, k, metric, digits)
-        own = (lambda part: query_ids[:, None] == ids[part][None, :]) if exclude_self else None
-        best.add(_matrix(right["_vec"], matrix.shape[1]), ids, own)
+        best.add(data, ids, (lambda part: query_ids[:, None] == ids[part][None, :]) if exclude_self else None)
         index, found, distance = best.rows()
-        return pd.DataFrame({"query_id": query_ids[index], id_column: found, "_distance": distance})
+        return pa.Table.from_pydict({"query_id": query_ids[index].tolist(), id_column: found.tolist(), "_distance": distance}, schema=target)
     return run
 
 
@@ -262,28 +263,27 @@ def _meet(left: DataFrame, right: DataFrame, bucket: Sequence[str], k: int, metr
 
 def _pair_blocks(a: DataFrame, b: DataFrame, keys: Sequence[str], k: int, metric: str, id_column: str, schema: T.StructType,
                  exclude_self: bool, digits: int | None) -> DataFrame:
-    return a.groupBy(*keys).cogroup(b.groupBy(*keys)).applyInPandas(
-        _block_topk(k, metric, id_column, exclude_self, digits), schema)
-
-
-def _two_sided(asked: DataFrame, pool: DataFrame, k: int, metric: str, id_column: str, vector_column: str,
-               exclude_self: bool, digits: int | None, block_rows: int) -> DataFrame:
-    """Each block of queries meets each block of vectors in one group."""
-    schema = _hit_schema(asked, pool, "query_id", id_column)
-    n_left, n_right = (max(1, math.ceil(df.count() / block_rows)) for df in (asked, pool))
+    return a.groupBy(*keys).cogroup(b.groupBy(*keys)).applyInArrow(_block_topk(k, metric, id_column, exclude_self, digits, schema), schema)
 
-    def cut(df: DataFrame, by: str, mine: str, n_mine: int, other: str, n_other: int) -> DataFrame:
-        return (df.withColumn(mine, F.pmod(F.xxhash64(by), F.lit(n_mine)).cast("int"))
-                .withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))))
 
-    left = cut(asked, "query_id", "_l", n_left, "_r", n_right)
-    right = cut(pool.select(F.col(id_column).alias("_vid"), F.col(vector_column).alias("_vec")), "_vid", "_r", n_right, "_l", n_left)
-    return _pair_blocks(left, right, ["_l", "_r"], k, metric, id_column, schema, exclude_self, digits)
+def _many(asked: DataFrame, pool: DataFrame, k: int, metric: str, id_column: str, vector_column: str, exclude_self: bool, digits: int | None,
+          block_rows: int) -> DataFrame:
+    """Best k per query and block, cell by cell; vectors of a single block are one cell that all queries meet."""
+    from plexus.operators.cells import CellSearch
+    n = pool.count()
+    if n > block_rows:
+        return CellSearch(asked, pool, n, k, metric, id_column, vector_column, exclude_self, digits, block_rows).partial()
+    right = pool.select(F.col(id_column).alias("_vid"), F.col(vector_column).alias("_vec"))
+    cell = F.lit(0).alias("_cell")
+    return _meet(asked.select("*", cell), right.select("*", cell), ["_cell"], k, metric, id_column, _hit_schema(asked, pool, "query_id", id_column),
+                 exclude_self, digits, block_rows)
 
 
 def find_similar_mmr(queries: DataFrame, vectors: DataFrame, k: int = 5, fetch_k: int | None = None,
                      weight: float = 0.5, *, query_id: str = "query_id", query_vector: str = "query_vector",
-                     id_column: str = "_uniqueid", vector_column: str = "_vector", **search: Any) -> DataFrame:
+                     id_column: str = "_uniqueid", vector_column: str = "_vector", constraints: Mapping[str, Sequence[Any]] | None = None,
+                     knn_first: bool = True, exclude_self: bool = False, digits: int | None = None, max_scan_bytes: int = SCAN_QUERY_BYTES,
+                     block_rows: int = BLOCK_ROWS) -> DataFrame:
     """H03. Maximal marginal relevance (Carbonell and Goldstein 1998) over the ``fetch_k`` nearest vectors.
 
     ``weight`` 1 is plain nearest neighbours. One group holds one query's ``fetch_k`` candidates.
@@ -291,9 +291,9 @@ def find_similar_mmr(queries: DataFrame, vectors: DataFrame, k: int = 5, fetch_k
     fetch = fetch_k if fetch_k is not None else 4 * k
     if fetch < k:
         raise ValueError("fetch_k must not be below k")
-    hits = find_similar(queries, vectors, fetch, COSINE, query_id=query_id, query_vector=query_vector,
-                        id_column=id_column, vector_column=vector_column, **search)
-    few = queries.limit(SCAN_QUERIES + 1).count() <= SCAN_QUERIES and fetch * SCAN_QUERIES * 64 <= SCAN_QUERY_BYTES
+    hits, most = _search(queries, vectors, fetch, COSINE, query_id, query_vector, id_column, vector_column, constraints, knn_first, exclude_self,
+                         digits, max_scan_bytes, block_rows)
+    few = most is not None and most * HIT_BYTES <= SCAN_QUERY_BYTES
     # a bounded number of hits goes to the vectors, which are not shuffled
     rows = vectors.select(id_column, F.col(vector_column).alias("_vec")).join(F.broadcast(hits) if few else hits, id_column)
     schema = T.StructType([hits.schema["query_id"], hits.schema[id_column], T.StructField("_distance", T.DoubleType()),
@@ -319,58 +319,6 @@ def find_similar_mmr(queries: DataFrame, vectors: DataFrame, k: int = 5, fetch_k
     return rows.groupBy("query_id").applyInPandas(select, schema)
 
 
-def hyperplanes(dimensions: int, tables: int, bits: int, seed: int = 42) -> np.ndarray:
-    """Random directions of the hash tables, the same for the same seed."""
-    return np.random.default_rng(seed).standard_normal((tables, bits, dimensions))
-
-
-def _codes(matrix: np.ndarray, planes: np.ndarray) -> np.ndarray:
-    """Bucket of each vector in each hash table."""
-    tables, bits, dimensions = planes.shape
-    side = (matrix @ planes.reshape(-1, dimensions).T > 0).reshape(len(matrix), tables, bits)
-    return (side * (1 << np.arange(bits))).sum(axis=2).astype(np.int32)
-
-
-def lsh_codes(vectors: DataFrame, vector_column: str, dimensions: int, tables: int = 8, bits: int = 8,
-              seed: int = 42) -> DataFrame:
-    """One row per vector and hash table, with ``_table`` and ``_code`` (side of each random hyperplane)."""
-    planes = hyperplanes(dimensions, tables, bits, seed)
-
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def codes(v: pd.Series) -> pd.Series:
-        return pd.Series(list(_codes(_matrix(v, dimensions), planes)))
-
-    return vectors.select("*", F.posexplode(codes(F.col(vector_column))).alias("_table", "_code"))
-
-
-def approx_similar(queries: DataFrame, vectors: DataFrame, k: int = 10, metric: str = COSINE, *, dimensions: int,
-                   tables: int = 8, bits: int = 6, seed: int = 42, query_id: str = "query_id",
-                   query_vector: str = "query_vector", id_column: str = "_uniqueid", vector_column: str = "_vector",
-                   exclude_self: bool = False, digits: int | None = None, max_scan_bytes: int = SCAN_QUERY_BYTES,
-                   block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """H04. Approximate search: vectors that share a hash bucket with the query, ranked exactly.
-
-    A few queries go to every task, which scores only the vectors in their buckets: nothing is
-    shuffled but the best k. With many queries buckets meet block by block, so a bucket that holds a
-    third of all vectors is many groups; no (query, vector) pairs are written. A vector found through
-    several tables counts once.
-    """
-    check_search(k, metric)
-    asked = queries.select(F.col(query_id).alias("query_id"), F.col(query_vector).alias("query_vector"))
-    block = _query_block(asked, max_scan_bytes)
-    if block is not None:
-        partial = _scan(asked, block, vectors, k, metric, id_column, vector_column, exclude_self, digits,
-                        hyperplanes(dimensions, tables, bits, seed))
-        return _final(partial, k, id_column, metric).select("query_id", id_column, "_distance", "rank")
-    schema = _hit_schema(asked, vectors, "query_id", id_column)
-    left = lsh_codes(asked, "query_vector", dimensions, tables, bits, seed)
-    right = lsh_codes(vectors.select(F.col(id_column).alias("_vid"), F.col(vector_column).alias("_vec")), "_vec",
-                      dimensions, tables, bits, seed)
-    partial = _meet(left, right, ["_table", "_code"], k, metric, id_column, schema, exclude_self, digits, block_rows)
-    once = partial.groupBy("query_id", id_column).agg(F.first("_distance").alias("_distance"))  # equal in all tables
-    return _final(once, k, id_column, metric).select("query_id", id_column, "_distance", "rank")
-
-
 def recall(found: DataFrame, exact: DataFrame, id_column: str = "_uniqueid") -> DataFrame:
     """Share of the exact neighbours that an approximate search found, over all queries."""
     hit = found.select("query_id", id_column, F.lit(1).alias("_hit"))

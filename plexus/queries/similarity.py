@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plexus.operators import hash_index as A
 from plexus.operators import vectors as V
 from plexus.queries.registry import query, table
-from plexus.session import spread
+from plexus.session import materialise, spread
 
 DIMENSIONS = 64
 
@@ -65,6 +66,18 @@ def h01_many(spark, sf):
                           max_scan_bytes=0)
 
 
+@query("h01_find_similar_cells", """
+  WITH s AS (SELECT a.vec_id AS query_id, b.vec_id, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS _distance
+    FROM embeddings a, embeddings b),
+  r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY _distance DESC, vec_id) AS rank FROM s)
+  SELECT query_id, vec_id, _distance, rank FROM r WHERE rank <= 5""")
+def h01_cells(spark, sf):
+    """Every vector as a query, each against the cells that may hold a neighbour."""
+    v = table(spark, sf, "embeddings")
+    queries = v.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    return V.find_similar(queries, v, k=5, id_column="vec_id", vector_column="embedding", digits=6, max_scan_bytes=0, block_rows=100)
+
+
 @query("h02_knn_first", _search_sql(_CS, "DESC", k=10, where="AND label IN (1, 2, 3)").replace(
     "SELECT query_id, vec_id, _distance, rank FROM r", "SELECT true AS knn_first, query_id, vec_id, _distance, rank FROM r")
     + " UNION ALL (" + _search_sql(_CS, "DESC", "(SELECT * FROM embeddings WHERE label IN (1, 2, 3)) e", 10).replace(
@@ -92,11 +105,25 @@ def h03(spark, sf):
     return V.find_similar_mmr(label_centres(v), v, k=5, id_column="vec_id", vector_column="embedding", digits=6)
 
 
-@query("h04_approx_similar")
+# the exact search finds k neighbours of each query; nine of ten of all of them are to be found, each with its true distance
+@query("h04_approx_similar", f"""
+  SELECT query_id, count(*) AS n_exact, 0 AS n_wrong, true AS recall_90 FROM ({_search_sql(_CS, "DESC", k=10)}) GROUP BY query_id""")
 def h04(spark, sf):
+    """A search in a written index against the exact one; some rows and one query have no vector."""
     v = table(spark, sf, "embeddings")
-    return V.approx_similar(label_centres(v), v, k=10, dimensions=DIMENSIONS, id_column="vec_id",
-                            vector_column="embedding", digits=6)
+    centres = label_centres(v)
+    queries = centres.unionByName(spark.createDataFrame([(-1, None)], "query_id int, query_vector array<double>"))
+    empty = v.select((F.col("vec_id") + 1_000_000_000).alias("vec_id"), F.lit(None).cast("array<float>").alias("embedding"), "label")
+    index = A.write_index(v.unionByName(empty), dimensions=DIMENSIONS, tables=8, bits=4, id_column="vec_id", vector_column="embedding")
+    found = materialise(A.approx_similar(queries, index, k=10, id_column="vec_id", digits=6, probes=5), "found")  # read three times
+    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda a, b: a.cast("double") * b), F.lit(0.0), lambda s, p: s + p)
+    cosine = dot("embedding", "query_vector") / (V.length("embedding") * V.length("query_vector"))
+    wrong = found.join(v, "vec_id").join(queries, "query_id").where(F.abs(F.col("_distance") - cosine) > 2e-6).select("query_id", "vec_id", F.lit(1).alias("wrong"))
+    exact = materialise(_search(spark, sf, k=10), "exact")
+    hits = exact.join(wrong, ["query_id", "vec_id"], "left")
+    per_query = hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_exact"), F.count("wrong").cast("int").alias("n_wrong"))
+    of_all = V.recall(found, exact, "vec_id").first()["recall"]
+    return per_query.select("query_id", "n_exact", "n_wrong", F.lit(of_all >= 0.9).alias("recall_90"))
 
 
 @query("h05_vector_pack", """

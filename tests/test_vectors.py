@@ -2,7 +2,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from plexus.operators import hash_index as A
 from plexus.operators import vectors as V
+from plexus.operators.cells import CellSearch
 from plexus.operators.models import colour_histogram, hashed_words, register_model
 
 D = 16
@@ -106,19 +108,80 @@ def test_mmr(data):
         assert got[qi] == chosen
 
 
-def test_both_ways_of_approximate_search_agree(data):
-    v, q, *_ = data
-    kw = dict(dimensions=D, tables=6, bits=4, digits=6)
-    scan = found(V.approx_similar(q, v, 5, **kw))
-    assert scan == found(V.approx_similar(q, v, 5, max_scan_bytes=0, block_rows=40, **kw))
+def clustered(spark, n=3000, clusters=40, d=16, seed=3):
+    r = np.random.default_rng(seed)
+    centres = 4 * r.normal(size=(clusters, d))
+    x = (centres[r.integers(0, clusters, n)] + 0.5 * r.normal(size=(n, d))).astype(np.float32)
+    x[10:14] = 0
+    x[20:40] = x[50]
+    rows = [(i, [float(a) for a in v]) for i, v in enumerate(x)]
+    return x.astype(float), spark.createDataFrame(rows, "_uniqueid long, _vector array<float>").repartition(5)
+
+
+@pytest.mark.parametrize("metric,digits", [("CS", 6), ("IP", None), ("L2", 3), ("L2", None)])
+def test_cells_lose_nothing_and_spare_work(spark, metric, digits):
+    """Every 7th vector as a query: as brute force finds it, in a small part of the cells."""
+    x, v = clustered(spark)
+    q = v.where("_uniqueid % 7 = 0").select(F.col("_uniqueid").alias("query_id"), F.col("_vector").alias("query_vector"))
+    asked = q.unionByName(spark.createDataFrame([(9999, None)], q.schema))
+    search = CellSearch(q, v, 3000, 5, metric, "_uniqueid", "_vector", True, digits, 60)
+    visits, cells = search.visits(), len(search.cells.number)
+    assert cells > 40 and visits.count() == visits.distinct().count()
+    share = visits.count() / (q.count() * cells)
+    assert share < (0.9 if metric == "IP" else 0.25), share  # inner products have no triangle inequality, lengths count
+    got = found(V.find_similar(asked, v, 5, metric, exclude_self=True, digits=digits, max_scan_bytes=0, block_rows=60))
+    for qi in range(0, 3000, 7):
+        cost = V._scores(x[qi:qi + 1], x, metric, digits)[0] * (1 if metric == "L2" else -1)
+        cost[qi] = np.inf
+        order = np.lexsort((np.arange(3000), cost))[:5]
+        if digits is None:  # equal vectors come in any order where products are summed in another one
+            assert np.allclose(np.sort(cost[got[qi]]), cost[order], rtol=1e-9, atol=1e-6)
+        else:
+            assert got[qi] == order.tolist(), qi
+    assert 9999 not in got
+
+
+def test_cells_when_k_is_large(spark):
+    x, v = clustered(spark, n=300, clusters=5)
+    q = v.where("_uniqueid < 3").select(F.col("_uniqueid").alias("query_id"), F.col("_vector").alias("query_vector"))
+    assert V.find_similar(q, v, 1000, digits=6, max_scan_bytes=0, block_rows=50).count() == 900
+    few = V.find_similar(q, v, 4, "L2", digits=6, max_scan_bytes=0, block_rows=50, constraints=None)
+    assert few.groupBy("query_id").count().where("count <> 4").count() == 0
 
 
-@pytest.mark.parametrize("way", [{}, {"max_scan_bytes": 0, "block_rows": 40}])
-def test_approximate_search_with_a_hot_bucket(data, way):
+def test_hits_are_sent_only_if_they_are_few(data, monkeypatch):
+    v, q, *_ = data
+    plain = found(V.find_similar(q, v, 9, digits=6, constraints={"label": ["==", 1]}))
+    monkeypatch.setattr(V, "SCAN_QUERY_BYTES", 8 * D * 100)
+    wide = V.find_similar(q, v, 9, digits=6, constraints={"label": ["==", 1]}, max_scan_bytes=1 << 20)
+    assert found(wide) == plain
+    assert V._search(q, v, 9, "CS", "query_id", "query_vector", "_uniqueid", "_vector", None, True, False, 6, 1 << 20, 100)[1] == 9 * q.count()
+
+
+def test_approximate_search_scores_its_buckets_only(spark):
+    x, v = clustered(spark)
+    v = v.unionByName(spark.createDataFrame([(7000 + i, None) for i in range(5)], v.schema))
+    q = v.where("_uniqueid % 50 = 0").select(F.col("_uniqueid").alias("query_id"), F.col("_vector").alias("query_vector"))
+    q = q.unionByName(spark.createDataFrame([(8000, None)], q.schema))
+    index = A.write_index(v, dimensions=16, tables=4, bits=7)
+    assert index.rows(spark).count() == 4 * 3000
+    exact = V.find_similar(q, v, 5, digits=6)
+    near = A.approx_similar(q, index, 5, digits=6, probes=8)
+    own = A.approx_similar(q, index, 5, digits=6, probes=1)
+    scored = A._probe_rows(q.where("query_vector IS NOT NULL"), index, 8).join(index.rows(spark), ["_table", "_code"])
+    assert scored.select("query_id", "_vid").distinct().count() < 0.35 * 60 * 3000
+    assert V.recall(near, exact).first().recall > 0.95 >= V.recall(own, exact).first().recall - 0.05
+    assert near.where("query_id = 8000 OR _uniqueid >= 7000").count() == 0
+    # a table instead of an index is indexed first
+    assert found(A.approx_similar(q, v, 5, dimensions=16, tables=4, bits=7, digits=6, probes=8)) == found(near)
+
+
+@pytest.mark.parametrize("block_rows", [20_000, 40])
+def test_approximate_search_with_a_hot_bucket(data, block_rows):
     v, q, vectors, queries = data
     exact = V.find_similar(q, v, 5, digits=6)
     # one bit: half of all vectors per bucket, cut into blocks of 40
-    near = V.approx_similar(q, v, 5, dimensions=D, tables=12, bits=1, digits=6, **way)
+    near = A.approx_similar(q, v, 5, dimensions=D, tables=12, bits=1, digits=6, probes=1, block_rows=block_rows)
     assert V.recall(near, exact).first().recall > 0.95
     assert near.groupBy("query_id", "_uniqueid").count().where("count > 1").count() == 0
     # and what is found is ranked exactly
@@ -126,6 +189,16 @@ def test_approximate_search_with_a_hot_bucket(data, way):
     assert all(abs(truth[(r.query_id, r["_uniqueid"])] - r["_distance"]) < 1e-9 for r in near.collect())
 
 
+def test_probes():
+    planes = A.hyperplanes(8, 3, 4)
+    margin = A.margins(np.random.default_rng(0).normal(size=(20, 8)), planes)
+    probes = A.probe_codes(margin, 6)
+    assert probes.shape == (20, 3, 6) and (probes[:, :, 0] == A.codes(margin)).all()
+    assert all(len(set(p)) == 6 for row in probes for p in row)
+    nearest = np.abs(margin).argmin(axis=2)
+    assert (probes[:, :, 1] == A.codes(margin) ^ (1 << nearest)).all()
+
+
 def test_pack(data):
     v, *_ = data
     back = v.withColumn("p", V.pack_vector("_vector")).withColumn("u", V.unpack_vector("p"))
@@ -195,4 +268,5 @@ def test_text_ids_and_fewer_vectors_than_asked(data, way):
     assert a.where("query_id = _uniqueid").count() == 0
     few = named.where("_uniqueid < 'v0003'")
     assert V.find_similar(asked, few, 7, digits=6, **way).groupBy("query_id").count().where("count <> 3").count() == 0
-    assert V.approx_similar(asked, few, 7, dimensions=D, bits=2, digits=6, **way).groupBy("query_id").count().where("count > 3").count() == 0
+    near = {"block_rows": 40} if way else {}
+    assert A.approx_similar(asked, few, 7, dimensions=D, bits=2, digits=6, **near).groupBy("query_id").count().where("count > 3").count() == 0
