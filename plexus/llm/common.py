@@ -23,6 +23,14 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(*frames: DataFrame) -> None:
+    """Give back the disk of saved tables that nothing reads any more: what was made of them is written."""
+    for df in frames:
+        nothing = df.sparkSession.createDataFrame([], df.schema)
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            nothing.write.mode("overwrite").parquet(path)
+
+
 def utf8(text: str = "text") -> Column:
     """The bytes of a text; null counts as empty."""
     return F.coalesce(F.col(text), F.lit("")).cast("binary")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plexus.llm.common import save
+from plexus.llm.common import release, save
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -39,8 +39,9 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
 
     seen = mark(now)
     while seen[0]:
-        now = save(_small_star(_large_star(now)).distinct(), "links")
+        old, now = now, save(_small_star(_large_star(now)).distinct(), "links")
         before, seen = seen, mark(now)
+        release(old)
         if before == seen:
             break
     roots = now.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))

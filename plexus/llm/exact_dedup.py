@@ -62,6 +62,6 @@ def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", keep:
 def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: str = "min", **options) -> DataFrame:
     """Op 2. The rows of ``docs`` that stay. Only rows that go are joined; rows that repeat an id and text stay together."""
     gone = (exact_dedup(docs, key, text, keep, **options).where(~F.col("kept"))
-            .select(F.col(key).alias("_gone"), F.col("digest").alias("_digest")).distinct())
-    digest = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
-    return docs.join(gone, F.col(key).eqNullSafe(F.col("_gone")) & (digest == F.col("_digest")), "left_anti")
+            .select(F.col(key).alias("key"), "digest").distinct())
+    digest = F.sha2(F.coalesce(F.col(f"d.`{text}`"), F.lit("")), 256)
+    return docs.alias("d").join(gone.alias("g"), F.col(f"d.`{key}`").eqNullSafe(F.col("g.key")) & (digest == F.col("g.digest")), "left_anti")

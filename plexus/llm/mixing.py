@@ -8,7 +8,7 @@ from math import isqrt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plexus.llm.common import WORD, n_words, save
+from plexus.llm.common import n_words, save
 from plexus.operators.skew import row_number_by_block
 
 WEIGHTS = (5, 2, 1)
@@ -150,21 +150,17 @@ def taken_words(docs: DataFrame, key: str = "doc_id", text: str = "text", source
             .select(key, source, "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken")))
 
 
-def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", n_chars: str = "n_chars", **options) -> DataFrame:
-    """Op 10. The columns of ``docs``, a row for each time that a document is taken.
+def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
+    """Op 10. The columns of ``docs``, a row for each time that a document is taken, in no certain order.
 
-    A document taken in part gives its first words, joined by a blank, with ``n_chars`` to match. One
-    without words or not taken gives no row. Rows that repeat id, source and size are taken alike.
+    Texts stay whole: where a source's quota ends inside a document, it is taken once more if the mix takes half of its words or more
+    there, else not. So a source misses its quota by half a document at most. One without words or not taken gives no row. Rows
+    that repeat id, source and size are taken alike.
     """
-    taken = (taken_words(docs, key, text, source, **options).groupBy(key, source, "size").agg(F.max("taken").alias("_taken"))
-             .select(F.col(key).alias("_k"), F.col(source).alias("_s"), F.col("size").alias("_n"), "_taken").where("_taken > 0"))
-    rows = (docs.withColumn("_size", n_words(text))
-            .join(taken, F.col(key).eqNullSafe(F.col("_k")) & F.col(source).eqNullSafe(F.col("_s")) & (F.col("_size") == F.col("_n"))))
-    rest = F.col("_taken") % F.col("_size")
-    first = F.array_join(F.slice(F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0)), F.lit(1), rest.cast("int")), " ")
-    whole = F.array_repeat(F.col(text), F.floor(F.col("_taken") / F.col("_size")).cast("int"))
-    cut = F.when(rest > 0, F.array(first)).otherwise(F.array().cast("array<string>"))
-    out = rows.withColumn("_whole", F.col(text)).withColumn(text, F.explode(F.concat(whole, cut)))
-    if n_chars in docs.columns:
-        out = out.withColumn(n_chars, F.when(F.col(text) == F.col("_whole"), F.col(n_chars)).otherwise(F.length(text).cast(docs.schema[n_chars].dataType)))
-    return out.select(*docs.columns)
+    taken = (taken_words(docs, key, text, source, **options).groupBy(key, source, "size").agg(F.max("taken").alias("taken"))
+             .select(F.col(key).alias("k"), F.col(source).alias("s"), F.col("size").alias("n"), F.floor(F.try_divide("taken", "size") + 0.5).cast("int").alias("times"))
+             .where("times > 0"))
+    d, t = docs.alias("d"), taken.alias("t")
+    same = (F.col(f"d.`{key}`").eqNullSafe(F.col("t.k")) & F.col(f"d.`{source}`").eqNullSafe(F.col("t.s")) & (n_words(f"d.`{text}`") == F.col("t.n")))
+    spare = "_" + "_".join(docs.columns)  # no column of docs
+    return d.join(t, same).select(*[F.col(f"d.`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("t.times"))).alias(spare)).drop(spare)

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -94,12 +95,11 @@ def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def unit_values(unit: Unit, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit value of each unit, and the byte at which it starts."""
-    values = _TABLE[data]
+    """A 64-bit value of each unit, and the byte at which it starts. A word's value is its XXH64, a byte's comes from a table."""
     if not unit.words:
-        return values, np.arange(len(data), dtype=np.int64)
-    starts, ends = word_bounds(data)
-    return Hasher(values, 2).of(starts, ends), starts
+        return _TABLE[data], np.arange(len(data), dtype=np.int64)
+    words = data.tobytes().split()
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), U8, len(words)), word_bounds(data)[0]
 
 
 def _pieces(unit: Unit, texts: list[bytes]) -> Iterator[list[tuple[int, int, bytes]]]:
@@ -193,6 +193,11 @@ SPAN = {"doc": "<i8", "tag": "<u4", "start": "<u4", "end": "<u4"}
 ASK = {"h": "<u8", "doc": "<i8", "tag": "<u4", "pos": "<u4", "n": "u1", "o": "u1", "hot": "u1"}
 
 
+def wide(kind: dict[str, str], unit: Unit) -> dict[str, str]:
+    """The columns with room for the windows of a stretch, fewer than a window has units."""
+    return kind if unit.window < 256 else {c: "<u4" if c in ("n", "o") else t for c, t in kind.items()}
+
+
 def pack(columns: dict[str, np.ndarray], kind: dict[str, str], rows: np.ndarray | slice = slice(None)) -> bytes:
     """Columns one after the other, each byte by byte, so that bytes that hardly change lie together."""
     out = []
@@ -279,7 +284,7 @@ def _find(unit: Unit, buckets: int, doc_buckets: int):
         settled = joined_spans(_spans(unit, c, np.flatnonzero(later & ~again)))
         go = _take(c, np.flatnonzero(~later & ~again))
         go = _take(go, np.lexsort((go["pos"], go["doc"])))  # columns in order are compressed well
-        rows = [(b, 0, blob) for b, blob in _packed_by((go["h"] >> U8(20)) % U8(buckets), go, STRETCH)]
+        rows = [(b, 0, blob) for b, blob in _packed_by((go["h"] >> U8(20)) % U8(buckets), go, wide(STRETCH, unit))]
         rows += [(b, 1, blob) for b, blob in _packed_by(doc_bucket(settled["doc"], doc_buckets), settled, SPAN)]
         return _rows(rows)
 
@@ -312,7 +317,7 @@ def _meet(unit: Unit, doc_buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in by_bucket(batches):
             out: list[tuple[int, int, bytes]] = []
-            c = unpack([blob for _, blob in rows], STRETCH)
+            c = unpack([blob for _, blob in rows], wide(STRETCH, unit))
             c = _take(c, np.argsort(c["h"], kind="stable"))
             edge = np.r_[True, c["h"][1:] != c["h"][:-1], True] if len(c["h"]) else np.ones(1, bool)
             c = _take(c, np.flatnonzero(~(edge[:-1] & edge[1:])))
@@ -329,7 +334,7 @@ def _meet(unit: Unit, doc_buckets: int):
                 settled = joined_spans(_spans(unit, c, np.flatnonzero(later)))
                 asked = _take({**c, "hot": (kinds > HOT_SEED).astype(np.uint8)}, np.flatnonzero(~later & (kinds > 1)))
                 out += [(b, 1, blob) for b, blob in _packed_by(doc_bucket(settled["doc"], doc_buckets), settled, SPAN)]
-                out += [(b, 2, blob) for b, blob in _packed_by(doc_bucket(asked["doc"], doc_buckets), asked, ASK)]
+                out += [(b, 2, blob) for b, blob in _packed_by(doc_bucket(asked["doc"], doc_buckets), asked, wide(ASK, unit))]
             if out:
                 yield _rows(out)
     return run
@@ -393,7 +398,7 @@ def _fetch(unit: Unit, buckets: int):
     """Cogroup: the units of the stretches asked for, by bucket of the seed (kind 3)."""
     def run(docs: pa.Table, asked: pa.Table) -> pa.Table:
         rows: list[tuple[int, int, bytes]] = []
-        c = unpack(asked.column("blob").to_pylist(), ASK)
+        c = unpack(asked.column("blob").to_pylist(), wide(ASK, unit))
         if len(c["doc"]):
             c = _take(c, np.lexsort((c["tag"], c["doc"])))
             seen = set()
@@ -456,7 +461,7 @@ def _packed_records(unit: Unit, buckets: int, values: np.ndarray, c: dict[str, n
         rows = np.flatnonzero(bucket == b)
         count = n[rows] - 1 + unit.window
         body = values[ranges(pos[rows], count)]
-        head = pack({"h": h, "doc": doc, "tag": tag, "pos": pos, "n": n}, RECORD, rows)
+        head = pack({"h": h, "doc": doc, "tag": tag, "pos": pos, "n": n}, wide(RECORD, unit), rows)
         yield int(b), 3, len(rows).to_bytes(4, "little") + head + body.tobytes()
 
 
@@ -465,13 +470,14 @@ RECORD = {"h": "<u8", "doc": "<i8", "tag": "<u4", "pos": "<u4", "n": "u1"}
 
 def unpack_records(unit: Unit, blobs: list[bytes]) -> tuple[dict[str, np.ndarray], np.ndarray]:
     """Stretches, and all their units one after the other."""
-    width = sum(np.dtype(t).itemsize for t in RECORD.values())
+    kind = wide(RECORD, unit)
+    width = sum(np.dtype(t).itemsize for t in kind.values())
     heads, bodies = [], []
     for blob in blobs:
         n = int.from_bytes(blob[:4], "little")
         heads.append(blob[4:4 + n * width])
         bodies.append(np.frombuffer(blob, "<u8" if unit.words else np.uint8, offset=4 + n * width))
-    return unpack(heads, RECORD), np.concatenate(bodies) if bodies else np.zeros(0, np.uint8)
+    return unpack(heads, kind), np.concatenate(bodies) if bodies else np.zeros(0, np.uint8)
 
 
 def _compare(unit: Unit, doc_buckets: int, covered: Callable):

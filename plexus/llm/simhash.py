@@ -172,5 +172,5 @@ def simhash_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", shin
 
 def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """Op 3. The rows of ``docs`` but those whose group has a smaller id. A null id stays."""
-    gone = simhash_dedup(docs, key, text, **options).where(F.col(key) != F.col("component_id")).select(F.col(key).alias("_gone")).distinct()
-    return docs.join(gone, F.col(key) == F.col("_gone"), "left_anti")
+    gone = simhash_dedup(docs, key, text, **options).where(F.col(key) != F.col("component_id")).select(F.col(key).alias("key")).distinct()
+    return docs.alias("d").join(gone.alias("g"), F.col(f"d.`{key}`") == F.col("g.key"), "left_anti")

@@ -1,4 +1,4 @@
-"""Repeated word windows: relative Lempel-Ziv factors of documents against indexed reference blocks."""
+"""Repeated word windows: windows of documents looked up in the blocks around shared seeds."""
 
 from __future__ import annotations
 
@@ -12,12 +12,9 @@ from plexus.llm.seeds import Hasher, Unit, repeated_spans
 def factors(unit: Unit):
     """For each window of a bucket's stretches: does a factor from an earlier document cover it whole?
 
-    The stretches of a bucket are the reference blocks, the neighbourhoods of shared seeds. The index
-    has each of their windows with the smallest document that holds it. A document is parsed greedily
-    from left to right: a factor begins at a window that the index has from a smaller document and
-    grows word by word as long as the next window is in it too; behind its end, every window
-    that lies across the boundary is looked up in turn. A greedy parse that looks at every boundary meets
-    every window once, so all windows of a bucket are looked up together.
+    The stretches of a bucket are the reference blocks, the neighbourhoods of shared seeds. A greedy parse into
+    factors that looks at every boundary between them meets each window once; so there is no parse here: all windows of a
+    bucket are sorted by two hashes, and those that a smaller document has too are covered.
     """
     def run(c: dict[str, np.ndarray], offset: np.ndarray, body: np.ndarray) -> np.ndarray:
         n = c["n"].astype(np.int64)

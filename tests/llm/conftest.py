@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-CLASHING = ("key", "id", "row", "size", "start", "bucket", "kind", "digest", "node", "u", "v", "score", "no", "tag", "fp", "k", "t", "html2")
+CLASHING = ("key", "id", "row", "size", "start", "bucket", "kind", "digest", "node", "u", "v", "score", "no", "tag", "fp", "k", "t", "html2", "gone", "mark", "times", "_gone", "_mark", "_k", "_size")
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(f"`{c}` string" for c in CLASHING)
 
 

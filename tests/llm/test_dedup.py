@@ -220,6 +220,34 @@ def test_substring(monkeypatch, edge, edge_texts, window, slice_bytes, hot):
     assert got == Counter((i, *want[(i, t or "")]) for i, t in edge_texts)
 
 
+def test_words_whose_sums_agree_are_told_apart(spark):
+    """Two words that a sum of powers modulo 2**64 cannot tell apart, whatever its base (Thue-Morse)."""
+    a, b = ("".join(letters[k.bit_count() & 1] for k in range(1024)) for letters in ("ab", "ba"))
+    head = prose(12, 90)
+    texts = [(1, f"{head} {a}"), (2, f"{head} {b}"), (3, f"{head} {a}")]
+    got = {r.doc_id: sum(r.ends) - sum(r.starts) for r in substring_dedup(spark.createDataFrame(texts, "doc_id bigint, text string")).collect()}
+    assert got == {1: 0, 2: 0, 3: 13}
+
+
+@pytest.mark.parametrize("window", [400, 1000])
+def test_windows_of_many_units(spark, window):
+    """Stretches of more windows than a byte counts."""
+    r = random.Random(window)
+    letters = lambda n: "".join(r.choice("abcdefgh") for _ in range(n))
+    shared = letters(window + 300)
+    texts = [(1, letters(200) + shared + letters(90)), (2, letters(50) + shared + letters(10)), (3, shared[100:])]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    got = {r.doc_id: (r.n_bytes, sum(r.ends) - sum(r.starts), len(r.starts), bytes(r.kept)) for r in suffix_dedup(docs, window).collect()}
+    want = brute_bytes(texts, window)
+    assert got == {i: want[(i, t)] for i, t in texts} and got[2][1] == window + 300
+    shared = prose(window + 300, 5)
+    texts = [(1, prose(50, 6) + " " + shared), (2, shared + " " + prose(70, 7)), (3, " ".join(shared.split()[9:]))]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    got = {r.doc_id: (r.n_words, sum(r.ends) - sum(r.starts), bytes(r.kept)) for r in substring_dedup(docs, window).collect()}
+    want = brute_words(texts, window)
+    assert got == {i: want[(i, t)] for i, t in texts} and got[2][1] == window + 300
+
+
 @pytest.mark.parametrize("run", [suffix_dedup, substring_dedup, exact_dedup, simhash_dedup])
 def test_empty_tables(empty, run):
     assert run(empty).count() == 0
