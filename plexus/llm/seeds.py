@@ -193,7 +193,7 @@ SPAN = {"doc": "<i8", "tag": "<u4", "start": "<u4", "end": "<u4"}
 ASK = {"h": "<u8", "doc": "<i8", "tag": "<u4", "pos": "<u4", "n": "u1", "o": "u1", "hot": "u1"}
 
 
-def wide(kind: dict[str, str], unit: Unit) -> dict[str, str]:
+def sized(kind: dict[str, str], unit: Unit) -> dict[str, str]:
     """The columns with room for the windows of a stretch, fewer than a window has units."""
     return kind if unit.window < 256 else {c: "<u4" if c in ("n", "o") else t for c, t in kind.items()}
 
@@ -284,7 +284,7 @@ def _find(unit: Unit, buckets: int, doc_buckets: int):
         settled = joined_spans(_spans(unit, c, np.flatnonzero(later & ~again)))
         go = _take(c, np.flatnonzero(~later & ~again))
         go = _take(go, np.lexsort((go["pos"], go["doc"])))  # columns in order are compressed well
-        rows = [(b, 0, blob) for b, blob in _packed_by((go["h"] >> U8(20)) % U8(buckets), go, wide(STRETCH, unit))]
+        rows = [(b, 0, blob) for b, blob in _packed_by((go["h"] >> U8(20)) % U8(buckets), go, sized(STRETCH, unit))]
         rows += [(b, 1, blob) for b, blob in _packed_by(doc_bucket(settled["doc"], doc_buckets), settled, SPAN)]
         return _rows(rows)
 
@@ -317,7 +317,7 @@ def _meet(unit: Unit, doc_buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in by_bucket(batches):
             out: list[tuple[int, int, bytes]] = []
-            c = unpack([blob for _, blob in rows], wide(STRETCH, unit))
+            c = unpack([blob for _, blob in rows], sized(STRETCH, unit))
             c = _take(c, np.argsort(c["h"], kind="stable"))
             edge = np.r_[True, c["h"][1:] != c["h"][:-1], True] if len(c["h"]) else np.ones(1, bool)
             c = _take(c, np.flatnonzero(~(edge[:-1] & edge[1:])))
@@ -334,7 +334,7 @@ def _meet(unit: Unit, doc_buckets: int):
                 settled = joined_spans(_spans(unit, c, np.flatnonzero(later)))
                 asked = _take({**c, "hot": (kinds > HOT_SEED).astype(np.uint8)}, np.flatnonzero(~later & (kinds > 1)))
                 out += [(b, 1, blob) for b, blob in _packed_by(doc_bucket(settled["doc"], doc_buckets), settled, SPAN)]
-                out += [(b, 2, blob) for b, blob in _packed_by(doc_bucket(asked["doc"], doc_buckets), asked, wide(ASK, unit))]
+                out += [(b, 2, blob) for b, blob in _packed_by(doc_bucket(asked["doc"], doc_buckets), asked, sized(ASK, unit))]
             if out:
                 yield _rows(out)
     return run
@@ -398,7 +398,7 @@ def _fetch(unit: Unit, buckets: int):
     """Cogroup: the units of the stretches asked for, by bucket of the seed (kind 3)."""
     def run(docs: pa.Table, asked: pa.Table) -> pa.Table:
         rows: list[tuple[int, int, bytes]] = []
-        c = unpack(asked.column("blob").to_pylist(), wide(ASK, unit))
+        c = unpack(asked.column("blob").to_pylist(), sized(ASK, unit))
         if len(c["doc"]):
             c = _take(c, np.lexsort((c["tag"], c["doc"])))
             seen = set()
@@ -461,7 +461,7 @@ def _packed_records(unit: Unit, buckets: int, values: np.ndarray, c: dict[str, n
         rows = np.flatnonzero(bucket == b)
         count = n[rows] - 1 + unit.window
         body = values[ranges(pos[rows], count)]
-        head = pack({"h": h, "doc": doc, "tag": tag, "pos": pos, "n": n}, wide(RECORD, unit), rows)
+        head = pack({"h": h, "doc": doc, "tag": tag, "pos": pos, "n": n}, sized(RECORD, unit), rows)
         yield int(b), 3, len(rows).to_bytes(4, "little") + head + body.tobytes()
 
 
@@ -470,7 +470,7 @@ RECORD = {"h": "<u8", "doc": "<i8", "tag": "<u4", "pos": "<u4", "n": "u1"}
 
 def unpack_records(unit: Unit, blobs: list[bytes]) -> tuple[dict[str, np.ndarray], np.ndarray]:
     """Stretches, and all their units one after the other."""
-    kind = wide(RECORD, unit)
+    kind = sized(RECORD, unit)
     width = sum(np.dtype(t).itemsize for t in kind.values())
     heads, bodies = [], []
     for blob in blobs:
