@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from plexus.plans import provenance as K
 from plexus.queries.registry import query, table
+from plexus.session import shared_dir
+from plexus.sources import parts as P
 
 # users as runs of specs, events as objects of the runs
 _SPEC = "user_id % 7"
@@ -86,6 +88,27 @@ def k04(spark, sf):
     return _counts(K.delete_specs(work, work.specs.where("spec_id = '2'").select("spec_id"), owned=["Blob"]))
 
 
+def _stored(spark, sf):
+    """The workflow in tables that change in place."""
+    work = _workflow(spark, sf)
+    folder = shared_dir(spark, "workflow")
+    write = lambda name, df, key: P.PartTable.write(df, f"{folder}/{name}", key, parts=16)
+    objects = {name: write(name, df, "_uniqueid") for name, df in work.objects.items()}
+    return P.StoredWorkflow(write("specs", work.specs, "spec_id"), write("runs", work.runs, "run_id"), objects, write("edges", work.edges, "_src"))
+
+
+def _stored_counts(stored):
+    return _counts(K.Workflow(stored.specs.rows(), stored.runs.rows(), {name: t.rows() for name, t in stored.objects.items()}, stored.edges.rows()))
+
+
+@query("k04_delete_in_place", _counts_sql(f"{_SPEC} <> 2"))
+def k04_in_place(spark, sf):
+    """The same delete on stored tables: only parts that hold rows of the spec are written anew."""
+    stored = _stored(spark, sf)
+    stored.delete_specs(stored.specs.rows().where("spec_id = '2'").select("spec_id"), owned=["Blob"])
+    return _stored_counts(stored)
+
+
 @query("k05_delete_shared_set", """
   SELECT 'set_' || label AS name, count(*) FILTER (NOT (label < 4 OR vec_id % 2 = 0)) AS n_left FROM embeddings WHERE label >= 4 GROUP BY label""")
 def k05(spark, sf):

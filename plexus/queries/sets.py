@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from plexus.operators import upsert as U
 from plexus.queries.registry import query, table
+from plexus.session import shared_dir
+from plexus.sources.parts import PartTable
 
 
 @query("f01_union_classes", """
@@ -67,3 +69,15 @@ def f06(spark, sf):
 def f07(spark, sf):
     return U.clean_by_predicate(table(spark, sf, "events"), {"event_type": ["==", "error"], "value": [">=", 10]}).select(
         "event_id", "event_type")
+
+
+@query("f06_update_in_place", """
+  SELECT c_custkey, CASE WHEN c_acctbal < 0 AND c_mktsegment = 'BUILDING' THEN 'DEBT' ELSE c_mktsegment END AS c_mktsegment,
+    CASE WHEN c_acctbal < 0 AND c_mktsegment = 'BUILDING' THEN NULL ELSE c_nationkey END AS c_nationkey FROM customer
+  WHERE NOT (c_acctbal > 9000 AND c_mktsegment = 'MACHINERY')""")
+def f06_in_place(spark, sf):
+    """An update and a delete of a stored table, each rewriting the parts it hits."""
+    stored = PartTable.write(table(spark, sf, "customer"), shared_dir(spark, "customer"), "c_custkey", parts=32)
+    stored.update({"c_acctbal": ["<", 0], "c_mktsegment": ["==", "BUILDING"]}, {"c_mktsegment": "DEBT"}, ["c_nationkey"])
+    stored.delete({"c_acctbal": [">", 9000], "c_mktsegment": ["==", "MACHINERY"]})
+    return stored.rows().select("c_custkey", "c_mktsegment", "c_nationkey")

@@ -55,6 +55,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(*frames: DataFrame) -> None:
+    """Empty materialised tables that nothing reads any more: all that was made of them is written."""
+    for df in frames:
+        nothing = df.sparkSession.createDataFrame([], df.schema)
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            nothing.write.mode("overwrite").parquet(path)
+
+
 def spread(scan: DataFrame, key: str) -> DataFrame:
     """Spread a small scan over all cores before heavy work per row.
 
