@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 from plexus.functions.scalars import area_share, aspect_ratio, box_clamp, capitalize, iso_date, polygon_pairs, url_tail_id
 from plexus.operators.models import Model, embed_texts
 from plexus.operators.upsert import first_per_key
-from plexus.session import materialise
 from plexus.sources.objects import AnnotationTables, fetch_one, fetch_urls
 from plexus.types import DST, ID, SRC
 
@@ -33,8 +32,11 @@ MOVIE = ("title", "budget", "overview", "popularity", "tagline", "vote_average",
 
 @dataclass
 class GraphTables:
+    """Tables by class. ``all_nodes`` and ``all_edges`` hold the classes with a common shape, told apart by ``label`` and ``class``."""
     nodes: dict[str, DataFrame] = field(default_factory=dict)
     edges: dict[str, DataFrame] = field(default_factory=dict)
+    all_nodes: DataFrame | None = None
+    all_edges: DataFrame | None = None
 
 
 def _list_items(records: DataFrame) -> DataFrame:
@@ -60,8 +62,9 @@ def nested_to_graph(records: DataFrame, dataset: str = "movies") -> GraphTables:
     """J01. One nested record to a Movie node, six kinds of nodes around it, and their edges.
 
     Lists are JSON text. A node that many records mention is kept once, from the first record
-    (by movie id and place); the group is reduced on the map side, so a shared genre stays cheap.
-    The lists are parsed once, into one table that all nodes and edges are read from.
+    (by movie id and place); mentions are reduced on the map side, so a shared genre stays cheap.
+    All lists are parsed in one pass over the records, and the nodes of all classes come from one aggregate:
+    ``all_nodes`` and ``all_edges`` need a scan each. Tables of one class are parts of these; to read several, store them first.
     """
     out = GraphTables()
     movie_key = F.col("movie_id").cast("string")
@@ -69,20 +72,38 @@ def nested_to_graph(records: DataFrame, dataset: str = "movies") -> GraphTables:
     out.nodes["Movie"] = movies.select(
         movie_key.alias("id"), "movie_id", *MOVIE, capitalize("title").alias("uniqueid"), F.lit("Movie").alias("label"),
         F.lit(dataset).alias("dataset_name"))
-    items = materialise(_list_items(records), "list-items")
-    mentions: dict[str, list[int]] = {}
-    for order, (node_class, edge_class, _, _, properties) in enumerate(LISTS.values()):
-        mentions.setdefault(node_class, []).append(order)
-        out.edges[edge_class] = items.where(F.col("list") == order).select(
-            F.col("movie_id").cast("string").alias(SRC), F.col("id").alias(DST), F.lit(edge_class).alias("class"), *properties)
-    for node_class, lists in mentions.items():
-        # cast comes before crew inside a record
-        once = first_per_key(items.where(F.col("list").isin(lists)).select("id", "name", "gender", "list", "movie_id", "at"),
-                             ["id"], ["movie_id", "list", "at", "name"])
-        columns = ["id", "name", *(["gender"] if node_class == "Professional" else [])]
-        out.nodes[node_class] = once.select(
-            *columns, capitalize("name").alias("uniqueid"), F.lit(node_class).alias("label"), F.lit(dataset).alias("dataset_name"))
-    return out
+    items = _list_items(records)
+    of_list = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), F.col("list") + 1)
+    # cast comes before crew inside a record
+    first = F.min(F.struct("movie_id", "list", "at", "name", "gender")).alias("first")
+    once = items.groupBy(of_list([c for c, *_ in LISTS.values()]).alias("label"), "id").agg(first)
+    out.all_nodes = once.select("id", F.col("first.name").alias("name"), F.col("first.gender").alias("gender"),
+                                capitalize("first.name").alias("uniqueid"), "label", F.lit(dataset).alias("dataset_name"))
+    properties = list(dict.fromkeys(n for *_, names in LISTS.values() for n in names))
+    out.all_edges = items.select(F.col("movie_id").cast("string").alias(SRC), F.col("id").alias(DST),
+                                 of_list([c for _, c, *_ in LISTS.values()]).alias("class"), *properties)
+    return _by_class(out)
+
+
+def _by_class(graph: GraphTables) -> GraphTables:
+    """The table of each class, with the columns that it has."""
+    for node_class, edge_class, _, _, properties in LISTS.values():
+        graph.edges[edge_class] = graph.all_edges.where(F.col("class") == edge_class).select(SRC, DST, "class", *properties)
+        columns = ["id", "name", *(["gender"] if node_class == "Professional" else []), "uniqueid", "label", "dataset_name"]
+        graph.nodes[node_class] = graph.all_nodes.where(F.col("label") == node_class).select(*columns)
+    return graph
+
+
+def store_graph(graph: GraphTables, path: str) -> GraphTables:
+    """Write all list nodes and all edges, one pass and one write each, in a folder per class; tables of a class read their own."""
+    spark = graph.all_nodes.sparkSession
+
+    def stored(df: DataFrame, name: str, column: str) -> DataFrame:
+        df.write.mode("overwrite").partitionBy(column).parquet(f"{path}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{path}/{name}").select(*df.columns)
+
+    out = GraphTables({"Movie": graph.nodes["Movie"]}, {}, stored(graph.all_nodes, "nodes", "label"), stored(graph.all_edges, "edges", "class"))
+    return _by_class(out)
 
 
 def poster_and_tagline(movies: DataFrame, load_text: Callable[[], Model] | None = None,

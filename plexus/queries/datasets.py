@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from plexus.plans import datasets as J
 from plexus.queries.registry import query, table
+from plexus.session import shared_dir
 from plexus.sources.objects import ANNOTATION_SCHEMA, annotation_tables
 
 # parts as nested movie records
@@ -59,11 +60,7 @@ def _first(lst, label):
     UNION ALL SELECT movie_id, 1, 0, e.id::VARCHAR, e.name FROM (SELECT movie_id, unnest(crew) AS e FROM {_RECORDS_SQL}))) WHERE i = 1""")
 def j01_nodes(spark, sf):
     g = J.nested_to_graph(records(spark, sf))
-    out = g.nodes["Movie"].select("label", "id", F.col("title").alias("name"))
-    for name, df in g.nodes.items():
-        if name != "Movie":
-            out = out.unionByName(df.select("label", "id", "name"))
-    return out
+    return g.nodes["Movie"].select("label", "id", F.col("title").alias("name")).unionByName(g.all_nodes.select("label", "id", "name"))
 
 
 @query("j01_nested_to_graph_edges", " UNION ALL ".join(
@@ -71,7 +68,8 @@ def j01_nodes(spark, sf):
     for lst, c, d in [('"cast"', "HasCast", "e.x || '|' || e.y"), ("crew", "HasCrew", "e.x || '|Mixer|' || e.y"), ("genres", "HasGenre", "''"),
                       ("companies", "HasProductionCompany", "''"), ("keywords", "HasKeyword", "''"), ("languages", "HasSpokenLanguage", "''")]))
 def j01_edges(spark, sf):
-    g = J.nested_to_graph(records(spark, sf))
+    """All edges by class, from a stored graph."""
+    g = J.store_graph(J.nested_to_graph(records(spark, sf)), shared_dir(spark, "movies"))
     out = None
     for df in g.edges.values():
         extra = [c for c in df.columns if c not in ("_src", "_dst", "class")]
@@ -131,7 +129,6 @@ _A = "(SELECT *, l_orderkey * 10 + l_linenumber AS ann, CASE WHEN p_size > 10 TH
   SELECT 'image' AS kind, count(DISTINCT p_partkey) AS n_rows FROM {_A} UNION ALL SELECT 'annotation', count(*) FROM {_A}
   UNION ALL SELECT 'category', count(DISTINCT l_linenumber % 3) FROM {_A}""")
 def a17(spark, sf):
-    from plexus.session import shared_dir
     from plexus.sources.objects import annotations_json
     path = shared_dir(spark, "annotations")
     annotation_documents(spark, sf).select("value").write.text(path)  # one document per line
