@@ -10,8 +10,24 @@ from plexus.types import ID
 
 
 def page(df: DataFrame, batch_id: int = 0, batch_size: int = 100, key: str = ID) -> DataFrame:
-    """E01. One page in id order, for callers that show results; never a way to scan a table."""
-    return df.orderBy(key).offset(batch_id * batch_size).limit(batch_size)
+    """E01. One page in id order. Pages beyond the first count the ids of each range of them, and then sort the range
+    that the page lies in, so no task gathers the rows before it. Ids are not null."""
+    first = batch_id * batch_size
+    if not first:
+        return df.orderBy(key).limit(batch_size)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = df.select(F.col(key).alias("k")).repartitionByRange(parts, "k").groupBy(F.spark_partition_id().alias("r"))
+    counted = ranges.agg(F.count(F.lit(1)).alias("n"), F.min("k").alias("low"), F.max("k").alias("high")).orderBy("low").collect()  # a row per range
+    before, hit, skipped = 0, [], 0
+    for r in counted:
+        if before + r["n"] > first and before < first + batch_size:
+            skipped = skipped if hit else before
+            hit.append(r)
+        before += r["n"]
+    if not hit:
+        return df.limit(0)
+    inside = df.where(F.col(key).between(F.lit(hit[0]["low"]), F.lit(hit[-1]["high"])))
+    return inside.orderBy(key).offset(first - skipped).limit(batch_size)
 
 
 def page_after(df: DataFrame, after: str | None, batch_size: int = 100, key: str = ID) -> DataFrame:

@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import time
 import urllib.request
+from collections import defaultdict, deque
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from threading import Semaphore
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plexus.functions.scalars import bucket_creator_key, mime_from_path
+from plexus.operators.vectors import to_arrow
 
 # Media types that the object scan keeps, by object type.
 OBJECT_TYPES = {
@@ -103,25 +109,60 @@ def fetch_one(url: str) -> bytes:
         return response.read()
 
 
-def fetch_urls(df: DataFrame, key: str, url: str, retries: int = 3,
-               fetch: Callable[[str], bytes] = fetch_one) -> DataFrame:
-    """A15. Bytes behind a url column, with retries: ``key, content, error``; a failure is a row, not an abort."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            # one fetched object at a time leaves the task: memory stays at one Arrow batch
-            for k, u in zip(pdf[key], pdf[url]):
-                content, error = None, "no url"
-                for _ in range(retries if u else 0):
-                    try:
-                        content, error = fetch(u), None
-                        break
-                    except Exception as e:  # noqa: BLE001 - any failure becomes the error column
-                        error = f"{type(e).__name__}: {e}"
-                yield pd.DataFrame({key: [k], "content": [content], "error": [error]})
-
-    schema = T.StructType([df.schema[key], T.StructField("content", T.BinaryType()),
-                           T.StructField("error", T.StringType())])
-    return df.select(key, url).mapInPandas(run, schema)
+def _tried(fetch: Callable[[str], bytes], url: str | None, retries: int, pause: float, gate: Semaphore) -> tuple[bytes | None, str | None]:
+    """Content or error of one url; a try that failed is followed by a pause, each twice as long as the one before."""
+    error = "no url"
+    for n in range(retries if url else 0):
+        if n:
+            time.sleep(pause * 2 ** (n - 1))
+        try:
+            with gate:
+                return fetch(url), None
+        except Exception as e:  # noqa: BLE001 - any failure becomes the error column
+            error = f"{type(e).__name__}: {e}"
+    return None, error
+
+
+def fetch_urls(df: DataFrame, key: str, url: str, retries: int = 3, fetch: Callable[[str], bytes] = fetch_one, *, at_once: int = 16,
+               per_host: int = 2, pause: float = 0.5, batch_bytes: int = 32 << 20) -> DataFrame:
+    """A15. Bytes behind a url column, with retries: ``key, content, error``; a failure is a row, not an abort.
+
+    The rows of a host are one task's, so ``per_host`` holds for the whole cluster; a task fetches ``at_once`` urls at a time and
+    hands them on in the order of its rows, in batches of about ``batch_bytes``. At most twice ``at_once`` objects and a batch
+    are in memory.
+    """
+    schema = T.StructType([df.schema[key], T.StructField("content", T.BinaryType()), T.StructField("error", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gates: dict[str, Semaphore] = defaultdict(lambda: Semaphore(per_host))
+        target = to_arrow(schema)
+        done: list[tuple] = []
+        size = 0
+        with ThreadPoolExecutor(at_once) as pool:
+            waiting: deque = deque()
+
+            def rows() -> Iterator[tuple]:
+                for batch in batches:
+                    for k, u, host in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                        waiting.append((k, pool.submit(_tried, fetch, u, retries, pause, gates[host])))
+                        if len(waiting) >= 2 * at_once:
+                            yield waiting.popleft()
+                while waiting:
+                    yield waiting.popleft()
+
+            for k, future in rows():
+                done.append((k, *future.result()))
+                size += len(done[-1][1] or b"")
+                if size >= batch_bytes or len(done) >= 1024:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*done, strict=True), target, strict=True)], schema=target)
+                    done, size = [], 0
+        if done:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*done, strict=True), target, strict=True)], schema=target)
+
+    host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1))
+    asked = df.select(key, url, F.coalesce(F.nullif(host, F.lit("")), F.col(url), F.lit("")).alias("_host"))  # without a host: each for itself
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return asked.repartition(parts, "_host").mapInArrow(run, schema)
 
 
 def whitespace_table(spark: SparkSession, paths: Sequence[str], columns: Sequence[str],

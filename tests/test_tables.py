@@ -137,6 +137,55 @@ def test_fetch_retries(spark):
     assert O.fetch_urls(df, "k", "url", retries=3, fetch=flaky).first().content == bytearray(b"ok")
 
 
+def test_fetches_overlap_and_keep_their_order(spark):
+    """A slow host, one that fails twice and one that always fails: several at a time, not too many of one host, rows in order."""
+    import json
+
+    def slow(url, state={"now": {}, "most": {}, "seen": {}, "all": 0, "peak": 0}):
+        import threading
+        import time
+        lock = state.setdefault("lock", threading.Lock())
+        host = url.split("@")[1].split(":")[0]
+        with lock:
+            state["now"][host] = state["now"].get(host, 0) + 1
+            state["all"] += 1
+            state["peak"] = max(state["peak"], state["all"])
+            state["most"][host] = max(state["most"].get(host, 0), state["now"][host])
+            state["seen"][url] = state["seen"].get(url, 0) + 1
+        time.sleep(0.02)
+        with lock:
+            state["now"][host] -= 1
+            state["all"] -= 1
+            if host == "bad" or host == "late" and state["seen"][url] < 3:
+                raise OSError(f"try {state['seen'][url]}")
+            return json.dumps([state["most"][host], state["peak"]]).encode()
+
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        hosts = ["a", "b", "c", "late", "bad"]
+        urls = spark.createDataFrame([(k, f"http://u:p@{hosts[k % 5]}:80/{k}") for k in range(100)] + [(100, None)], "k int, url string").coalesce(1)
+        rows = O.fetch_urls(urls, "k", "url", retries=3, fetch=slow, per_host=2, pause=0.001, batch_bytes=100).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert [r.k for r in rows] == list(range(101))
+    assert [(r.k, r.error) for r in rows if (r.content is None) != (r.k % 5 == 4 or r.k == 100)] == []
+    assert {r.error for r in rows if r.k % 5 == 4} == {"OSError: try 3"} and rows[100].error == "no url"
+    seen = [json.loads(bytes(r.content)) for r in rows if r.content]
+    assert max(m for m, _ in seen) == 2 and max(p for _, p in seen) >= 6
+
+
+def test_deep_pages_sort_one_range(spark):
+    from plexus.operators.ordering import page
+    df = spark.range(50_000).selectExpr("concat('k', lpad(id, 6, '0')) AS _uniqueid", "id AS v").repartition(6, "v")
+    for at in (0, 1, 37, 499, 500):
+        assert [r.v for r in page(df, at, 100).collect()] == list(range(100 * at, min(100 * at + 100, 50_000)))
+    deep = page(df, 400, 100)
+    node = deep._jdf.queryExecution().optimizedPlan().toString()
+    skipped = int(node.split("Offset ")[1].split()[0])
+    assert skipped < 25_000  # of 40,000 rows before the page
+    assert page(df.where("false"), 3).count() == 0
+
+
 def test_annotation_files(spark, tmp_path):
     doc = {"images": [{"id": 1, "file_name": "a.jpg", "height": 10, "width": 20, "license": 1, "coco_url": "c", "flickr_url": "http://f/9_x.jpg",
                        "date_captured": "2013-11-14 17:02:52"}],
