@@ -6,7 +6,9 @@ No weights are bundled. The two stand-ins are deterministic and named for what t
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -19,6 +21,7 @@ from plexus.functions.scalars import box_floor, box_rescale
 from plexus.operators.constraints import confidence_filter
 from plexus.operators.segments import derived_edges
 from plexus.operators.vectors import to_arrow
+from plexus.session import materialise
 from plexus.types import DST, ID, SRC
 
 Model = Callable[[list], list]
@@ -161,6 +164,64 @@ def detections_to_boxes(detections: DataFrame, image_id: str, classes: DataFrame
     return placed.withColumns({"model": F.lit(source), ID: F.sha1(F.concat_ws("/", F.lit(source), F.col(image_id), F.col("box_index")))})
 
 
+@dataclass
+class FaceTables:
+    boxes: DataFrame
+    vectors: DataFrame
+    edges: DataFrame
+    done: DataFrame
+
+
+def face_vectors(images: DataFrame, image_id: str, load: Callable[[], Model], source: str, *, image: str = "image", threshold: float = 0.7,
+                 batch_size: int = 100) -> FaceTables:
+    """H12. Boxes of the faces kept, a vector of each face's pixels, edges image to box and box to vector, and the images done.
+
+    ``images`` has the picture, ``scores`` and corner ``boxes``. A picture is cut where it lies: the crops of all pictures of a
+    batch go to the model together, ``batch_size`` at a time, and what comes back is folded into one row per picture again, so no
+    picture is copied per face. A box that lies outside its picture has no pixels and no vector. Images without a face are done too.
+    """
+    kept = F.filter(F.transform(F.arrays_zip("scores", "boxes"), lambda d, i: F.struct(i.alias("box_index"), d["scores"].alias("score"), d["boxes"].alias("box"))),
+                    lambda d: d["score"] >= threshold)
+    found = images.select(image_id, image, F.coalesce(kept, F.array()).alias("kept"))
+    vector = T.ArrayType(T.FloatType())
+    schema = T.StructType([images.schema[image_id], T.StructField("kept", found.schema["kept"].dataType), T.StructField("vectors", T.ArrayType(vector))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from plexus.operators.images import pixels
+        model, target = load(), to_arrow(schema)
+        for batch in batches:
+            crops, owners = [], []
+            lists = batch.column(2).to_pylist()
+            out: list[list] = [[None] * len(own) for own in lists]
+            for k, (picture, own) in enumerate(zip(batch.column(1), lists, strict=True)):
+                whole = pixels(picture.as_py()) if own and picture.is_valid else None
+                for j, face in enumerate(own if whole is not None else []):
+                    x0, y0, x1, y1 = (max(0, math.floor(v)) for v in face["box"])
+                    part = whole[y0:y1, x0:x1]
+                    if part.size:
+                        crops.append(part)
+                        owners.append((k, j))
+            for at in range(0, len(crops), batch_size):
+                for (k, j), v in zip(owners[at:at + batch_size], model(crops[at:at + batch_size]), strict=True):
+                    out[k][j] = [float(x) for x in v]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(out, target.field("vectors").type)], schema=target)
+
+    # read by four tables; the model runs once
+    faces = materialise(found.mapInArrow(run, schema), "faces")
+    key = F.sha1(F.concat_ws("/", F.lit(source), F.col(image_id), F.col("d.kept.box_index")))
+    rows = faces.select(image_id, F.explode(F.arrays_zip("kept", "vectors")).alias("d")).select(
+        image_id, F.col("d.kept.box_index").alias("box_index"), F.col("d.kept.score").alias("score"), F.col("d.kept.box").alias("box"), F.col("d.vectors").alias("_vector"), key.alias(ID))
+    corner = [F.get("box", F.lit(i)) for i in range(4)]
+    boxes = rows.select(image_id, "box_index", F.lit("face").alias("label"), box_floor(corner[0]).alias("x"), box_floor(corner[1]).alias("y"),
+                        (corner[2] - corner[0]).cast("int").alias("width"), (corner[3] - corner[1]).cast("int").alias("height"), "score", F.lit(source).alias("model"), ID)
+    vectors = rows.where("_vector IS NOT NULL").select(F.sha1(F.concat_ws("/", F.lit("vector"), F.col(ID))).alias("_new"), F.col(ID).alias("box_id"), "_vector").select(
+        F.col("_new").alias(ID), "box_id", "_vector", F.lit(source).alias("set"))
+    edges = (derived_edges(boxes, image_id, "imageHasBox")
+             .unionByName(derived_edges(vectors, "box_id", "boxHasVector")))
+    done = faces.select(image_id, F.size("kept").alias("n_faces"), F.lit(True).alias(f"{source}_done"))
+    return FaceTables(boxes, vectors, edges, done)
+
+
 def needs_ocr(documents: DataFrame, pages: DataFrame, key: str, text: str = "text") -> DataFrame:
     """H14. Documents without any page text."""
     texted = pages.where(F.length(F.trim(F.coalesce(text, F.lit("")))) > 0).select(key).distinct()

@@ -241,6 +241,35 @@ def h12(spark, sf):
         "score", F.round("score", 6))
 
 
+# a picture per part: the 32 hex digits of its name's MD5 as 4 rows of 8 grey pixels
+_FACES = """(SELECT image, i AS box_index, x, y, least(x + 3, 8) - x AS w, least(y + 2, 4) - y AS h, s, m FROM (
+    SELECT p_partkey AS image, md5(p_name) AS m, unnest([0, 1]) AS i, unnest([p_size % 8, (p_size + 3) % 9]) AS x, unnest([p_size % 4, 1]) AS y,
+      unnest([p_retailprice::DOUBLE / 2500, p_size / 50.0::DOUBLE]) AS s FROM part) WHERE s >= 0.6)"""
+
+
+@query("h12_face_vectors", f"""
+  SELECT image, box_index, x, y, CASE WHEN w * h > 0 THEN round(list_sum(list_transform(range(w * h), lambda p: ascii(m[1 + (y + p // w) * 8 + x + p % w]))) / (w * h)::DOUBLE, 4) END AS mean,
+    CASE WHEN w * h > 0 THEN w * h END AS n_pixels, (SELECT count(*) FROM part) AS n_done FROM {_FACES}""")
+def h12_faces(spark, sf):
+    """Faces cut from pictures: the vector is the mean of the pixels and their number."""
+    from plexus.operators.models import face_vectors
+    size = F.col("p_size")
+    box = lambda x, y: F.array(*[c.cast("double") for c in (x, y, x + 3, y + 2)])
+    picture = F.struct(F.lit(4).alias("height"), F.lit(8).alias("width"), F.lit(1).alias("nChannels"), F.lit(0).alias("mode"), F.md5("p_name").cast("binary").alias("data"))
+    images = table(spark, sf, "part").select(
+        F.col("p_partkey").alias("image_id"), picture.alias("image"), F.array(F.col("p_retailprice").cast("double") / 2500, size / F.lit(50.0)).alias("scores"),
+        F.array(box(size % 8, size % 4), box((size + 3) % 9, F.lit(1))).alias("boxes"))
+
+    def load():
+        return lambda crops: [(c.mean(), c.size) for c in crops]
+
+    faces = face_vectors(images, "image_id", load, "faces", threshold=0.6)
+    vectors = faces.boxes.join(faces.edges.where("class = 'boxHasVector'").select(F.col("_src").alias("_uniqueid"), F.col("_dst").alias("v")), "_uniqueid", "left").join(
+        faces.vectors.select(F.col("_uniqueid").alias("v"), "_vector"), "v", "left")
+    return vectors.select(F.col("image_id").alias("image"), "box_index", "x", "y", F.round(F.get("_vector", F.lit(0)).cast("double"), 4).alias("mean"),
+                          F.get("_vector", F.lit(1)).cast("int").alias("n_pixels"), F.lit(faces.done.count()).alias("n_done"))
+
+
 @query("h13_video_frames_to_vectors", """
   WITH v AS (SELECT doc_id AS video, ceil(len(text) / 256.0)::BIGINT AS n_frames, text FROM documents),
   c AS (SELECT video, n_frames, unnest(range(0, n_frames, 3)) AS s, text FROM v)

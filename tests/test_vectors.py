@@ -270,3 +270,28 @@ def test_text_ids_and_fewer_vectors_than_asked(data, way):
     assert V.find_similar(asked, few, 7, digits=6, **way).groupBy("query_id").count().where("count <> 3").count() == 0
     near = {"block_rows": 40} if way else {}
     assert A.approx_similar(asked, few, 7, dimensions=D, bits=2, digits=6, **near).groupBy("query_id").count().where("count > 3").count() == 0
+
+
+def test_face_vectors(spark):
+    from plexus.operators.models import face_vectors
+    picture = (3, 4, 1, 0, bytearray(range(12)))
+    rows = [("a", picture, [0.9, 0.2, 0.8], [[1.0, 0.0, 3.0, 2.0], [0.0, 0.0, 1.0, 1.0], [-1.5, 1.2, 2.0, 9.0]]),
+            ("b", picture, [0.95], [[7.0, 7.0, 9.0, 9.0]]), ("c", picture, [], []), ("d", None, [0.9], [[0.0, 0.0, 1.0, 1.0]]), ("e", picture, None, None)]
+    df = spark.createDataFrame(rows, "id string, image struct<height: int, width: int, nChannels: int, mode: int, data: binary>, scores array<double>, boxes array<array<double>>")
+    calls = spark.sparkContext.accumulator(0)
+
+    def load():
+        def run(crops):
+            calls.add(1)
+            return [(c.sum(), c.shape[0], c.shape[1]) for c in crops]
+        return run
+
+    faces = face_vectors(df.coalesce(1), "id", load, "faces", threshold=0.7, batch_size=2)
+    boxes = {(r.id, r.box_index): r["_uniqueid"] for r in faces.boxes.collect()}
+    assert set(boxes) == {("a", 0), ("a", 2), ("b", 0), ("d", 0)}
+    vectors = {r.box_id: (r["_uniqueid"], r["_vector"]) for r in faces.vectors.collect()}
+    assert {k: vectors[v][1] for k, v in boxes.items() if v in vectors} == {("a", 0): [1 + 2 + 5 + 6, 2, 2], ("a", 2): [4 + 5 + 8 + 9, 2, 2]}
+    edges = {(r["_src"], r["_dst"], r["class"]) for r in faces.edges.collect()}
+    assert edges == {(i, v, "imageHasBox") for (i, _), v in boxes.items()} | {(b, v, "boxHasVector") for b, (v, _) in vectors.items()}
+    assert {r.id: (r.n_faces, r.faces_done) for r in faces.done.collect()} == {"a": (2, True), "b": (1, True), "c": (0, True), "d": (1, True), "e": (0, True)}
+    assert calls.value == 1  # two crops of one batch, once
