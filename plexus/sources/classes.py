@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plexus.types import DST, ID, PROPERTY_TYPES, SRC, property_type
 
@@ -97,23 +99,38 @@ def descriptor_table(vectors: DataFrame, set_name: str | None = None) -> DataFra
                             "_find_similar": F.lit(None).cast("string")})
 
 
+FETCH_ROWS = 10_000          # rows that a driver fetches in one trip
+PARTITION_ROWS = 1_000_000   # rows that a range of a table is planned for
+
+
 def jdbc_table(spark: SparkSession, table: str, columns: Sequence[str], *, url: str | None = None,
                path: str | None = None, partition_column: str | None = None,
-               bounds: tuple[int, int] | None = None, partitions: int = 64,
+               bounds: tuple[int, int] | None = None, partitions: int | None = None,
                properties: Mapping[str, str] | None = None) -> DataFrame:
     """A12. Selected columns of a SQL table; a missing column is an error.
 
-    With ``url`` the table is read over JDBC in ``partitions`` ranges of ``partition_column``;
-    with ``path`` the same call reads an exported parquet copy.
+    With ``url`` the table is read over JDBC in ranges of ``partition_column``, by default the first selected column of a whole
+    number. The database is asked for its least and largest value and the number of rows, unless ``bounds`` and
+    ``partitions`` are given; a range is planned for ``PARTITION_ROWS`` rows. NULLs lie in the first range. A table without
+    such a column is one task. With ``path`` the same call reads an exported parquet copy.
     """
     if url is not None:
-        reader = spark.read.format("jdbc").options(url=url, dbtable=table, **(properties or {}))
+        def load(dbtable: str, **more: Any) -> DataFrame:
+            options = {"fetchsize": FETCH_ROWS, **(properties or {}), "url": url, "dbtable": dbtable, **more}
+            return spark.read.format("jdbc").options(**options).load()
+
+        df = load(table)
+        if partition_column is None:
+            whole = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))}
+            partition_column = next((c for c in columns if c in whole), None)
         if partition_column is not None:
-            if bounds is None:
-                raise ValueError("bounds are needed with partition_column")
-            reader = reader.options(partitionColumn=partition_column, lowerBound=bounds[0],
-                                    upperBound=bounds[1], numPartitions=partitions)
-        df = reader.load()
+            if bounds is None or partitions is None:
+                c = partition_column
+                low, high, n = load(f"(SELECT min({c}) AS low, max({c}) AS high, count(*) AS n FROM {table}) AS bounds").first()
+                bounds = bounds or (low, high)
+                partitions = partitions or max(1, -(-n // PARTITION_ROWS))
+            if bounds[0] is not None and partitions > 1:
+                df = load(table, partitionColumn=partition_column, lowerBound=bounds[0], upperBound=bounds[1] + 1, numPartitions=partitions)
     elif path is not None:
         df = spark.read.parquet(path)
     else:

@@ -141,6 +141,52 @@ def test_missing_column_is_an_error(spark, tmp_path):
         jdbc_table(spark, "x", ["id", "y"], path=str(tmp_path / "x"))
 
 
+class StubReader:
+    """What a JDBC reader is asked for; no database may run here."""
+
+    def __init__(self, spark, rows):
+        self.spark, self.rows, self.asked = spark, rows, []
+
+    @property
+    def read(self):
+        return self
+
+    def format(self, name):
+        assert name == "jdbc"
+        return self
+
+    def options(self, **options):
+        self.asked.append(options)
+        return self
+
+    def load(self):
+        if "min(" in self.asked[-1]["dbtable"]:
+            return self.rows.selectExpr("min(id) AS low", "max(id) AS high", "count(*) AS n")
+        return self.rows
+
+
+def test_jdbc_ranges(spark, monkeypatch):
+    from plexus.sources import classes
+    rows = spark.range(10, 60).selectExpr("concat('n', id) AS name", "id")
+    stub = StubReader(spark, rows)
+    assert jdbc_table(stub, "t", ["name", "id"], url="jdbc:x", properties={"user": "u"}).count() == 50
+    assert [o["dbtable"] for o in stub.asked] == ["t", "(SELECT min(id) AS low, max(id) AS high, count(*) AS n FROM t) AS bounds"]
+    assert all(o["url"] == "jdbc:x" and o["fetchsize"] == 10_000 and o["user"] == "u" for o in stub.asked)
+    monkeypatch.setattr(classes, "PARTITION_ROWS", 20)
+    jdbc_table(stub, "t", ["name", "id"], url="jdbc:x")
+    ranges = {k: stub.asked[-1][k] for k in ("partitionColumn", "lowerBound", "upperBound", "numPartitions")}
+    assert ranges == {"partitionColumn": "id", "lowerBound": 10, "upperBound": 60, "numPartitions": 3}
+    n = len(stub.asked)
+    jdbc_table(stub, "t", ["name"], url="jdbc:x", partition_column="id", bounds=(0, 9), partitions=4)  # asks for nothing else
+    assert len(stub.asked) == n + 2 and stub.asked[-1]["numPartitions"] == 4 and stub.asked[-1]["upperBound"] == 10
+    jdbc_table(stub, "t", ["name"], url="jdbc:x", properties={"fetchsize": "7"})  # no whole number among the columns: one task
+    assert len(stub.asked) == n + 3 and stub.asked[-1]["fetchsize"] == "7"
+    empty = StubReader(spark, rows.where("false"))
+    assert jdbc_table(empty, "t", ["id"], url="jdbc:x").count() == 0
+    with pytest.raises(ValueError, match="no column y"):
+        jdbc_table(stub, "t", ["y"], url="jdbc:x")
+
+
 def test_checks(spark):
     src = spark.createDataFrame([("a",), ("b",), ("c",)], "_uniqueid string")
     made = spark.createDataFrame([("a",), ("a",), ("b",), ("z",)], "s string")
