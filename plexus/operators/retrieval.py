@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plexus.functions.scalars import strip
+from plexus.operators.stats import MODEL_PROPERTIES
 from plexus.operators.vectors import COSINE, check_search, find_similar
 
 # The line between answer and new summary.
@@ -21,10 +22,21 @@ INSTRUCTIONS = ("Answer the question from the retrieved knowledge only. "
 
 def find_similar_to(vectors: DataFrame, *, text: str | None = None, image: Any = None, vector: Sequence[float] | None = None,
                     load: Callable[[], Callable[[list], list]] | None = None, k: int = 10, metric: str = COSINE,
-                    **search: Any) -> DataFrame:
-    """H01. Search with exactly one of a text, an image or a vector; the first two go through the set's model."""
+                    registry: DataFrame | None = None, set_name: str | None = None, **search: Any) -> DataFrame:
+    """H01. Search with exactly one of a text, an image or a vector; the first two go through the set's model.
+
+    A05. With ``registry`` and ``set_name`` only that set is searched, and a text or an image is refused for a set
+    that does not name its model completely.
+    """
     check_search(k, metric, text=text, image=image, vector=vector)
+    if set_name is not None:
+        vectors = vectors.where(F.col("set") == set_name)
     if vector is None:
+        if registry is not None:
+            row = registry.where(F.col("name") == set_name).select(*MODEL_PROPERTIES).first()
+            missing = [p for p in MODEL_PROPERTIES if row is None or row[p] is None]
+            if missing:
+                raise ValueError(f"set {set_name} cannot be searched by text or image: no {', '.join(missing)}")
         if load is None:
             raise ValueError("a text or image search needs the model of the vector set")
         vector = load()([text if text is not None else image])[0]

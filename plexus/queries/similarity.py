@@ -156,6 +156,22 @@ def h06(spark, sf):
         "doc_id", F.col("dim").cast("bigint").alias("dim"), F.round(F.col("v").cast("double"), 5).alias("value"))
 
 
+_ASKED = "of the water and the people in a long day"
+
+
+@query("h01_search_by_text", f"""
+  WITH d AS {embedding_sql('documents', 'doc_id', 'text')}, q AS {embedding_sql(f"(SELECT 0 AS i, '{_ASKED}' AS t)", 'i', 't')},
+  s AS (SELECT doc_id, round(coalesce(sum(d.value * q.value), 0), 4) AS _distance FROM documents LEFT JOIN d ON k = doc_id LEFT JOIN q USING (dim) GROUP BY doc_id)
+  SELECT doc_id, _distance, row_number() OVER (ORDER BY _distance DESC, doc_id)::INTEGER AS rank FROM s QUALIFY rank <= 10""")
+def h01_text(spark, sf):
+    """A text against the vectors of all documents, by the model that the registry names for their set."""
+    from plexus.operators import models, retrieval
+    load = models.hashed_words(64)
+    vectors = models.embed_texts(spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id"), "text", load).withColumn("set", F.lit("texts"))
+    registry = models.register_model(spark.createDataFrame([], models.REGISTRY_SCHEMA), "texts", 64, "built-in", "hashed words", "none", load)
+    return retrieval.find_similar_to(vectors.drop("text"), text=_ASKED, load=load, registry=registry, set_name="texts", id_column="doc_id", digits=4).select("doc_id", "_distance", "rank")
+
+
 def pictures(spark, sf):
     """The text of every document as a grey picture, 16 pixels wide, one byte each, padded with blanks."""
     raw = F.encode(F.concat(F.col("text"), F.repeat(F.lit(" "), 16)), "UTF-8")

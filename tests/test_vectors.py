@@ -295,3 +295,18 @@ def test_face_vectors(spark):
     assert edges == {(i, v, "imageHasBox") for (i, _), v in boxes.items()} | {(b, v, "boxHasVector") for b, (v, _) in vectors.items()}
     assert {r.id: (r.n_faces, r.faces_done) for r in faces.done.collect()} == {"a": (2, True), "b": (1, True), "c": (0, True), "d": (1, True), "e": (0, True)}
     assert calls.value == 1  # two crops of one batch, once
+
+
+def test_search_by_text_needs_a_model(spark):
+    from plexus.operators.models import REGISTRY_SCHEMA, embed_texts
+    from plexus.operators.retrieval import find_similar_to
+    load = hashed_words(16)
+    rows = spark.createDataFrame([("a", "red green", "s"), ("b", "blue sky", "s"), ("c", "red green", "t")], "_uniqueid string, text string, set string")
+    v = embed_texts(rows, "text", load)
+    registry = register_model(spark.createDataFrame([("t", 16, "CS", "p", None, None, None)], REGISTRY_SCHEMA), "s", 16, "p", "m", "x", load)
+    got = find_similar_to(v, text="red green", load=load, k=1, registry=registry, set_name="s").collect()
+    assert [r["_uniqueid"] for r in got] == ["a"]
+    for name in ("t", "unknown"):
+        with pytest.raises(ValueError, match="cannot be searched"):
+            find_similar_to(v, text="red", load=load, registry=registry, set_name=name)
+    assert find_similar_to(v, vector=[0.0] * 15 + [1.0], registry=registry, set_name="t").count() == 1
