@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 from plexus.llm.common import partitions, save
 
 SCALE = 256              # components become floor(SCALE * x)
-LARGEST = 1 << 25        # magnitude of a scaled component up to which scores fit 64 bits
+LARGEST = 2.0 ** 1000    # magnitude of a component; beyond it the scaled one is no double
+_EXACT = 1 << 62         # products and sums below it are 64-bit integers
 LEVELS = 3               # codes of a vector: of its rotation, then of what the codes before leave over
 PLANES = 8               # bits of a component of a rotated anchor
 ANCHOR_ROWS = 16_384     # anchors of a block, about
 BLOCK_ROWS = 65_536      # rows of a block, about
-_FAR = 1 << 62
+_LEAST, _MOST = 1 - (1 << 63), (1 << 63) - 1  # a score beyond is returned as the end of the range
 _ANCHORS, _ROWS = 128, 8_192   # pairs of these are estimated at a time
 
 
@@ -27,6 +28,12 @@ def rotation(dimensions: int, seed: int = 11) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
+def _norms(vectors: np.ndarray) -> np.ndarray:
+    """Lengths, also of vectors whose squares are no doubles."""
+    top = np.abs(vectors).max(axis=1, initial=0)
+    return top * np.linalg.norm(vectors / np.maximum(top, 1e-300)[:, None], axis=1)
+
+
 def _packed(bits: np.ndarray) -> np.ndarray:
     """Rows of bits as rows of 64-bit words."""
     width = -(-bits.shape[-1] // 64) * 64
@@ -44,7 +51,7 @@ class Codes:
 
     def __init__(self, vectors: np.ndarray, turn: np.ndarray, levels: int = LEVELS) -> None:
         d = vectors.shape[1]
-        self.norm = np.linalg.norm(vectors, axis=1)
+        self.norm = _norms(vectors)
         rest = (vectors / np.maximum(self.norm, 1e-300)[:, None]) @ turn
         self.bits, self.alignment = [], []
         for _ in range(levels):
@@ -62,7 +69,7 @@ class Planes:
 
     def __init__(self, vectors: np.ndarray, turn: np.ndarray) -> None:
         d = vectors.shape[1]
-        self.norm = np.linalg.norm(vectors, axis=1)
+        self.norm = _norms(vectors)
         v = (vectors / np.maximum(self.norm, 1e-300)[:, None]) @ turn
         self.low = v.min(axis=1)
         self.step = np.maximum((v.max(axis=1) - self.low) / ((1 << PLANES) - 1), 1e-300)
@@ -92,15 +99,26 @@ def interval(anchors: Planes, a: slice, rows: Codes, r: slice, dimensions: int)
         sums = sums + last * align[r][None, :]
     apart = np.sqrt(np.maximum(anchors.length[a][:, None] ** 2 - last ** 2, 0.0)) * rows.left[r][None, :]
     reach = apart + anchors.missed[a][:, None] + 1e-9
-    scale = anchors.norm[a][:, None] * rows.norm[r][None, :]
-    return (sums - reach) * scale - 1e-3, (sums + reach) * scale + 1e-3
+    with np.errstate(over="ignore"):
+        scale = np.minimum(anchors.norm[a][:, None] * rows.norm[r][None, :], 1e300)
+    return np.clip((sums - reach) * scale - 1e-3, _LEAST, _MOST), np.clip((sums + reach) * scale + 1e-3, _LEAST, _MOST)
 
 
 def scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Integer inner products of pairs of rows."""
+    """Integer inner products of pairs of rows; those that could leave 64 bits on the way are added up in integers of any size."""
     out = np.empty(len(a), np.int64)
     for at in range(0, len(a), 1 << 16):
-        out[at:at + (1 << 16)] = np.einsum("ij,ij->i", a[at:at + (1 << 16)], b[at:at + (1 << 16)])
+        p, q = a[at:at + (1 << 16)], b[at:at + (1 << 16)]
+        tops = [np.abs(z).max(axis=1, initial=0).astype(np.float64) for z in (p, q)]
+        with np.errstate(over="ignore"):
+            wide = (tops[0] >= _EXACT) | (tops[1] >= _EXACT) | (tops[0] * tops[1] * p.shape[1] >= _EXACT)
+        if wide.any():
+            part = np.empty(len(p), np.int64)
+            part[~wide] = np.einsum("ij,ij->i", p[~wide].astype(np.int64), q[~wide].astype(np.int64))
+            part[wide] = [min(max(sum(int(x) * int(y) for x, y in zip(*pair)), _LEAST), _MOST) for pair in zip(p[wide].tolist(), q[wide].tolist(), strict=True)]
+        else:
+            part = np.einsum("ij,ij->i", p.astype(np.int64, copy=False), q.astype(np.int64, copy=False))
+        out[at:at + (1 << 16)] = part
     return out
 
 
@@ -164,18 +182,21 @@ def best_pairs(x: np.ndarray, ids: np.ndarray, y: np.ndarray, meets: Callable, l
 
 
 def _matrix(column: pa.ChunkedArray, dimensions: int) -> np.ndarray:
-    return np.asarray(column.combine_chunks().flatten()).reshape(-1, dimensions).astype(np.int64)
+    """Whole numbers, as integers if all of them are 64-bit ones."""
+    values = np.asarray(column.combine_chunks().flatten()).reshape(-1, dimensions)
+    return values.astype(np.int64) if np.abs(values).max(initial=0) < _EXACT else values
 
 
-_PAIR = "anchor bigint, anchor_row bigint, positive bigint, positive_score bigint, other bigint, score bigint"
+_PAIR = "anchor bigint, anchor_row bigint, slot bigint, positive bigint, positive_score bigint, other bigint, score bigint"
 
 
-def _tile(dimensions: int, k: int, other_label: bool, levels: int):
-    """Pairs of a block of rows and a block of anchors."""
+def _tile(k: int, other_label: bool, levels: int):
+    """Pairs of a block of rows and a block of anchors, all of one length."""
     def run(rows: pa.Table, anchors: pa.Table) -> pa.Table:
-        names = ("anchor", "anchor_row", "positive", "positive_score", "other", "score")
+        names = ("anchor", "anchor_row", "slot", "positive", "positive_score", "other", "score")
         if not len(rows) or not len(anchors):
             return pa.table({c: pa.array([], pa.int64()) for c in names})
+        dimensions = rows.column("d")[0].as_py()
         x, y = _matrix(rows.column("x"), dimensions), _matrix(anchors.column("x"), dimensions)
         ids, marks = np.asarray(rows.column("id")), np.asarray(rows.column("row"))
         of, own = np.asarray(anchors.column("id")), np.asarray(anchors.column("row"))
@@ -195,12 +216,12 @@ def _tile(dimensions: int, k: int, other_label: bool, levels: int):
                 return mine[a][:, None] != label[r][None, :]
         else:
             positive = ps = np.zeros((len(of), 1), np.int64)
-            low, high = np.full((len(of), 1), -_FAR), np.full((len(of), 1), _FAR)
+            low, high = np.full((len(of), 1), _LEAST), np.full((len(of), 1), _MOST)
 
             def meets(a: slice, r: slice) -> np.ndarray:
                 return (of[a][:, None] != ids[r][None, :]) | (own[a][:, None] != marks[r][None, :])
         a, s, r, score, _ = best_pairs(x, ids, y, meets, low, high, k, levels)
-        values = (of[a], own[a], positive[a, s], ps[a, s], ids[r], score)
+        values = (of[a], own[a], s, positive[a, s], ps[a, s], ids[r], score)
         return pa.table({c: pa.array(v, pa.int64()) for c, v in zip(names, values, strict=True)})
     return run
 
@@ -211,10 +232,15 @@ def _blocks(n: Column, rows: int, tasks: int) -> Column:
 
 
 def _met(rows: DataFrame, anchors: DataFrame, keys: list[str], run) -> DataFrame:
-    """Blocks of rows next to blocks of anchors, inside each value of ``keys``; ``rs, as``: the numbers of blocks."""
+    """Blocks of rows next to blocks of anchors, inside each value of ``keys``; ``rs, as``: the numbers of blocks.
+
+    Both sides number blocks as long: equal numbers of other types are dealt to other tasks and would not meet.
+    """
     hashed = F.xxhash64("id", "row")
-    r = rows.withColumn("r", F.pmod(hashed, "rs")).withColumn("a", F.explode(F.sequence(F.lit(0), F.col("as") - 1))).drop("rs", "as")
-    a = anchors.withColumn("a", F.pmod(hashed, "as")).withColumn("r", F.explode(F.sequence(F.lit(0), F.col("rs") - 1))).drop("rs", "as")
+    own = lambda n: F.pmod(hashed, n).cast("bigint")
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n).cast("bigint") - 1))
+    r = rows.withColumn("r", own("rs")).withColumn("a", each("as")).drop("rs", "as")
+    a = anchors.withColumn("a", own("as")).withColumn("r", each("rs")).drop("rs", "as")
     a = a.select(*[F.col(c).alias(c) for c in a.columns])  # of the same table as r
     tile = [*keys, "a", "r"]
     return r.groupBy(*tile).cogroup(a.groupBy(*tile)).applyInArrow(run, _PAIR)
@@ -235,37 +261,37 @@ def hard_negatives(vectors: DataFrame, key: str = "vec_id", vector: str = "embed
     are those of all blocks: no pair is left to chance. All rows meet all anchors, block by block; for positives, those of their
     label. A block of anchors is large, since rows are copied once for each. A tile returns k pairs a slot.
 
-    Rows with a null id, label or vector, or a null or non-finite component take no part; nor do vectors of another length
-    than most, or with a scaled component beyond ``LARGEST``, whose scores would not fit 64 bits. Rows that repeat id, label
-    and vector are one; an id with several vectors or labels is several rows. Other columns, whatever their names, are not read; an empty
-    table or one without anchors gives no rows.
+    Rows with a null id, label or vector, an empty vector, or a null or non-finite component take no part (nor do components beyond
+    ``LARGEST``). Vectors of several lengths meet those of their own, since only these have an inner product. Components may be of any
+    size: sums that could leave 64 bits are added up exactly, and a score that does not fit a long is the end of its range. Rows that
+    repeat id, label and vector are one; an id with several vectors or labels is several rows. Other columns, whatever their names, are
+    not read; an empty table or one without anchors gives no rows.
     """
-    spark, tasks = vectors.sparkSession, partitions(vectors)
-    scaled = F.transform(F.col("v"), lambda x: F.floor(x.cast("double") * SCALE))
-    bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) * SCALE > LARGEST))
+    tasks = partitions(vectors)
+    times = lambda x: x.cast("double") * SCALE
+    scaled = F.transform(F.col("v"), lambda x: F.when(F.abs(times(x)) < 1 << 53, F.floor(times(x)).cast("double")).otherwise(times(x)))  # from there on doubles are whole
+    bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) > LARGEST))
     rows = (vectors.select(F.col(key).cast("bigint").alias("id"), F.col(label).alias("label"), F.col(vector).alias("v"))
             .where("id IS NOT NULL AND label IS NOT NULL AND size(v) > 0").where(~bad)
             .select("id", "label", scaled.alias("x")))
     rows = rows.select("id", "label", "x", F.xxhash64("label", "x").alias("row"), F.size("x").alias("d")).dropDuplicates(["id", "row", "label", "x"])
     rows = save(rows, "vectors")
-    top = rows.groupBy("d").count().orderBy(F.desc("count"), "d").first()
-    if top is None:
-        return spark.createDataFrame([], "anchor_id bigint, positive_id bigint, rank int, negative_id bigint, positive_score bigint, negative_score bigint")
-    rows = rows.where(F.col("d") == top["d"]).drop("d")
     anchors = rows.where(F.col("id") % every == 0)
+    sizes = F.count_if(F.col("id") % every == 0).alias("n"), F.count(F.lit(1)).alias("m")
     of_anchors, of_rows = F.ceil(F.col("n") / ANCHOR_ROWS).alias("as"), _blocks(F.col("m"), BLOCK_ROWS, tasks).alias("rs")
 
-    per_label = rows.groupBy("label").agg(F.count_if(F.col("id") % every == 0).alias("n"), F.count(F.lit(1)).alias("m")).where("n > 0").select("label", of_anchors, of_rows)
-    pairs = _met(rows.join(per_label, "label"), anchors.join(per_label, "label"), ["label"], _tile(top["d"], positives, False, levels))
+    def cut(df: DataFrame, keys: list[str]) -> DataFrame:
+        """With the numbers of blocks of their keys; without an anchor there is nothing to meet."""
+        return df.join(rows.groupBy(*keys).agg(*sizes).where("n > 0").select(*keys, of_anchors, of_rows), keys)
+
+    pairs = _met(cut(rows, ["label", "d"]), cut(anchors, ["label", "d"]), ["label", "d"], _tile(positives, False, levels))
     order = Window.partitionBy("anchor", "anchor_row").orderBy(F.desc("score"), "other")
     near = pairs.withColumn("no", F.row_number().over(order)).where(F.col("no") <= positives)
     given = near.groupBy(F.col("anchor").alias("id"), F.col("anchor_row").alias("row")).agg(F.sort_array(F.collect_list(F.struct("no", F.col("other").alias("id"), "score"))).alias("positives"))
     asked = save(anchors.join(given, ["id", "row"]), "anchors")
 
-    whole = rows.agg(F.count_if(F.col("id") % every == 0).alias("n"), F.count(F.lit(1)).alias("m")).select(of_anchors, of_rows).first()
-    blocks = {"as": F.lit(whole["as"]), "rs": F.lit(whole["rs"])}
-    found = _met(rows.withColumns(blocks), asked.withColumns(blocks), [], _tile(top["d"], negatives, True, levels))
-    order = Window.partitionBy("anchor", "anchor_row", "positive", "positive_score").orderBy(F.desc("score"), "other")
+    found = _met(cut(rows, ["d"]), cut(asked, ["d"]), ["d"], _tile(negatives, True, levels))
+    order = Window.partitionBy("anchor", "anchor_row", "slot").orderBy(F.desc("score"), "other")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= negatives)
             .select(F.col("anchor").alias("anchor_id"), F.col("positive").alias("positive_id"), "rank", F.col("other").alias("negative_id"),
                     "positive_score", F.col("score").alias("negative_score")))

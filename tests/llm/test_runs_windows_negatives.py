@@ -255,6 +255,41 @@ def test_hard_negatives_of_nothing(spark):
     assert hn.hard_negatives(spark.createDataFrame([(1, [1.0], 1), (2, [1.0], 2)], df.schema)).count() == 0
 
 
+def test_hard_negatives_in_several_tasks(spark, monkeypatch):
+    """Blocks of rows and anchors meet where shuffle partitions stay what they are."""
+    rows = vectors(5, 500, 16, 4)
+    monkeypatch.setattr(hn, "ANCHOR_ROWS", 4)
+    monkeypatch.setattr(hn, "BLOCK_ROWS", 60)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
+        assert sorted(tuple(r) for r in hn.hard_negatives(df).collect()) == brute_negatives(rows)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_hard_negatives_of_large_components(spark, seed):
+    """Components of any size take part, as exact integers; so do positives that share an id and a score."""
+    rows = vectors(seed, 300, 8, 3)
+    r = np.random.default_rng(seed)
+    rows = [(i, [float(np.float32(x * 10.0 ** (r.integers(3, 6) if i % 3 == 0 else 0))) for x in v], lab) for i, v, lab in rows]
+    rows += [(7001 + i, [0.0] * 7 + [float(np.float32(z))], i % 3) for i, z in enumerate([1e5, -3e6, 1e8, 2e4])]
+    rows += [(8000, [0.001] * 8, 1), (8001, [1e5] * 8, 1), (8001, [1e5, 1e5] * 3 + [2e5, 0.0], 1)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
+    got = sorted(tuple(x) for x in hn.hard_negatives(df.repartition(3)).collect())
+    want = brute_negatives(rows)
+    assert got == want and max(abs(x[4]) for x in want) > 1 << 40
+
+
+def test_hard_negatives_beyond_a_long(spark):
+    """A component that no score of fits still takes part; the other anchors find what they find."""
+    rows = [*vectors(3, 200, 8, 3), (9001, [3e38] * 8, 1), (9002, [-3e38] * 8, 2)]
+    got = {tuple(x) for x in hn.hard_negatives(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")).collect()}
+    fits = {x for x in brute_negatives(rows) if abs(x[4]) < 1 << 62 and abs(x[5]) < 1 << 62}
+    assert fits <= got and all(x[4] == (1 << 63) - 1 for x in got - fits)
+
+
 def test_intervals_hold_and_spare_work():
     r = np.random.default_rng(4)
     x = np.floor(256 * 0.2 * (r.normal(size=(40, 64))[r.integers(0, 40, 3000)] + 0.4 * r.normal(size=(3000, 64)))).astype(np.int64)
