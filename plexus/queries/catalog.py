@@ -98,8 +98,8 @@ def a07(spark, sf):
     f"SELECT '{t}.parquet' AS name, NULL::VARCHAR AS mime_type, true AS has_bytes FROM (SELECT count(*) FROM {t})" for t in (
         "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations").split()))
 def a09(spark, sf):
-    """The folder of the tables as an object store; the parquet files carry no known media type."""
-    return objects.scan_objects(spark, sf, mime_types=None, glob="*.parquet").select(
+    """The folder of the tables as an object store, a table in parts being one object; parquet files carry no known media type."""
+    return objects.scan_objects(spark, sf, mime_types=None, glob="*.parquet", folder_suffix=".parquet").select(
         "name", "mime_type", (F.col("length") > 0).alias("has_bytes"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import time
 import urllib.request
 from collections import defaultdict, deque
@@ -29,15 +30,22 @@ OBJECT_TYPES = {
 
 
 def scan_objects(spark: SparkSession, path: str, mime_types: Sequence[str] | None = OBJECT_TYPES["image"],
-                 glob: str | None = None, content: bool = False) -> DataFrame:
+                 glob: str | None = None, content: bool = False, folder_suffix: str | None = None) -> DataFrame:
     """A09. List an object store, keeping objects by guessed media type.
 
-    Bytes are read only with ``content=True``; otherwise the listing never opens a file.
+    Bytes are read only with ``content=True``; otherwise the listing never opens a file. With ``folder_suffix`` a folder
+    whose name ends so is one object, as large as its files together: a table may be a file or a folder of part files.
     """
+    if folder_suffix and content:
+        raise ValueError("an object in several files has no content of its own")
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    found = (reader.load(path).withColumn("name", F.substring_index("path", "/", -1))
+    found = reader.load(path)
+    if folder_suffix:
+        found = (found.groupBy(_up_to_folder(path, folder_suffix).alias("path"))
+                 .agg(F.sum("length").alias("length"), F.max("modificationTime").alias("modificationTime")))
+    found = (found.withColumn("name", F.substring_index("path", "/", -1))
              .withColumn("mime_type", mime_from_path("path")))
     if mime_types is not None:
         found = found.where(F.col("mime_type").isin(*mime_types))
@@ -45,6 +53,16 @@ def scan_objects(spark: SparkSession, path: str, mime_types: Sequence[str] | Non
     return found.select(*columns, *(["content"] if content else []))
 
 
+def _up_to_folder(root: str, suffix: str) -> Column:
+    """The path of a file, or of the first folder below the root whose name ends with the suffix."""
+    below = re.sub(r"/+", "/", re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*(?=/))?", "", root)).rstrip("/") + "/"
+    at = F.instr("path", below)
+    start = F.when(at > 0, at + len(below)).otherwise(1)
+    inside = F.substring(F.col("path"), start, F.length("path"))
+    folder = F.regexp_extract(inside, f"^((?:[^/]+/)*?[^/]*{re.escape(suffix)})/", 1)
+    return F.when(folder == "", F.col("path")).otherwise(F.concat(F.substring(F.col("path"), F.lit(1), start - 1), folder))
+
+
 def object_manifest(paths: DataFrame, scheme: str, bucket: str, ingest_date: str | Column | None = None,
                     add_object_paths: bool = False, workflow_id: str | None = None,
                     path: str = "path", url_column: str = "url") -> DataFrame:
