@@ -30,8 +30,12 @@ Model = Callable[[list], list]
 FINGERPRINT_TEXT = "The quick brown fox jumps over the lazy dog"
 
 
-def hashed_words(dimensions: int = 64) -> Callable[[], Model]:
-    """Text stand-in: signed feature hashing of lower-case tokens, length 1."""
+def hashed_words(dimensions: int = 64, cancelled: str = "count") -> Callable[[], Model]:
+    """Text stand-in: signed feature hashing of lower-case tokens, length 1; zero for a text without tokens.
+
+    Where the signs of a text's tokens cancel in all places there is nothing to scale: such a text gets the vector of its tokens
+    without signs (``count``), or not-a-number in the places of its tokens (``nan``), which is what the division gives.
+    """
     def load() -> Model:
         from plexus.functions.text import TOKEN_PATTERN
         import regex
@@ -45,11 +49,14 @@ def hashed_words(dimensions: int = 64) -> Callable[[], Model]:
         def run(texts: list) -> list:
             out = []
             for text in texts:
-                v = np.zeros(dimensions)
+                v, places = np.zeros(dimensions), []
                 for token in find((text or "").lower()):
                     i, sign = slot(token)
                     v[i] += sign
-                n = np.linalg.norm(v)
+                    places.append(i)
+                if places and not v.any():
+                    np.add.at(v, places, 1.0 if cancelled == "count" else np.nan)
+                n = np.linalg.norm(v) if cancelled == "count" or not np.isnan(v).any() else 0.0
                 out.append(v / n if n else v)
             return out
         return run
