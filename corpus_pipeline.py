@@ -28,7 +28,7 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, a similarity of 0.8 or more), the smallest id."""
+    """Of each group of near copies, the smallest id: linked by SimHash or by bands, and by their shingles 0.8 similar or more."""
     return drop_shingle_copies(docs)
 
 

@@ -1,4 +1,4 @@
-"""Near copies by shingle similarity: candidates from bands of least hashes, verified on the whole texts."""
+"""Near copies: candidates from SimHash fingerprints and from bands of least hashes, verified on the shingles of the whole texts."""
 
 from __future__ import annotations
 
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from plexus.llm.common import ranges, release, save, utf8
 from plexus.llm.components import components
 from plexus.llm.seeds import U8, Hasher, Unit, _whole_units, mix
+from plexus.llm.simhash import fingerprint, simhash_links
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -53,9 +54,10 @@ def band_keys(hashes: np.ndarray) -> np.ndarray:
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = [shingles(t.as_py()) for t in batch.column(2)]
+        prints = np.fromiter((fingerprint(t.as_py()) for t in batch.column(2)), U8, len(sets)).view(np.int64)
         digests = np.fromiter((xxhash.xxh64_intdigest(s.tobytes()) for s in sets), U8, len(sets)).view(np.int64)
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(digests), pa.array([len(s) for s in sets], pa.int64()),
-                                          pa.array([band_keys(s) for s in sets], pa.list_(pa.int64()))], names=["key", "mark", "node", "n", "bands"])
+                                          pa.array([band_keys(s) for s in sets], pa.list_(pa.int64())), pa.array(prints)], names=["key", "mark", "node", "n", "bands", "fp"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,11 +106,21 @@ def _search(at_least: float):
     return run
 
 
+def simhash_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs ``u, v`` of nodes by op 3's operator: fingerprints within its radius, and nodes that share one; stars, never all pairs."""
+    prints = rows.select("fp", "node").distinct()
+    first = prints.groupBy("fp").agg(F.min("node").alias("node"))
+    shared = prints.select("fp", F.col("node").alias("u")).join(first.select("fp", F.col("node").alias("v")), "fp").select("u", "v")
+    linked = simhash_links(first).unionByName(shared).where("u != v")
+    return linked.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+
+
 def near_links(rows: DataFrame, texts: DataFrame, at_least: float = SIMILARITY) -> DataFrame:
-    """Links ``u, v`` that join the nodes of ``rows`` (``key, mark, node, n, bands``) as all pairs of that similarity in a band would.
+    """Links ``u, v`` that join the nodes of ``rows`` (``key, mark, node, n, bands, fp``) as all pairs of that similarity in a band would.
 
-    ``texts`` (``key, mark, text``) has their texts. First each node of a band's bucket is compared with the bucket's smallest
-    node, so a large group costs one comparison a node. Nodes that are not joined to it then search the whole bucket: they meet
+    ``texts`` (``key, mark, text``) has their texts. First come the pairs that SimHash links, and each node of a band's bucket
+    with the bucket's smallest node, so a large group costs a comparison or two a node; all are compared as wholes.
+    Nodes that are not joined to the smallest one by then search the whole bucket: they meet
     its members block by block, and what the blocks have in common is counted from lists of the members of each shingle, so no
     pair is written that is not a link. No bucket is capped and no pair is left out.
     """
@@ -118,12 +130,14 @@ def near_links(rows: DataFrame, texts: DataFrame, at_least: float = SIMILARITY)
     alike = (in_band.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("node", "n")).alias("head"), F.bit_xor(F.xxhash64("node")).alias("mark"))
              .where("size > 1").groupBy("size", "head", "mark").agg(F.min("bucket").alias("bucket")))
     members = save(in_band.join(alike.select("bucket", "head"), "bucket"), "buckets")
-    asked = members.groupBy("node").agg(F.first("one").alias("one")).select("node", F.struct("one.key", "one.mark").alias("one"))
+    prints = save(simhash_pairs(rows), "simhash")
+    in_pairs = members.select("node").unionByName(prints.select(F.explode(F.array("u", "v")).alias("node"))).distinct()
+    asked = in_pairs.join(nodes, "node").select("node", F.struct("one.key", "one.mark").alias("one"))
     named = texts.select(F.struct("key", "mark").alias("one"), "text").join(asked, "one").select("node", "text")  # a null id is part of a struct and joins
     sets = save(named.mapInArrow(_sets, "node bigint, hashes binary").dropDuplicates(["node"]), "sets")
 
     pairs = (members.where((F.col("node") != F.col("head.node")) & (F.least("n", "head.n") >= at_least * F.greatest("n", "head.n") - F.lit(1e-6)))
-             .select(F.col("node").alias("u"), F.col("head.node").alias("v")).distinct())
+             .select(F.col("node").alias("u"), F.col("head.node").alias("v")).unionByName(prints).distinct())
     met = (pairs.join(sets.select(F.col("node").alias("u"), F.col("hashes").alias("a")), "u").join(sets.select(F.col("node").alias("v"), F.col("hashes").alias("b")), "v"))
     stars = save(met.select("u", "v", "a", "b").mapInArrow(_verify(at_least), "u bigint, v bigint"), "stars")
     joined = components(stars)
@@ -140,7 +154,7 @@ def near_links(rows: DataFrame, texts: DataFrame, at_least: float = SIMILARITY)
     found = (asks.groupBy("bucket", "l", "m").cogroup(others.groupBy("b", "bl", "bm"))
              .applyInArrow(_search(at_least), "u bigint, v bigint"))
     links = save(stars.unionByName(found.distinct()), "found")
-    release(members, sets, stars, known, joined)
+    release(members, prints, sets, stars, known, joined)
     return links
 
 
@@ -150,13 +164,14 @@ def drop_shingle_copies(docs: DataFrame, key: str = "doc_id", text: str = "text"
     Two texts are near copies if the sets of their ``SHINGLE``-word shingles have a Jaccard similarity of
     ``at_least``; groups are the connected components. Texts are lower-cased in A-Z, words are runs
     without ASCII white space, a shorter text is one shingle, and texts without words, null ones too, are equal. A pair
-    is found if it shares one of the bands, and counts only if the sets of both whole texts are similar. Rows that repeat
+    is found if SimHash links it (op 3: three words, 2 of 64 bits) or if it shares one of the bands, which reach down to the
+    similarity asked for, and counts only if the sets of both whole texts are similar. Rows that repeat
     id and text stay or go together; an empty table stays empty; other columns may have any name. Sets of shingles are told apart by a
     64-bit hash of theirs. Working tables are emptied when their last reader is done.
     """
     plain = docs.select(F.col(key).alias("key"), F.xxhash64(utf8(text)).alias("mark"), utf8(text).alias("text"))
     kind = dict(plain.dtypes)["key"]
-    rows = save(plain.mapInArrow(_signatures, f"key {kind}, mark bigint, node bigint, n bigint, bands array<bigint>"), "shingles")
+    rows = save(plain.mapInArrow(_signatures, f"key {kind}, mark bigint, node bigint, n bigint, bands array<bigint>, fp bigint"), "shingles")
     links = near_links(rows, plain, at_least)
     joined = components(links)
     of = rows.select("key", "mark", "node").join(joined, "node", "left").select("key", "mark", F.coalesce("component", "node").alias("of"))

@@ -153,3 +153,23 @@ def test_near_stage_recall(spark):
         hits += bool((near_copies.band_keys(a) == near_copies.band_keys(b)).any())
     assert hits == n
     assert near_copies.similarity(near_copies.shingles(b"A b c d e f"), near_copies.shingles(b"a B c\td e g")) == 1 / 3
+
+
+def test_near_stage_links_by_simhash(spark):
+    """Without any band, SimHash alone brings the pairs within two bits; the exact check drops those whose shingles differ."""
+    r, texts = random.Random(5), []
+    for _ in range(12):
+        words = [f"w{r.randrange(10 ** 6)}" for _ in range(4000)]
+        texts += [" ".join(words), " ".join([*words[:-1], "changed"])]
+    texts += ["", "  ", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "key bigint, text string")
+    plain_rows = docs.select("key", F.xxhash64(near_copies.utf8("text")).alias("mark"), near_copies.utf8("text").alias("text"))
+    rows = plain_rows.mapInArrow(near_copies._signatures, "key bigint, mark bigint, node bigint, n bigint, bands array<bigint>, fp bigint").cache()
+    of = {x.key: x for x in rows.collect()}
+    close = {(a, a + 1) for a in range(0, 24, 2) if ((of[a].fp ^ of[a + 1].fp) & (2 ** 64 - 1)).bit_count() <= 2}
+    assert len(close) > 3
+    none = rows.withColumn("bands", F.array().cast("array<bigint>"))
+    want = {(max(of[a].node, of[b].node), min(of[a].node, of[b].node)) for a, b in close}
+    assert {tuple(x) for x in near_copies.near_links(none, plain_rows).collect()} == want
+    apart = none.withColumn("fp", F.lit(7).cast("bigint"))  # one fingerprint for all: only similar texts are linked
+    assert {tuple(x) for x in near_copies.near_links(apart, plain_rows).collect()} <= {(max(of[a].node, of[a + 1].node), min(of[a].node, of[a + 1].node)) for a in range(0, 24, 2)}
