@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from plexus.functions.text import is_clean
 from plexus.operators.segments import count_tokens, split_long
 from plexus.operators.skew import row_number_by_block
-from plexus.operators.vectors import to_arrow
+from plexus.operators.vectors import slices, to_arrow
 from plexus.session import materialise
 
 FAN_BITS = 6
@@ -212,7 +212,7 @@ def _map(df: DataFrame, columns: list[str], run: Callable[..., tuple], added: st
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         target = to_arrow(schema)
-        for batch in batches:
+        for batch in slices(batches, 16):
             of = {c: batch.column(batch.schema.get_field_index(c)) for c in df_columns}
             made = [run(*row) for row in zip(*(_values(of[c]) for c in columns), strict=True)]
             yield pa.RecordBatch.from_arrays([*(of[c] for c in kept), *(_array([m[k] for m in made], target.field(f.name).type) for k, f in enumerate(extra.fields))], schema=target)

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from plexus.functions.scalars import content_type_main, http_date, max_age, strip, url_domain, utf8_text
 from plexus.operators.constraints import allowed_domains
 from plexus.operators.html_blocks import html_blocks, html_links, parse_selector
-from plexus.operators.vectors import to_arrow
+from plexus.operators.vectors import slices, to_arrow
 
 # Response codes that are recorded as errors.
 ERROR_STATUS = (400, 401, 402, 403, 404, 405)
@@ -84,7 +84,7 @@ def extract_blocks_html(pages: DataFrame, html: str = "html", css_selector: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         target = to_arrow(schema)
-        for batch in batches:
+        for batch in slices(batches):
             blocks, found = [], []
             for page in batch.column(batch.schema.get_field_index(html)).to_pylist():
                 if isinstance(page, (bytes, bytearray)):

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from plexus.functions.scalars import anchor_url
 from plexus.functions.text import TOKEN_PATTERN, is_clean
-from plexus.operators.vectors import to_arrow
+from plexus.operators.vectors import slices, to_arrow
 from plexus.types import DST, ID, SRC
 
 Counter = Callable[[str], int]
@@ -119,7 +119,7 @@ def segment(documents: DataFrame, key: str, *, max_tokens: int = 300, overlap_to
             clean_only: bool = True, url: str | None = None, start: int = 0) -> DataFrame:
     """I13, I14. Segments of documents with ``blocks``: one row each, numbered in the document.
 
-    A document is one row, so this is a map: no shuffle, and a task holds one Arrow batch.
+    A document is one row, so this is a map: no shuffle, and a task holds one Arrow batch and the objects of a slice of it.
     """
     extra = [url] if url else []
     schema = T.StructType([documents.schema[key], *[documents.schema[u] for u in extra],
@@ -127,7 +127,7 @@ def segment(documents: DataFrame, key: str, *, max_tokens: int = 300, overlap_to
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count, target = count_tokens(), to_arrow(schema)
-        for batch in batches:
+        for batch in slices(batches):
             lists = batch.column(batch.num_columns - 1)
             flat, ends = lists.flatten(), lists.offsets.to_pylist()
             fields = [flat.field(n).to_pylist() for n in BLOCK_FIELDS]

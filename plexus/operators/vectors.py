@@ -221,6 +221,18 @@ def _scan(asked: DataFrame, block: tuple[np.ndarray, np.ndarray], pool: DataFram
     return pool.select(id_column, vector_column).mapInArrow(run, schema)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 64, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that what Python makes of one is bounded by ``rows`` and, by the size of the first ones, about ``most_bytes``.
+
+    Spark's batches grow with the table, to 10,000 rows of any size; as Python objects they are many times as large.
+    """
+    for batch in batches:
+        head = batch.slice(0, rows)
+        step = max(1, min(rows, head.num_rows * most_bytes // max(1, head.nbytes)))
+        for at in range(0, batch.num_rows, step):
+            yield batch.slice(at, step)
+
+
 def to_arrow(schema: T.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     return to_arrow_schema(schema)
