@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from plexus.plans import datasets as J
 from plexus.queries.registry import query, table
-from plexus.session import shared_dir
+from plexus.session import shared_dir, spread
 from plexus.sources.objects import ANNOTATION_SCHEMA, annotation_tables
 
 # parts as nested movie records
@@ -20,7 +20,7 @@ _RECORDS_SQL = """(SELECT p_partkey AS movie_id, p_name AS title, p_brand || ' t
 
 
 def records(spark, sf):
-    p = table(spark, sf, "part")
+    p = spread(table(spark, sf, "part"), "p_partkey")  # a record is much larger as JSON than its row
     size, key = F.col("p_size"), F.col("p_partkey")
 
     def item(id_, name, *more, id_name="id"):
