@@ -131,7 +131,7 @@ _A = "(SELECT *, l_orderkey * 10 + l_linenumber AS ann, CASE WHEN p_size > 10 TH
 def a17(spark, sf):
     from plexus.sources.objects import annotations_json
     path = shared_dir(spark, "annotations")
-    annotation_documents(spark, sf).select("value").write.text(path)  # one document per line
+    annotation_documents(spark, sf).select("value").write.text(path, compression="gzip")  # one document per line, a file per task
     t = annotations_json(spark, path, multi_line=False)
     n = F.count(F.lit(1)).alias("n_rows")
     return (t.images.select("id").distinct().agg(n).select(F.lit("image").alias("kind"), "n_rows")
