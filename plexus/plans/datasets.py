@@ -148,7 +148,8 @@ def image_table(tables: AnnotationTables, image_path: str) -> DataFrame:
 
 
 def _named(tables: AnnotationTables, annotations: DataFrame) -> DataFrame:
-    return annotations.join(tables.categories.select(F.col("id").alias("category_id"), F.col("name").alias("_label")), "category_id")
+    """Annotations with the names of their categories, of which there are as few as labels: annotations are not dealt by category."""
+    return annotations.join(F.broadcast(tables.categories.select(F.col("id").alias("category_id"), F.col("name").alias("_label"))), "category_id")
 
 
 def box_table(tables: AnnotationTables) -> DataFrame:
