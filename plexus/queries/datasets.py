@@ -96,7 +96,8 @@ def j02(spark, sf):
 
 def annotation_documents(spark, sf):
     """One annotation document per order line: its part as the image, the line as the annotation."""
-    li, p = table(spark, sf, "lineitem"), table(spark, sf, "part")
+    columns = ("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_tax", "l_discount", "l_returnflag")
+    li, p = spread(table(spark, sf, "lineitem").select(*columns), "l_orderkey"), table(spark, sf, "part")
     joined = li.join(p, F.col("p_partkey") == F.col("l_partkey"))
     image = F.struct(
         F.col("p_partkey").alias("id"), F.concat(F.lit("img_"), "p_partkey", F.lit(".jpg")).alias("file_name"),

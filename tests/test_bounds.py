@@ -38,6 +38,7 @@ def test_segments_hold_a_slice(spark):
 def test_records_come_in_many_tasks(spark):
     """A small file is one split; its records, much larger as JSON, are dealt over the cores."""
     assert Q.records(spark, SF).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert Q.annotation_documents(spark, SF).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
     assert spread(spark.range(5).coalesce(1), "id").count() == 5
 
 
