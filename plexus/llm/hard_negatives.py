@@ -14,12 +14,12 @@ from plexus.llm.common import partitions, save
 SCALE = 256              # components become floor(SCALE * x)
 LARGEST = 2.0 ** 1000    # magnitude of a component; beyond it the scaled one is no double
 _EXACT = 1 << 62         # products and sums below it are 64-bit integers
-LEVELS = 3               # codes of a vector: of its rotation, then of what the codes before leave over
+LEVELS = 4               # codes of a vector: of its rotation, then of what the codes before leave over
 PLANES = 8               # bits of a component of a rotated anchor
 ANCHOR_ROWS = 16_384     # anchors of a block, about
 BLOCK_ROWS = 65_536      # rows of a block, about
 _LEAST, _MOST = 1 - (1 << 63), (1 << 63) - 1  # a score beyond is returned as the end of the range
-_ANCHORS, _ROWS = 128, 8_192   # pairs of these are estimated at a time
+_ANCHORS, _FIRST_ROWS, _ROWS = 128, 256, 2_048  # pairs of these are estimated at a time, the first ones of few rows
 
 
 def rotation(dimensions: int, seed: int = 11) -> np.ndarray:
@@ -81,31 +81,53 @@ class Planes:
         self.planes = [_packed((t >> p) & 1) for p in range(PLANES)]
 
 
+def _counts(planes: list[np.ndarray], bits: np.ndarray) -> np.ndarray:
+    """Sums of ``2 ** p`` x the ones that plane p of an anchor shares with the bits of a row, for all pairs."""
+    shape = len(planes[0]), len(bits)
+    total = np.zeros(shape, np.uint16 if bits.shape[1] == 1 else np.int64)
+    both, one, two = np.empty(shape, np.uint64), np.empty(shape, np.uint8), np.empty(shape, np.uint8)
+    for w in range(bits.shape[1]):
+        word = bits[None, :, w]
+        for p in range(0, PLANES, 2):  # ones of a word and twice those of another are 192 at most
+            np.bitwise_count(np.bitwise_and(planes[p][:, w, None], word, out=both), out=one)
+            if p + 1 < PLANES:
+                np.bitwise_count(np.bitwise_and(planes[p + 1][:, w, None], word, out=both), out=two)
+                one += two
+                one += two
+            total += one.astype(total.dtype) << p
+    return total
+
+
 def interval(anchors: Planes, a: slice, rows: Codes, r: slice, dimensions: int) -> tuple[np.ndarray, np.ndarray]:
     """Bounds of the inner products of some anchors and rows.
 
-    Popcounts of codes and planes give the product with each code; the residual, perpendicular to the last code, adds at most its
-    length times that of the part of the anchor that is perpendicular to it too (Cauchy-Schwarz).
+    Popcounts of codes and planes give the product with each code; the residual adds at most its length times that of
+    the anchor (Cauchy-Schwarz).
     """
-    sums = 0.0
+    unit = 2 / np.sqrt(dimensions)
+    sums, fixed, factor = 0.0, 0.0, 0.0
     for bits, align in zip(rows.bits, rows.alignment, strict=True):
         part = bits[r]
-        count = np.bitwise_count(part).sum(axis=1, dtype=np.int64)
-        ones = anchors.low[a][:, None] * count[None, :]
-        for p, plane in enumerate(anchors.planes):
-            both = sum(np.bitwise_count(plane[a, w][:, None] & part[None, :, w]).astype(np.float32) for w in range(part.shape[1]))
-            ones += both * (anchors.step[a][:, None] * (1 << p))
-        last = 2 / np.sqrt(dimensions) * ones - anchors.total[a][:, None]
-        sums = sums + last * align[r][None, :]
-    apart = np.sqrt(np.maximum(anchors.length[a][:, None] ** 2 - last ** 2, 0.0)) * rows.left[r][None, :]
-    reach = apart + anchors.missed[a][:, None] + 1e-9
+        sums = sums + _counts([p[a] for p in anchors.planes], part) * align[r][None, :]
+        fixed = fixed + np.bitwise_count(part).sum(axis=1, dtype=np.int64) * align[r]
+        factor = factor + align[r]
+    sums *= unit * anchors.step[a][:, None]
+    sums += unit * anchors.low[a][:, None] * fixed[None, :]
+    sums -= anchors.total[a][:, None] * factor[None, :]
+    reach = anchors.length[a][:, None] * rows.left[r][None, :]
+    reach += anchors.missed[a][:, None] + 1e-9
     with np.errstate(over="ignore"):
         scale = np.minimum(anchors.norm[a][:, None] * rows.norm[r][None, :], 1e300)
-    return np.clip((sums - reach) * scale - 1e-3, _LEAST, _MOST), np.clip((sums + reach) * scale + 1e-3, _LEAST, _MOST)
+    sums *= scale
+    reach *= scale
+    reach += 1e-3
+    return np.clip(sums - reach, _LEAST, _MOST), np.clip(sums + reach, _LEAST, _MOST)
 
 
 def scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Integer inner products of pairs of rows; those that could leave 64 bits on the way are added up in integers of any size."""
+    if a.dtype == b.dtype == np.float32:  # see _narrow
+        return np.einsum("ij,ij->i", a, b).astype(np.int64)
     out = np.empty(len(a), np.int64)
     for at in range(0, len(a), 1 << 16):
         p, q = a[at:at + (1 << 16)], b[at:at + (1 << 16)]
@@ -122,6 +144,14 @@ def scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def _narrow(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and anchors as 32-bit floats, if these hold every product and sum of them exactly."""
+    tops = [float(np.abs(z).max(initial=0)) for z in (x, y)]
+    if max(tops) < 1 << 24 and tops[0] * tops[1] * x.shape[1] < 1 << 24:
+        return x.astype(np.float32), y.astype(np.float32)
+    return x, y
+
+
 def _kth(values: np.ndarray, k: int) -> np.ndarray:
     """The k-th largest value of each row, minus infinity if there are fewer."""
     if values.shape[1] < k:
@@ -141,40 +171,51 @@ def best_pairs(x: np.ndarray, ids: np.ndarray, y: np.ndarray, meets: Callable, l
     """``anchor, slot, row, score`` of the first k rows of each anchor and slot, exactly, and how many pairs were scored.
 
     x: rows, y: anchors, ``meets(a, r)``: which of them may meet, ``low, high`` (anchor x slot): least and greatest score allowed.
-    A pair is scored if its interval reaches into that of a slot and over the k-th best lower bound of pairs
+    A pair is scored if its interval reaches into that of a slot and over the k-th best lower bound or score of pairs
     that are certainly allowed there.
     """
     d = x.shape[1]
     turn = rotation(d)
     rows, anchors = Codes(x.astype(np.float64), turn, levels), Planes(y.astype(np.float64), turn)
+    x, y = _narrow(x, y)
+    slots = low.shape[1]
     out, scored = [], 0
     for at in range(0, len(y), _ANCHORS):
         a = slice(at, min(at + _ANCHORS, len(y)))
         best = [np.zeros(0, np.int64)] * 4
-        floor = np.full((a.stop - a.start, low.shape[1]), -np.inf)
-        for start in range(0, len(x), _ROWS):
-            r = slice(start, min(start + _ROWS, len(x)))
+        floor = np.full((a.stop - a.start, slots), -np.inf)
+        top = high[a].max(axis=1)
+        start, size = 0, _FIRST_ROWS
+        while start < len(x):
+            r = slice(start, min(start + size, len(x)))
+            start, size = r.stop, min(2 * size, _ROWS)  # few rows at first: the scores known after them spare most others
             may = meets(a, r)
             least, most = interval(anchors, a, rows, r, d)
-            wanted = np.zeros(may.shape, bool)
-            for s in range(low.shape[1]):
-                lo, hi = low[a, s][:, None], high[a, s][:, None]
-                sure = np.where(may & (most <= hi) & (least >= lo), least, -np.inf)
-                floor[:, s] = np.maximum(floor[:, s], _kth(sure, k))
-                wanted |= may & (least <= hi) & (most >= np.maximum(lo, floor[:, s][:, None]))
-            i, j = np.nonzero(wanted)
+            if np.isneginf(floor).any():
+                for s in range(slots):
+                    sure = np.where(may & (most <= high[a, s][:, None]) & (least >= low[a, s][:, None]), least, -np.inf)
+                    floor[:, s] = np.maximum(floor[:, s], _kth(sure, k))
+            needed = np.maximum(low[a], floor)
+            may &= most >= needed.min(axis=1)[:, None]
+            may &= least <= top[:, None]
+            i, j = np.nonzero(may)
+            least, most = least[i, j], most[i, j]
+            wanted = np.zeros(len(i), bool)
+            for s in range(slots):
+                wanted |= (least <= high[a, s][i]) & (most >= needed[i, s])
+            i, j = i[wanted], j[wanted]
             score = scores(y[a.start + i], x[r.start + j])
             scored += len(i)
-            for s in range(low.shape[1]):
-                fits = (score >= low[a.start + i, s]) & (score <= high[a.start + i, s])
+            for s in range(slots):
+                fits = (score >= low[a, s][i]) & (score <= high[a, s][i]) & (score >= floor[i, s])
                 new = [a.start + i[fits], np.full(fits.sum(), s), r.start + j[fits], score[fits]]
                 best = [np.concatenate(z) for z in zip(best, new, strict=True)]
             kept = _first(best[0], best[1], best[3], best[2], ids, k)
             best = [z[kept] for z in best]
-            full = np.flatnonzero(np.bincount((best[0] - a.start) * low.shape[1] + best[1], minlength=floor.size) >= k)
+            full = np.flatnonzero(np.bincount((best[0] - a.start) * slots + best[1], minlength=floor.size) >= k)
             if len(full):  # the k-th best score known so far
                 worst = np.full(floor.size, np.inf)
-                np.minimum.at(worst, (best[0] - a.start) * low.shape[1] + best[1], best[3])
+                np.minimum.at(worst, (best[0] - a.start) * slots + best[1], best[3])
                 floor.flat[full] = np.maximum(floor.flat[full], worst[full])
         out.append(best)
     none = [np.zeros(0, np.int64)] * 4

@@ -306,3 +306,22 @@ def test_intervals_hold_and_spare_work():
     for k in range(len(y)):
         order = sorted((j for j in range(3000) if j != own[k]), key=lambda j: (-exact[k, j], j))[:5]
         assert sorted(row[a == k].tolist()) == sorted(order)
+
+
+def test_scores_known_spare_work():
+    """Vectors without clusters, where no lower bound is of help: the scores of the first rows spare most of the others."""
+    r = np.random.default_rng(6)
+    x = r.normal(size=(6000, 64))
+    x = np.floor(256 * x / np.linalg.norm(x, axis=1)[:, None]).astype(np.int64)
+    ids = np.arange(6000)
+    y, exact = x[::60], x[::60] @ x.T
+    exact[np.arange(100), ids[::60]] = -1 << 40
+    best = np.sort(exact, axis=1)[:, ::-1][:, :5]
+    low, high = -(-50 * best // 100), 95 * best // 100
+    a, s, row, score, scored = hn.best_pairs(x, ids, y, lambda a, s: ids[::60][a][:, None] != ids[s][None, :], low, high, 3)
+    assert scored < 0.25 * len(x) * len(y)
+    for k in range(len(y)):
+        for t in range(5):
+            order = sorted((j for j in range(6000) if low[k, t] <= exact[k, j] <= high[k, t]), key=lambda j: (-exact[k, j], j))[:3]
+            assert sorted(row[(a == k) & (s == t)].tolist()) == sorted(order)
+            assert sorted(score[(a == k) & (s == t)].tolist()) == sorted(exact[k, order].tolist())
