@@ -5,7 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 Enrich = Callable[[DataFrame], DataFrame]
@@ -25,6 +30,43 @@ def read_new_files(spark: SparkSession, path: str, schema, format: str = "parque
     return reader.load(path)
 
 
+_PLAIN = (T.NumericType, T.StringType, T.BinaryType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+_SLICE = 65_536  # rows that a task takes up before it keeps the smallest of each key
+
+
+def _smallest(key: Sequence[str], order: Sequence[str], tie: str):
+    """Of the rows of a task the smallest of each key: NULL first, then values, not-a-number last, as in Spark."""
+    def best(rows: pa.Table) -> pa.Table:
+        by = []
+        for c in order:
+            values = rows.column(c)
+            if pa.types.is_floating(values.type):
+                odd = pc.fill_null(pc.is_nan(values), False)
+                by += [odd, pc.if_else(odd, pa.scalar(0, values.type), values)]
+            else:
+                by.append(values)
+        names = [str(i) for i in range(len(by) + 1)]
+        sorted_ = rows.take(pc.sort_indices(pa.table([*by, rows.column(tie)], names=names), null_placement="at_start",
+                                            sort_keys=[(n, "ascending") for n in names]))
+        keys = [f"k{i}" for i in range(len(key))]
+        places = pa.table([*(sorted_.column(c) for c in key), pa.array(np.arange(len(rows)))], names=[*keys, "at"])
+        return sorted_.take(places.group_by(keys, use_threads=False).aggregate([("at", "min")]).column("at_min"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, more, n = None, [], 0
+        for batch in batches:
+            more.append(batch)
+            n += batch.num_rows
+            if n >= max(_SLICE, 0 if kept is None else len(kept)):
+                kept = best(pa.concat_tables([*([] if kept is None else [kept]), pa.Table.from_batches(more)]))
+                more, n = [], 0
+        if more:
+            kept = best(pa.concat_tables([*([] if kept is None else [kept]), pa.Table.from_batches(more)]))
+        if kept is not None:
+            yield from kept.drop_columns([tie]).combine_chunks().to_batches(max_chunksize=10_000)
+    return run
+
+
 class _FirstOfKey(StatefulProcessor):
     """Lets the first row of a key pass, once; a key's state is that it has been seen."""
 
@@ -47,13 +89,20 @@ class _FirstOfKey(StatefulProcessor):
 def first_of_keys(rows: DataFrame, key: Sequence[str], order: Sequence[str] | None) -> DataFrame:
     """The rows of a stream whose key comes for the first time, of one batch the smallest by ``order``.
 
-    What is known of a key is one flag in the state store, dealt over the shuffle partitions of the query's first
+    What is known of a key is that it is in the state store, dealt over the shuffle partitions of the query's first
     run; only keys of the batch at hand are looked up. No batch depends on what earlier ones have written.
-    Without ``order`` rows of a key are copies of each other and any of them will do, so the JVM's own deduplication serves.
+    A batch is first cut down to the smallest row of each key, in slices of Arrow rows; a task keeps one row for each key that
+    the batch deals to it. Then, as without ``order``, any row of a key will do, so the JVM's own deduplication serves.
+    Only nested keys and orders, which Arrow does not sort, go to the state key by key through Python.
     """
     if not order:
         return rows.dropDuplicates(list(key))
-    return rows.groupBy(*key).transformWithState(_FirstOfKey(order), rows.schema, "Append", "None")
+    if not all(isinstance(rows.schema[c].dataType, _PLAIN) for c in (*key, *order)):
+        return rows.groupBy(*key).transformWithState(_FirstOfKey(order), rows.schema, "Append", "None")
+    tie = "_" + "".join(rows.columns)
+    told = [F.to_json(F.struct(c)) if "map<" in t else F.col(c) for c, t in rows.dtypes]  # of rows that tie the one with the least hash
+    dealt = rows.withColumn(tie, F.xxhash64(*told)).repartition(*key)
+    return dealt.mapInArrow(_smallest(key, order, tie), rows.schema).dropDuplicates(list(key))
 
 
 @contextmanager

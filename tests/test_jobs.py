@@ -197,3 +197,36 @@ def test_shared_dir_is_the_clusters(spark):
     from plexus.session import shared_dir
     base = shared_dir(spark, "x").rsplit("/", 1)[0]
     assert spark.conf.get("spark.checkpoint.dir").rstrip("/") == base
+
+
+def test_first_of_keys_in_slices(monkeypatch):
+    """The smallest row of each key, whatever slice it comes in: NULL first, not-a-number last, ties by the last column."""
+    import pyarrow as pa
+    monkeypatch.setattr(L, "_SLICE", 3)
+    rows = [(i % 5, [None, 1.0, 2.0, float("nan")][(i * 7) % 4] if i % 5 < 3 else [float("nan"), 3.0][i % 2], i * 37 % 101) for i in range(60)]
+    rows += [(None, 2.0, 1), (None, 1.0, 2), (9, float("nan"), 1), (9, float("inf"), 2), (9, float("inf"), 1)]
+    batches = pa.table({"k": [r[0] for r in rows], "v": pa.array([r[1] for r in rows], pa.float64()), "_t": [r[2] for r in rows], "n": range(len(rows))}).to_batches(2)
+    got = sorted((r["n"] for b in L._smallest(["k"], ["v"], "_t")(iter(batches)) for r in b.to_pylist()))
+    rank = lambda r: (r[1] is not None, r[1] is not None and r[1] != r[1], r[1] if r[1] is not None and r[1] == r[1] else 0, r[2])
+    assert got == sorted(min((i for i, r in enumerate(rows) if r[0] == k), key=lambda i: rank(rows[i])) for k in {r[0] for r in rows})
+
+
+@pytest.mark.parametrize("nested", [False, True])
+def test_stream_takes_the_smallest_of_a_batch(spark, tmp_path, nested):
+    """Keys do not go through Python one by one; not-a-number is the largest; only nested keys take the way by key."""
+    source, target, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    nan = float("nan")
+    rows = [(1, nan, "a"), (1, 2.0, "b"), (1, 3.0, "c"), (2, 1.0, "d"), (2, None, "e"), (None, 5.0, "f"), (None, 4.0, "g"), (3, 0.5, "h"), (3, 0.5, "h")]
+    if nested:
+        rows = [r for r in rows if r[1] is None or r[1] == r[1]]
+    df = spark.createDataFrame(rows, "id bigint, v double, note string")
+    df = df.withColumn("id", F.array("id")) if nested else df
+    df.coalesce(1).write.parquet(source)
+    stream = L.read_new_files(spark, source, df.schema)
+    plan = L.first_of_keys(stream, ["id"], ["v"])._jdf.queryExecution().logical().toString()
+    assert ("TransformWithState" in plan) == nested
+    L.run_once(L.read_new_files(spark, source, df.schema), lambda d: d, target, mark, ["id"], ["v"])
+    assert sorted(r.note for r in L.enriched(spark, target).collect()) == ["b", "e", "g", "h"]
+    df.withColumn("v", F.lit(-1.0)).coalesce(1).write.mode("append").parquet(source)
+    L.run_once(L.read_new_files(spark, source, df.schema), lambda d: d, target, mark, ["id"], ["v"])
+    assert L.enriched(spark, target).count() == 4
