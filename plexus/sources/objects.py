@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import time
 import urllib.request
-from collections import defaultdict, deque
+from collections import Counter, deque
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -147,12 +147,13 @@ def fetch_urls(df: DataFrame, key: str, url: str, retries: int = 3, fetch: Calla
 
     The rows of a host are one task's, so ``per_host`` holds for the whole cluster; a task fetches ``at_once`` urls at a time and
     hands them on in the order of its rows, in batches of about ``batch_bytes``. At most twice ``at_once`` objects and a batch
-    are in memory.
+    are in memory, and the gates of no more hosts.
     """
     schema = T.StructType([df.schema[key], T.StructField("content", T.BinaryType()), T.StructField("error", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gates: dict[str, Semaphore] = defaultdict(lambda: Semaphore(per_host))
+        gates: dict[str, Semaphore] = {}  # of hosts that are waited for: without a host there are as many as urls
+        asked_of: Counter[str] = Counter()
         target = to_arrow(schema)
         done: list[tuple] = []
         size = 0
@@ -160,16 +161,22 @@ def fetch_urls(df: DataFrame, key: str, url: str, retries: int = 3, fetch: Calla
             waiting: deque = deque()
 
             def rows() -> Iterator[tuple]:
-                for batch in batches:
-                    for k, u, host in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                        waiting.append((k, pool.submit(_tried, fetch, u, retries, pause, gates[host])))
-                        if len(waiting) >= 2 * at_once:
-                            yield waiting.popleft()
+                for whole in batches:
+                    for at in range(0, whole.num_rows, 2 * at_once):
+                        for k, u, host in zip(*(c.to_pylist() for c in whole.slice(at, 2 * at_once).columns), strict=True):
+                            gate = gates.setdefault(host, Semaphore(per_host))
+                            asked_of[host] += 1
+                            waiting.append((k, host, pool.submit(_tried, fetch, u, retries, pause, gate)))
+                            if len(waiting) >= 2 * at_once:
+                                yield waiting.popleft()
                 while waiting:
                     yield waiting.popleft()
 
-            for k, future in rows():
+            for k, host, future in rows():
                 done.append((k, *future.result()))
+                asked_of[host] -= 1
+                if not asked_of[host]:
+                    del asked_of[host], gates[host]
                 size += len(done[-1][1] or b"")
                 if size >= batch_bytes or len(done) >= 1024:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*done, strict=True), target, strict=True)], schema=target)

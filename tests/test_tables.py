@@ -247,3 +247,23 @@ def test_csv_round_trip(spark, tmp_path):
     path = str(tmp_path / "notes.adb.csv")
     sinks.write_property_csv(spark.createDataFrame([("Note", i, t) for i, t in enumerate(texts)], "EntityClass string, n int, s string"), path)
     assert [r.s for r in O.property_csv(spark, path).orderBy("n").collect()] == texts
+
+
+def test_gates_of_hosts_go_with_their_urls(spark):
+    """Urls without a host have a gate each; a task keeps those of the urls at hand only."""
+    def fetch(url):
+        import gc
+        import threading
+        if int(url.rsplit(",", 1)[1]) % 500 < 499:
+            return b"0"
+        return str(sum(isinstance(o, threading.Semaphore) for o in gc.get_objects())).encode()
+
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        df = spark.range(4000).select("id", F.concat(F.lit("data:,"), "id").alias("url"))
+        got = O.fetch_urls(df, "id", "url", fetch=fetch).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    assert len({r.id for r in got}) == 4000 and not any(r.error for r in got)
+    assert 0 < max(int(r.content) for r in got) < 100
