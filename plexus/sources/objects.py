@@ -12,7 +12,6 @@ from dataclasses import dataclass
 from threading import Semaphore
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -241,21 +240,46 @@ def annotations_json(spark: SparkSession, path: str, multi_line: bool = True) ->
     return tables
 
 
+def _unpacked(layout: np.dtype, most: int = 1024):
+    """Records as rows, at most ``most`` at a time, without an object for each; a NULL holds none."""
+    def table(data: np.ndarray) -> pa.RecordBatch:
+        vectors = data["vector"]
+        ends = pa.array(np.arange(len(data) + 1, dtype=np.int32) * np.int32(vectors.shape[1]))
+        values = pa.array(np.ascontiguousarray(vectors).reshape(-1), pa.float32())
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(data["id"]), pa.int64()), pa.ListArray.from_arrays(ends, values)], names=["id", "vector"])
+
+    def rows(values: list[pa.Buffer]) -> Iterator[pa.RecordBatch]:
+        data = np.frombuffer(values[0] if len(values) == 1 else b"".join(values), layout)
+        for start in range(0, len(data), most):
+            yield table(data[start:start + most])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, size = [], 0
+            for value in batch.column(0):
+                if not value.is_valid:
+                    continue
+                values.append(value.as_buffer())
+                size += values[-1].size
+                if values[-1].size % layout.itemsize:
+                    raise ValueError(f"records of {layout.itemsize} bytes expected")
+                if size >= most * layout.itemsize:
+                    yield from rows(values)
+                    values, size = [], 0
+            if size:
+                yield from rows(values)
+    return run
+
+
 def packed_vectors(records: DataFrame, dimensions: int, ids: DataFrame | None = None,
                    column: str = "record") -> DataFrame:
     """A18. Fixed-width records (int64 id, float32 x N) as ``id, vector``, optionally only some ids.
 
-    ``column`` may hold one record or a whole run of records. Only the wanted ids are kept after
+    ``column`` may hold one record or a whole run of records, which come as rows a thousand at a time. Only the wanted ids are kept after
     a semi join on the id, which is decoded first.
     """
-    layout = np.dtype([("id", "<i8"), ("vector", "<f4", (dimensions,))])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            data = np.frombuffer(b"".join(pdf[column]), dtype=layout)
-            yield pd.DataFrame({"id": data["id"], "vector": list(data["vector"])})
-
-    out = records.select(column).mapInPandas(run, "id bigint, vector array<float>")
+    run = _unpacked(np.dtype([("id", "<i8"), ("vector", "<f4", (dimensions,))]))
+    out = records.select(column).mapInArrow(run, "id bigint, vector array<float>")
     return out if ids is None else out.join(ids.select(F.col(ids.columns[0]).alias("id")), "id", "left_semi")
 
 

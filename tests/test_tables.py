@@ -267,3 +267,20 @@ def test_gates_of_hosts_go_with_their_urls(spark):
         spark.conf.set("spark.sql.shuffle.partitions", parts)
     assert len({r.id for r in got}) == 4000 and not any(r.error for r in got)
     assert 0 < max(int(r.content) for r in got) < 100
+
+
+def test_packed_vectors_come_in_slices(spark):
+    """One value may hold any number of records: few are rows at a time; a NULL holds none, a part of a record is an error."""
+    import pyarrow as pa
+    layout = np.dtype([("id", "<i8"), ("vector", "<f4", (3,))])
+    data = np.zeros(5000, layout)
+    data["id"], data["vector"] = np.arange(5000), np.arange(15000).reshape(5000, 3)
+    values = [data[:3000].tobytes(), None, b"", *(r.tobytes() for r in data[3000:])]
+    batches = list(O._unpacked(layout)(iter([pa.record_batch({"record": pa.array(values, pa.binary())})])))
+    assert max(b.num_rows for b in batches) <= 1024
+    want = {r["id"]: r["vector"].tolist() for r in data}
+    assert {i: v for b in batches for i, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist())} == want
+    df = spark.createDataFrame([(v,) for v in values], "record binary")
+    assert {r.id: r.vector for r in O.packed_vectors(df, 3).collect()} == want
+    with pytest.raises(Exception, match="records of 20 bytes"):
+        O.packed_vectors(spark.createDataFrame([(values[0][:-1],)], df.schema), 3).collect()
