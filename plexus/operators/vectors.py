@@ -5,7 +5,9 @@ block of vectors and keeps the best k per query, so what is shuffled is k rows p
 
 * A few queries (size checked): every task gets the query block; the vectors are scanned where they lie.
 * Many queries: vectors lie in cells, and a query meets the cells that may hold one of its neighbours (``cells``).
-  Both sides of a cell are cut into blocks by count, so no cell can outgrow a task.
+  Both sides are cut into blocks by count, so no cell can outgrow a task.
+* For cosines a task first multiplies unit vectors in single precision. That product's error has a bound, so only pairs that
+  may still be among the best k are scored in double precision; no pair is lost.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ HIT_BYTES = 64               # of a hit, about
 BLOCK_ROWS = 20_000          # rows of a block in the two-sided search
 SALTS = 16                   # parts of a query's hits that are ranked by themselves first
 CHUNK_SCORES = 4 << 20       # scores that a task holds at a time
+CHUNK_VALUES = 1 << 20       # components of vectors that are laid side by side
+FEW_PAIRS = 0.05             # share of a chunk up to which pairs are scored one by one
 
 
 def check_search(k: int, metric: str = COSINE, **inputs: Any) -> None:
@@ -51,6 +55,14 @@ def _matrix(values: Sequence, dimensions: int | None = None) -> np.ndarray:
     return m
 
 
+def placed(vectors: np.ndarray, metric: str) -> np.ndarray:
+    """Where vectors lie: cosines depend on directions alone."""
+    if metric != COSINE:
+        return vectors
+    norm = np.linalg.norm(vectors, axis=1, keepdims=True)
+    return np.divide(vectors, norm, out=np.zeros_like(vectors), where=norm > 0)
+
+
 def _scores(queries: np.ndarray, vectors: np.ndarray, metric: str, digits: int | None) -> np.ndarray:
     """Distances of all queries to all vectors of two blocks; for CS and IP larger is nearer."""
     if metric == EUCLIDEAN:
@@ -65,34 +77,83 @@ def _scores(queries: np.ndarray, vectors: np.ndarray, metric: str, digits: int |
 
 
 class _Best:
-    """The best k vectors per query seen so far; ties go to the smaller id."""
+    """The best k vectors per query seen so far; ties go to the smaller id.
+
+    ``limit``: a cost per query that its k-th neighbour is known not to exceed; what costs more is left out.
+    """
 
-    def __init__(self, matrix: np.ndarray, k: int, metric: str, digits: int | None):
+    def __init__(self, matrix: np.ndarray, k: int, metric: str, digits: int | None, limit: np.ndarray | None = None):
         self.matrix, self.k, self.metric, self.digits = matrix, k, metric, digits
         self.sign = 1.0 if metric == EUCLIDEAN else -1.0
         self.cost = np.full((len(matrix), k), np.inf)
         self.ids: np.ndarray | None = None
+        self.limit = np.full(len(matrix), np.inf) if limit is None else limit
+        self.last = self.limit.copy()  # costs up to this are of interest
+        self.rough = placed(matrix, metric).astype(np.float32) if metric == COSINE else None
 
-    def add(self, vectors: np.ndarray, ids: np.ndarray, skip: Callable[[slice], np.ndarray] | None = None) -> None:
-        """Score a batch, a chunk at a time. ``skip`` marks the (query, vector) places to leave out."""
+    def add(self, vectors: np.ndarray, ids: np.ndarray, own: np.ndarray | None = None, rows: np.ndarray | None = None) -> None:
+        """Score a batch, a chunk at a time. ``own``: the id that each query leaves out. ``rows``: the queries, if not all."""
         if not len(vectors):
             return
         if self.ids is None:
             self.ids = np.full(self.cost.shape, ids[0], dtype=ids.dtype)  # free places have an infinite cost
-        step = max(1, CHUNK_SCORES // max(1, len(self.matrix)))
+        rows = np.arange(len(self.matrix)) if rows is None else rows
+        whole = len(rows) == len(self.matrix)
+        rough = None if self.rough is None else (self.rough if whole else self.rough[rows], placed(vectors, COSINE).astype(np.float32))
+        matrix = None
+        step = max(1, CHUNK_SCORES // max(1, len(rows)))
         for at in range(0, len(vectors), step):
             part = slice(at, at + step)
-            cost = self.sign * _scores(self.matrix, vectors[part], self.metric, self.digits)
-            if skip is not None:
-                cost[skip(part)] = np.inf
-            self._merge(cost, ids[part])
-
-    def _merge(self, cost: np.ndarray, ids: np.ndarray) -> None:
-        last = self.cost.max(axis=1)
-        rows = np.nonzero(((cost <= last[:, None]) & np.isfinite(cost)).any(axis=1))[0]
-        if not len(rows):
+            pairs = None if rough is None else self._near(rough[0], rough[1][part], self.last[rows])
+            if pairs is not None:
+                self._merge_pairs(rows[pairs[0]], pairs[1], vectors[part], ids[part], own)
+                continue
+            if matrix is None:
+                matrix = self.matrix if whole else self.matrix[rows]
+            cost = self.sign * _scores(matrix, vectors[part], self.metric, self.digits)
+            if own is not None:
+                cost[own[rows][:, None] == ids[part][None, :]] = np.inf
+            self._merge(rows, cost, ids[part])
+
+    def _near(self, queries: np.ndarray, vectors: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """Places of the pairs whose cosine may reach what is of interest, None if they are not few.
+
+        A sum of d products of unit vectors' components is off by less than (d + 8) / 2**23 in single precision.
+        """
+        error = (queries.shape[1] + 8) * 2.0 ** -23 + (0 if self.digits is None else 10.0 ** -self.digits)
+        near = queries @ vectors.T >= (-last - error).astype(np.float32)[:, None]
+        return np.divmod(np.flatnonzero(near), len(vectors)) if np.count_nonzero(near) <= FEW_PAIRS * near.size else None  # faster than by two axes
+
+    def _merge_pairs(self, query: np.ndarray, place: np.ndarray, vectors: np.ndarray, ids: np.ndarray, own: np.ndarray | None) -> None:
+        norms = np.linalg.norm(vectors, axis=1)
+        cost, step = np.empty(len(query)), max(1, CHUNK_VALUES // max(1, vectors.shape[1]))
+        for at in range(0, len(query), step):
+            part = slice(at, at + step)
+            a, b = self.matrix[query[part]], place[part]
+            product, norm = np.einsum("ij,ij->i", a, vectors[b]), np.linalg.norm(a, axis=1) * norms[b]
+            cost[part] = -np.divide(product, norm, out=np.zeros_like(product), where=norm > 0)
+        if self.digits is not None:
+            cost = np.round(cost, self.digits)
+        keep = (cost <= self.last[query]) & np.isfinite(cost)
+        if own is not None:
+            keep &= own[query] != ids[place]
+        if not keep.any():
             return
-        all_cost = np.concatenate([self.cost[rows], cost[rows]], axis=1)
+        query, cost, found = query[keep], cost[keep], ids[place[keep]]
+        rows, line = np.unique(query, return_inverse=True)
+        line = np.concatenate([np.repeat(np.arange(len(rows)), self.k), line])
+        all_cost, all_ids = np.concatenate([self.cost[rows].ravel(), cost]), np.concatenate([self.ids[rows].ravel(), found])
+        order = np.lexsort((all_ids, all_cost, line))
+        best = order[np.searchsorted(line[order], np.arange(len(rows)))[:, None] + np.arange(self.k)]
+        self.cost[rows], self.ids[rows] = all_cost[best], all_ids[best]
+        self.last[rows] = np.minimum(self.limit[rows], self.cost[rows].max(axis=1))
+
+    def _merge(self, rows: np.ndarray, cost: np.ndarray, ids: np.ndarray) -> None:
+        some = np.nonzero(((cost <= self.last[rows][:, None]) & np.isfinite(cost)).any(axis=1))[0]
+        if not len(some):
+            return
+        rows, cost = rows[some], cost[some]
+        all_cost = np.concatenate([self.cost[rows], cost], axis=1)
         all_ids = np.concatenate([self.ids[rows], np.broadcast_to(ids, (len(rows), len(ids)))], axis=1)
         bound = np.partition(all_cost, self.k - 1, axis=1)[:, self.k - 1]
         near = all_cost <= bound[:, None]
@@ -104,10 +165,11 @@ class _Best:
             places = np.nonzero(near[i])[0]
             places = places[np.lexsort((all_ids[i, places], all_cost[i, places]))][: self.k]
             self.cost[rows[i]], self.ids[rows[i]] = all_cost[i, places], all_ids[i, places]
+        self.last[rows] = np.minimum(self.limit[rows], self.cost[rows].max(axis=1))
 
     def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query index, vector id, distance) of everything kept."""
-        query, place = np.nonzero(np.isfinite(self.cost))
+        query, place = np.nonzero(np.isfinite(self.cost) & (self.cost <= self.limit[:, None]))
         ids = np.empty(0) if self.ids is None else self.ids[query, place]
         return query, ids, self.sign * self.cost[query, place]
 
@@ -212,7 +274,7 @@ def _scan(asked: DataFrame, block: tuple[np.ndarray, np.ndarray], pool: DataFram
                 continue
             if data.shape[1] != matrix.shape[1]:
                 raise ValueError(f"query has {matrix.shape[1]} dimensions, the set {data.shape[1]}")
-            best.add(data, ids, (lambda part: own[:, None] == ids[part][None, :]) if exclude_self else None)
+            best.add(data, ids, own if exclude_self else None)
         index, ids, distance = best.rows()
         if len(index):
             yield pa.RecordBatch.from_pydict({"query_id": own[index].tolist(), id_column: ids.tolist(), "_distance": distance},
@@ -248,7 +310,7 @@ def _block_topk(k: int, metric: str, id_column: str, exclude_self: bool, digits:
         if data.shape[1] != matrix.shape[1]:
             raise ValueError(f"query has {matrix.shape[1]} dimensions, the set {data.shape[1]}")
         best = _Best(matrix, k, metric, digits)
-        best.add(data, ids, (lambda part: query_ids[:, None] == ids[part][None, :]) if exclude_self else None)
+        best.add(data, ids, query_ids if exclude_self else None)
         index, found, distance = best.rows()
         return pa.Table.from_pydict({"query_id": query_ids[index].tolist(), id_column: found.tolist(), "_distance": distance}, schema=target)
     return run
@@ -259,8 +321,13 @@ def _meet(left: DataFrame, right: DataFrame, bucket: Sequence[str], k: int, metr
     """Best k per query inside every bucket, the buckets cut into blocks of bounded size on both sides.
 
     ``left`` has query_id, query_vector and the bucket columns; ``right`` has _vid, _vec and them.
-    The number of blocks of a bucket comes from counts that are combined on the map side.
     """
+    return _pair_blocks(left, right, bucket, _block_topk(k, metric, id_column, exclude_self, digits, schema), schema, block_rows)
+
+
+def _pair_blocks(left: DataFrame, right: DataFrame, bucket: Sequence[str], run: Callable[[pa.Table, pa.Table], pa.Table], schema: T.StructType,
+                 block_rows: int) -> DataFrame:
+    """``run`` on all blocks of queries and vectors of a bucket; their number comes from counts that are combined on the map side."""
     def blocks(df: DataFrame, name: str) -> DataFrame:
         return df.groupBy(*bucket).agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias(name))
 
@@ -270,12 +337,8 @@ def _meet(left: DataFrame, right: DataFrame, bucket: Sequence[str], k: int, metr
          .withColumn("_r", F.explode(F.sequence(F.lit(0), F.col("_rb") - 1))).drop("_lb", "_rb"))
     b = (right.join(plan, list(bucket)).withColumn("_r", F.pmod(F.xxhash64("_vid"), F.col("_rb")).cast("int"))
          .withColumn("_l", F.explode(F.sequence(F.lit(0), F.col("_lb") - 1))).drop("_lb", "_rb"))
-    return _pair_blocks(a, b, [*bucket, "_l", "_r"], k, metric, id_column, schema, exclude_self, digits)
-
-
-def _pair_blocks(a: DataFrame, b: DataFrame, keys: Sequence[str], k: int, metric: str, id_column: str, schema: T.StructType,
-                 exclude_self: bool, digits: int | None) -> DataFrame:
-    return a.groupBy(*keys).cogroup(b.groupBy(*keys)).applyInArrow(_block_topk(k, metric, id_column, exclude_self, digits, schema), schema)
+    keys = [*bucket, "_l", "_r"]
+    return a.groupBy(*keys).cogroup(b.groupBy(*keys)).applyInArrow(run, schema)
 
 
 def _many(asked: DataFrame, pool: DataFrame, k: int, metric: str, id_column: str, vector_column: str, exclude_self: bool, digits: int | None,

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from plexus.operators import cells as C
 from plexus.operators import hash_index as A
 from plexus.operators import vectors as V
 from plexus.operators.cells import CellSearch
@@ -149,6 +150,53 @@ def test_cells_when_k_is_large(spark):
     assert few.groupBy("query_id").count().where("count <> 4").count() == 0
 
 
+@pytest.mark.parametrize("metric", ["CS", "IP", "L2"])
+@pytest.mark.parametrize("exclude_self", [False, True])
+def test_cells_meet_in_parts(spark, monkeypatch, metric, exclude_self):
+    """Every vector of a spread out set with a large group of copies as a query: a row per query and part, none per cell, and nothing lost."""
+    monkeypatch.setattr(C, "BLOCK_ROWS", 300)
+    x = np.random.default_rng(11).normal(size=(1200, D)).astype(np.float32)
+    x[100:500] = x[0]
+    x[700:704] = 0
+    v = spark.createDataFrame([(i, a.tolist()) for i, a in enumerate(x)], "_uniqueid long, _vector array<float>").repartition(4)
+    q = v.select(F.col("_uniqueid").alias("query_id"), F.col("_vector").alias("query_vector"))
+    search = CellSearch(q, v, 1200, 5, metric, "_uniqueid", "_vector", exclude_self, 6, 30)
+    part = C.parts(search.cells, 300)
+    held = np.bincount(part, weights=search.cells.count)
+    assert all(n <= 300 or (part == p).sum() == 1 for p, n in enumerate(held)) and 4 <= len(held) <= 12
+    sent = search._probes(search.bounded, search._within, part)
+    assert sent.count() == sent.select("query_id", "_part").distinct().count() < search.far.count() / 2
+    got = found(V.find_similar(q, v, 5, metric, exclude_self=exclude_self, digits=6, max_scan_bytes=0, block_rows=30))
+    x = x.astype(float)
+    for i in range(1200):
+        cost = V._scores(x[i:i + 1], x, metric, 6)[0] * (1 if metric == "L2" else -1)
+        if exclude_self:
+            cost[i] = np.inf
+        assert got[i] == np.lexsort((np.arange(1200), cost))[:5].tolist(), i
+
+
+@pytest.mark.parametrize("digits", [None, 3, 6])
+def test_single_precision_loses_no_pair(digits):
+    """Cosines that differ less than single precision tells, in small and large lengths: as in double precision alone."""
+    r = np.random.default_rng(2)
+    x = r.normal(size=(1, D)) + 1e-7 * r.normal(size=(4000, D))
+    x[::2] = r.normal(size=(2000, D))
+    x *= 10.0 ** r.integers(-18, 18, size=(4000, 1))
+    q = x[:40]
+    want = -V._scores(q, x, "CS", digits)
+    kth = np.sort(want, axis=1)[:, 6]
+    for limit in (None, kth + 1e-9):
+        best = V._Best(q, 7, "CS", digits, limit)
+        for at in range(0, 4000, 500):
+            best.add(x[at:at + 500], np.arange(at, at + 500))
+        query, ids, cosine = best.rows()
+        assert np.bincount(query).tolist() == [7] * 40
+        assert np.allclose(np.sort(-cosine.reshape(40, 7), axis=1), np.sort(want, axis=1)[:, :7], rtol=0, atol=1e-14)
+        if digits is not None:
+            order = [set(np.lexsort((np.arange(4000), c))[:7].tolist()) for c in want]
+            assert [set(a) for a in ids.reshape(40, 7).tolist()] == order
+
+
 def test_hits_are_sent_only_if_they_are_few(data, monkeypatch):
     v, q, *_ = data
     plain = found(V.find_similar(q, v, 9, digits=6, constraints={"label": ["==", 1]}))
